@@ -1,0 +1 @@
+"""No streaming operators: every computation of this library is a batch job."""
