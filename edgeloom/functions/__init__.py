@@ -1,14 +1,5 @@
 """Column-level building blocks."""
 
-from edgeloom.functions.columns import (
-    closed_paths,
-    endpoints,
-    every_part,
-    part_of,
-    typed_id,
-    whole_quotient,
-    word_edges,
-)
+from edgeloom.functions.columns import ENDPOINTS, closed_paths, part_of, typed_id, whole_quotient, word_edges
 
-__all__ = ["closed_paths", "endpoints", "every_part", "part_of", "typed_id", "whole_quotient",
-           "word_edges"]
+__all__ = ["ENDPOINTS", "closed_paths", "part_of", "typed_id", "whole_quotient", "word_edges"]

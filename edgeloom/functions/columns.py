@@ -1,6 +1,7 @@
 """Column expressions shared by the readers, operators and sinks.
 
-Everything here is a plain ``Column``; nothing leaves the JVM.
+Everything here stays inside the JVM. The helpers that only put an expression
+together return SQL text, which costs the driver one call however long it is.
 """
 
 from __future__ import annotations
@@ -54,33 +55,21 @@ def word_edges(word: Column, id_type: str, malformed: Column) -> Column:
     )
 
 
-def endpoints(src: str = "src", dst: str = "dst") -> Column:
-    """Generator with both ends of an edge: columns ``v``, ``n_out``, ``n_in``."""
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    return F.inline(
-        F.array(
-            F.struct(F.col(src).alias("v"), one.alias("n_out"), zero.alias("n_in")),
-            F.struct(F.col(dst).alias("v"), zero.alias("n_out"), one.alias("n_in")),
-        )
-    )
+# Generator with both ends of an edge: columns ``v``, ``n_out``, ``n_in``.
+ENDPOINTS = "inline(array(struct(src AS v, 1L AS n_out, 0L AS n_in), struct(dst AS v, 0L AS n_out, 1L AS n_in)))"
 
 
-def part_of(other_end: Column, parts: Column) -> Column:
+def part_of(other_end: str, parts: str) -> str:
     """Which of ``parts`` pieces of a hub a row belongs to, chosen by its other end."""
-    return F.when(parts > 1, F.pmod(F.xxhash64(other_end), parts)).otherwise(F.lit(0).cast("bigint"))
-
-
-def every_part(parts: Column) -> Column:
-    """Generator that repeats a row once for each of ``parts`` pieces."""
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
+    return f"CASE WHEN {parts} > 1 THEN pmod(xxhash64({other_end}), {parts}) ELSE 0L END"
 
 
-def whole_quotient(number: Column, divisor: Column) -> Column:
+def whole_quotient(number: str, divisor: str) -> str:
     """Integer division rounding down, exact for all 64-bit integers."""
-    return F.call_function("div", number - F.pmod(number, divisor), divisor)
+    return f"(({number} - pmod({number}, {divisor})) div {divisor})"
 
 
-def closed_paths(multiplicity: str, products: Column, sums: Column, closing: Column) -> Column:
+def closed_paths(multiplicity: str, products: str, sums: str, closing: str) -> str:
     """Closed two-paths that one cycle of three different vertices stands for.
 
     For two edges with multiplicities ``p``, ``q`` and a closing edge with ``r``
@@ -95,7 +84,7 @@ def closed_paths(multiplicity: str, products: Column, sums: Column, closing: Col
     middle vertices (``products``, ``sums``) before the closing edge is known.
     """
     if multiplicity == "all":
-        return 3 * products * closing
+        return f"(3 * {products} * {closing})"
     if multiplicity == "closing_exists":
-        return products + closing * sums
-    return 3 * products
+        return f"({products} + {closing} * {sums})"
+    return f"(3 * {products})"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions import endpoints
+from edgeloom.functions import ENDPOINTS
 
 
 def follower_count(edges: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def follower_count(edges: DataFrame) -> DataFrame:
 def degrees(edges: DataFrame) -> DataFrame:
     """``(v, n_out, n_in)`` for every id at either end of an edge, in one scan."""
     return (
-        edges.select(endpoints())
+        edges.selectExpr(ENDPOINTS)
         .groupBy("v")
         .agg(F.sum("n_out").alias("n_out"), F.sum("n_in").alias("n_in"))
     )
@@ -28,9 +28,7 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def two_path_degree(edges: DataFrame, count_type: str = "bigint") -> DataFrame:
     """``(v, paths)``: two-paths with ``v`` in the middle, 0 where one side is empty."""
-    return degrees(edges).select(
-        "v", (F.col("n_out").cast(count_type) * F.col("n_in")).cast(count_type).alias("paths")
-    )
+    return degrees(edges).selectExpr("v", f"CAST(CAST(n_out AS {count_type}) * n_in AS {count_type}) AS paths")
 
 
 def two_path_count(edges: DataFrame, count_type: str = "bigint") -> DataFrame:
@@ -40,5 +38,5 @@ def two_path_count(edges: DataFrame, count_type: str = "bigint") -> DataFrame:
     paths themselves may be far more than the edges. A count beyond 64 bits is an
     error under ANSI mode; ``count_type="decimal(38,0)"`` makes room for it.
     """
-    paths = two_path_degree(edges, count_type).agg(F.sum("paths").alias("paths"))
-    return paths.select(F.coalesce("paths", F.lit(0)).cast(count_type).alias("paths"))
+    return two_path_degree(edges, count_type).agg(
+        F.expr(f"CAST(coalesce(sum(paths), 0) AS {count_type}) AS paths"))

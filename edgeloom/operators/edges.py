@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions import endpoints
+from edgeloom.functions import ENDPOINTS
 
 
 def max_filter(edges: DataFrame, n: int) -> DataFrame:
@@ -30,4 +30,4 @@ def edge_multiplicity(edges: DataFrame) -> DataFrame:
 
 def vertices_of(edges: DataFrame) -> DataFrame:
     """``(v)``: every id that occurs at either end of an edge."""
-    return edges.select(endpoints()).select("v").distinct()
+    return edges.selectExpr(ENDPOINTS).select("v").distinct()

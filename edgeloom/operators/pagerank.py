@@ -14,9 +14,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions import every_part, part_of
+from edgeloom.functions import part_of
 from edgeloom.operators.edges import edge_multiplicity
-from edgeloom.plans import ROWS_PER_PART, hub_table, parts_for, shuffle_partitions, stage
+from edgeloom.plans import ROWS_PER_PART, hub_table, shuffle_partitions, stage
 
 NORMALIZE = ("none", "out_degree")
 
@@ -31,11 +31,11 @@ def _split_links(edges: DataFrame, rows_per_part: int) -> tuple[DataFrame, DataF
     folded = edge_multiplicity(edges)
     out = folded.groupBy(F.col("src").alias("v")).agg(
         F.count("*").alias("d"), F.sum("m").alias("out_degree"))
-    hubs = hub_table(out, rows_per_part).select("v", parts_for(F.col("d")).alias("hub_parts"))
-    parts = F.coalesce("hub_parts", F.lit(1).cast("bigint"))
-    links = folded.join(F.broadcast(hubs.withColumnRenamed("v", "src")), "src", "left").select(
-        "src", part_of(F.col("dst"), parts).alias("part"), "dst", "m")
-    sources = out.join(F.broadcast(hubs), "v", "left").select("v", "out_degree", parts.alias("parts"))
+    hubs = hub_table(out, folded, 1, rows_per_part).selectExpr("v", "ceil(d / part_rows) AS hub_parts")
+    parts = "coalesce(hub_parts, 1L)"
+    links = folded.join(F.broadcast(hubs.withColumnRenamed("v", "src")), "src", "left").selectExpr(
+        "src", f"{part_of('dst', parts)} AS part", "dst", "m")
+    sources = out.join(F.broadcast(hubs), "v", "left").selectExpr("v", "out_degree", f"{parts} AS parts")
     return links, sources
 
 
@@ -45,14 +45,10 @@ def _incoming(links: DataFrame, ranks: DataFrame, normalize: str) -> DataFrame:
     Sums are made partially before the shuffle on ``dst``, so popular users cost one
     row per task.
     """
-    share = F.col("rank") / F.col("out_degree") if normalize == "out_degree" else F.col("rank")
-    sent = ranks.where(F.col("out_degree") > 0).select(
-        F.col("v").alias("src"), share.alias("share"), every_part(F.col("parts")).alias("part"))
-    return (
-        links.join(sent, ["src", "part"])
-        .groupBy("dst")
-        .agg(F.sum(F.col("m") * F.col("share")).alias("inc"))
-    )
+    share = "rank / out_degree" if normalize == "out_degree" else "rank"
+    sent = ranks.where("out_degree > 0").selectExpr(
+        "v AS src", f"{share} AS share", "explode(sequence(0L, parts - 1)) AS part")
+    return links.join(sent, ["src", "part"]).groupBy("dst").agg(F.expr("sum(m * share) AS inc"))
 
 
 def _is_sink(vertex: Column, sink) -> Column:

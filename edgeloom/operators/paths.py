@@ -20,20 +20,15 @@ def two_paths(edges: DataFrame, strategy: str = "auto", rows_per_part: int = ROW
     grid of tasks.
     """
     folded = edge_multiplicity(edges)
-    into = folded.select(F.col("src").alias("x"), F.col("dst").alias("y"), F.col("m").alias("m_in"))
-    out = folded.select(F.col("src").alias("y"), F.col("dst").alias("z"), F.col("m").alias("m_out"))
+    into = folded.selectExpr("src AS x", "dst AS y", "m AS m_in")
+    out = folded.selectExpr("src AS y", "dst AS z", "m AS m_out")
     if strategy == "broadcast" and fits_broadcast(edges):
         joined = into.join(F.broadcast(out), "y")
     else:
-        at = degrees(folded).select(
-            "v",
-            F.col("n_in").alias("n_left"),
-            F.col("n_out").alias("n_right"),
-            (F.col("n_in") + F.col("n_out")).alias("d"),
-        )
-        hint = "merge" if strategy == "shuffle" else None
-        joined = split_join(into, out, "y", "x", "z", at, rows_per_part, hint)
-    return joined.select("x", "y", "z", (F.col("m_in") * F.col("m_out")).alias("m"))
+        at = degrees(folded).selectExpr("v", "n_in AS n_left", "n_out AS n_right", "n_in + n_out AS d")
+        hubs = hub_table(at, folded, 2, rows_per_part)
+        joined = split_join(into, out, "y", "x", "z", hubs, "merge" if strategy == "shuffle" else None)
+    return joined.selectExpr("x", "y", "z", "m_in * m_out AS m")
 
 
 def adjacency(edges: DataFrame, block_size: int = ROWS_PER_PART) -> DataFrame:
@@ -48,13 +43,12 @@ def adjacency(edges: DataFrame, block_size: int = ROWS_PER_PART) -> DataFrame:
     """
     folded = edge_multiplicity(edges)
     out_degree = folded.groupBy(F.col("src").alias("v")).agg(F.count("*").alias("d"))
-    hubs = hub_table(out_degree, block_size).select(F.col("v").alias("src"), "part_rows")
-    blocks = folded.join(F.broadcast(hubs), "src", "left").withColumn(
-        "block",
-        F.when(F.col("part_rows").isNotNull(), whole_quotient(F.col("dst"), F.col("part_rows")))
-        .otherwise(F.lit(0).cast("bigint")),
-    )
-    listed = blocks.groupBy("src", "block").agg(F.sort_array(F.collect_list(F.struct("dst", "m"))).alias("list"))
-    return listed.select(
-        "src", "block", F.col("list.dst").alias("neighbours"), F.col("list.m").alias("copies")
+    hubs = hub_table(out_degree, folded, 1, block_size).selectExpr("v AS src", "part_rows")
+    run = whole_quotient("dst", "part_rows")
+    blocks = folded.join(F.broadcast(hubs), "src", "left").selectExpr(
+        "src", f"CASE WHEN part_rows IS NULL THEN 0L ELSE {run} END AS block", "dst", "m")
+    return (
+        blocks.groupBy("src", "block")
+        .agg(F.expr("sort_array(collect_list(struct(dst, m))) AS listed"))
+        .selectExpr("src", "block", "listed.dst AS neighbours", "listed.m AS copies")
     )

@@ -9,98 +9,87 @@ sqrt(2 * edges), and a user with a third of all edges adds next to nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.functions import closed_paths
-from edgeloom.plans import BROADCAST_ROWS, fits_broadcast, hub_table
+from edgeloom.plans import BROADCAST_ROWS, fits_broadcast, hub_table, shuffle_partitions
 
 MULTIPLICITIES = ("distinct", "all", "closing_exists")
 STRATEGIES = ("auto", "shuffle", "broadcast")
 
 
-def pair_multiplicity(edges: DataFrame, distinct: bool = False) -> DataFrame:
+def pair_multiplicity(edges: DataFrame, distinct: bool = False, count_type: str = "bigint") -> DataFrame:
     """``(a, b, m_ab, m_ba)`` with ``a <= b``: copies of a->b and of b->a.
 
     A self-loop is the pair ``a = b`` with its copies in ``m_ab``. With ``distinct``
     both counts are 0 or 1 and loops are left out.
     """
     if distinct:
-        edges = edges.where(F.col("src") != F.col("dst"))
-    up = F.when(F.col("src") <= F.col("dst"), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    fold = F.max if distinct else F.sum
-    return edges.groupBy(
-        F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
-    ).agg(fold(up).alias("m_ab"), fold(1 - up).alias("m_ba"))
-
-
-def _low_middle_paths(pairs: DataFrame, replicate: bool, hint: str | None) -> DataFrame:
-    """``(x, y, z, m_in, m_out)``: two-paths over three vertices, lowest rank at y."""
-    pairs = pairs.where(F.col("a") != F.col("b"))
-    degree = (
-        pairs.select(F.explode(F.array("a", "b")).alias("v"))
-        .groupBy("v").agg(F.count("*").alias("d"))
+        edges = edges.where("src != dst")
+    fold = "max" if distinct else "sum"
+    return (
+        edges.selectExpr("least(src, dst) AS a", "greatest(src, dst) AS b", "src <= dst AS up")
+        .groupBy("a", "b")
+        .agg(F.expr(f"CAST({fold}(IF(up, 1L, 0L)) AS {count_type}) AS m_ab"),
+             F.expr(f"CAST({fold}(IF(up, 0L, 1L)) AS {count_type}) AS m_ba"))
     )
-    ranks = hub_table(degree, 0).select("v", "d")
-    for end in ("a", "b"):
-        of_end = ranks.select(F.col("v").alias(end), F.col("d").alias(f"d_{end}"))
-        pairs = pairs.join(F.broadcast(of_end), end, "left")
-
-    # Vertices outside of the bounded rank table share rank 0; ties go by id.
-    a_low = F.coalesce("d_a", F.lit(0)) <= F.coalesce("d_b", F.lit(0))
-    ordered = pairs.select(
-        F.when(a_low, F.col("a")).otherwise(F.col("b")).alias("low"),
-        F.when(a_low, F.col("b")).otherwise(F.col("a")).alias("high"),
-        F.when(a_low, F.col("m_ab")).otherwise(F.col("m_ba")).alias("m_up"),
-        F.when(a_low, F.col("m_ba")).otherwise(F.col("m_ab")).alias("m_down"),
-    )
-    into = ordered.where("m_down > 0").select(
-        F.col("high").alias("x"), F.col("low").alias("y"), F.col("m_down").alias("m_in"))
-    out = ordered.where("m_up > 0").select(
-        F.col("low").alias("y"), F.col("high").alias("z"), F.col("m_up").alias("m_out"))
-    return into.join(_prepared(out, replicate, hint), "y").where(F.col("x") != F.col("z"))
-
-
-def _prepared(side: DataFrame, replicate: bool, hint: str | None) -> DataFrame:
-    if replicate:
-        return F.broadcast(side)
-    return side.hint(hint) if hint else side
-
-
-def _join_choice(edges: DataFrame, strategy: str, broadcast_rows: int) -> tuple[bool, str | None]:
-    """Whether to replicate the graph, and the hint for shuffled joins."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-    replicate = strategy == "broadcast" and fits_broadcast(edges, broadcast_rows)
-    return replicate, "merge" if strategy == "shuffle" else None
 
 
-def _cycle_sums(pairs: DataFrame, multiplicity: str, replicate: bool, hint: str | None) -> DataFrame:
+class _Joins:
+    """How the joins of one triangle run are to be done."""
+
+    def __init__(self, edges: DataFrame, strategy: str, broadcast_rows: int):
+        if strategy not in STRATEGIES:
+            raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
+        self.replicate = strategy == "broadcast" and fits_broadcast(edges, broadcast_rows)
+        self.hint = "merge" if strategy == "shuffle" else None
+        self.tasks = shuffle_partitions(edges.sparkSession)
+
+    def side(self, df: DataFrame) -> DataFrame:
+        if self.replicate:
+            return F.broadcast(df)
+        return df.hint(self.hint) if self.hint else df
+
+    def low_middle_paths(self, pairs: DataFrame) -> DataFrame:
+        """``(x, y, z, m_in, m_out)``: two-paths over three vertices, lowest rank at y."""
+        pairs = pairs.where("a != b")
+        degree = pairs.selectExpr("explode(array(a, b)) AS v").groupBy("v").agg(F.count("*").alias("d"))
+        ranks = hub_table(degree, pairs, 2, 0)
+        for end in ("a", "b"):
+            pairs = pairs.join(F.broadcast(ranks.selectExpr(f"v AS {end}", f"d AS d_{end}")), end, "left")
+
+        # Vertices outside of the bounded rank table share rank 0; ties go by id.
+        ordered = pairs.withColumn("a_low", F.expr("coalesce(d_a, 0) <= coalesce(d_b, 0)")).selectExpr(
+            "IF(a_low, a, b) AS low", "IF(a_low, b, a) AS high",
+            "IF(a_low, m_ab, m_ba) AS m_up", "IF(a_low, m_ba, m_ab) AS m_down")
+        into = ordered.where("m_down > 0").selectExpr("high AS x", "low AS y", "m_down AS m_in")
+        out = ordered.where("m_up > 0").selectExpr("low AS y", "high AS z", "m_up AS m_out")
+        # A few bytes of edges make many paths, so the number of tasks is fixed here
+        # instead of being merged by the size of their input.
+        if self.replicate:
+            into = into.repartition(self.tasks, "x", "y")
+        else:
+            into, out = into.repartition(self.tasks, "y"), out.repartition(self.tasks, "y")
+        return into.join(self.side(out), "y").where("x != z")
+
+
+def _cycle_sums(pairs: DataFrame, multiplicity: str, joins: _Joins) -> DataFrame:
     """``(closed)``: closed two-paths over three different vertices, in partial sums."""
-    towards_b = F.col("z") < F.col("x")  # the closing edge z->x is a->b of its pair
-    paths = _low_middle_paths(pairs, replicate, hint).select(
-        F.least("x", "z").alias("a"),
-        F.greatest("x", "z").alias("b"),
-        *[
-            F.when(side, value).otherwise(F.lit(0)).alias(f"{name}_{to}")
-            for to, side in (("ab", towards_b), ("ba", ~towards_b))
-            for name, value in (("products", F.col("m_in") * F.col("m_out")),
-                                ("sums", F.col("m_in") + F.col("m_out")))
-        ],
-    )
-    if not replicate:
+    # The closing edge z->x is a->b of its pair where z < x, and b->a otherwise.
+    paths = joins.low_middle_paths(pairs).selectExpr(
+        "least(x, z) AS a", "greatest(x, z) AS b",
+        "IF(z < x, m_in * m_out, 0) AS products_ab", "IF(z < x, m_in + m_out, 0) AS sums_ab",
+        "IF(z < x, 0, m_in * m_out) AS products_ba", "IF(z < x, 0, m_in + m_out) AS sums_ba")
+    if not joins.replicate:
         # One row per pair of ends goes through the shuffle instead of every path,
         # and arrives where the folded pair already is.
-        sums = [c for c in paths.columns if c not in ("a", "b")]
-        paths = paths.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in sums])
-
-    def closed(to: str) -> Column:
-        back = F.col(f"m_{to}")
-        value = closed_paths(multiplicity, F.col(f"products_{to}"), F.col(f"sums_{to}"), back)
-        return F.when(back > 0, value).otherwise(F.lit(0))
-
-    return paths.join(_prepared(pairs, replicate, hint), ["a", "b"]).select(
-        (closed("ab") + closed("ba")).alias("closed"))
+        paths = paths.groupBy("a", "b").agg(
+            *[F.expr(f"sum({c}) AS {c}") for c in paths.columns if c not in ("a", "b")])
+    ab = closed_paths(multiplicity, "products_ab", "sums_ab", "m_ab")
+    ba = closed_paths(multiplicity, "products_ba", "sums_ba", "m_ba")
+    return paths.join(joins.side(pairs), ["a", "b"]).selectExpr(
+        f"IF(m_ab > 0, {ab}, 0) + IF(m_ba > 0, {ba}, 0) AS closed")
 
 
 def _loop_sums(pairs: DataFrame, multiplicity: str) -> DataFrame:
@@ -110,19 +99,27 @@ def _loop_sums(pairs: DataFrame, multiplicity: str) -> DataFrame:
     both directions. Per v only sums over such neighbours matter, so the join has one
     row per vertex on either side.
     """
-    loops = pairs.where("a = b").select(F.col("a").alias("v"), F.col("m_ab").alias("loop"))
+    loops = pairs.where("a = b").selectExpr("a AS v", "m_ab AS loop")
     there_and_back = (
         pairs.where("a != b AND m_ab > 0 AND m_ba > 0")
-        .select(F.explode(F.array("a", "b")).alias("v"), "m_ab", "m_ba")
+        .selectExpr("explode(array(a, b)) AS v", "m_ab", "m_ba")
         .groupBy("v")
-        .agg(F.sum(F.col("m_ab") * F.col("m_ba")).alias("products"),
-             F.sum(F.col("m_ab") + F.col("m_ba")).alias("sums"))
+        .agg(F.expr("sum(m_ab * m_ba) AS products"), F.expr("sum(m_ab + m_ba) AS sums"))
     )
-    loop = F.col("loop")
-    alone = loop * loop * loop if multiplicity == "all" else loop * loop
-    shared = closed_paths(multiplicity, F.col("products"), F.col("sums"), loop)
-    return loops.join(there_and_back, "v", "left").select(
-        (alone + F.coalesce(shared, F.lit(0))).alias("closed"))
+    alone = "loop * loop * loop" if multiplicity == "all" else "loop * loop"
+    shared = closed_paths(multiplicity, "products", "sums", "loop")
+    return loops.join(there_and_back, "v", "left").selectExpr(f"{alone} + coalesce({shared}, 0) AS closed")
+
+
+def _closed(edges, multiplicity, strategy, count_type, broadcast_rows) -> DataFrame:
+    if multiplicity not in MULTIPLICITIES:
+        raise ValueError(f"multiplicity must be one of {MULTIPLICITIES}, not {multiplicity!r}")
+    joins = _Joins(edges, strategy, broadcast_rows)
+    pairs = pair_multiplicity(edges, multiplicity == "distinct", count_type)
+    closed = _cycle_sums(pairs, multiplicity, joins)
+    if multiplicity != "distinct":
+        closed = closed.unionByName(_loop_sums(pairs, multiplicity))
+    return closed
 
 
 def closed_two_path_count(edges: DataFrame, multiplicity: str = "distinct", strategy: str = "auto",
@@ -139,15 +136,8 @@ def closed_two_path_count(edges: DataFrame, multiplicity: str = "distinct", stra
     every executor, if it has at most ``broadcast_rows`` edges; otherwise as
     ``auto``), or ``auto`` (the planner decides).
     """
-    if multiplicity not in MULTIPLICITIES:
-        raise ValueError(f"multiplicity must be one of {MULTIPLICITIES}, not {multiplicity!r}")
-    replicate, hint = _join_choice(edges, strategy, broadcast_rows)
-    pairs = pair_multiplicity(edges, distinct=multiplicity == "distinct").select(
-        "a", "b", F.col("m_ab").cast(count_type).alias("m_ab"), F.col("m_ba").cast(count_type).alias("m_ba"))
-    closed = _cycle_sums(pairs, multiplicity, replicate, hint)
-    if multiplicity != "distinct":
-        closed = closed.unionByName(_loop_sums(pairs, multiplicity))
-    return closed.agg(F.coalesce(F.sum("closed"), F.lit(0)).cast(count_type).alias("closed"))
+    closed = _closed(edges, multiplicity, strategy, count_type, broadcast_rows)
+    return closed.agg(F.expr(f"CAST(coalesce(sum(closed), 0) AS {count_type}) AS closed"))
 
 
 def triangle_count(edges: DataFrame, multiplicity: str = "distinct", strategy: str = "auto",
@@ -157,23 +147,19 @@ def triangle_count(edges: DataFrame, multiplicity: str = "distinct", strategy: s
     Always one row, 0 for a graph without triangles. Parameters as for
     ``closed_two_path_count``.
     """
-    closed = closed_two_path_count(edges, multiplicity, strategy, count_type, broadcast_rows)
-    return closed.select(F.call_function("div", "closed", F.lit(3)).cast(count_type).alias("triangles"))
+    closed = _closed(edges, multiplicity, strategy, count_type, broadcast_rows)
+    return closed.agg(F.expr(f"CAST(coalesce(sum(closed), 0) div 3 AS {count_type}) AS triangles"))
 
 
 def triangles(edges: DataFrame, strategy: str = "auto", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``(x, y, z)``: each directed 3-cycle once, beginning at its smallest id."""
-    replicate, hint = _join_choice(edges, strategy, broadcast_rows)
+    joins = _Joins(edges, strategy, broadcast_rows)
     pairs = pair_multiplicity(edges, distinct=True)
-    paths = _low_middle_paths(pairs, replicate, hint).select(
-        "x", "y", "z", F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b"))
-    back = F.when(F.col("z") < F.col("x"), F.col("m_ab")).otherwise(F.col("m_ba"))
-    cycles = paths.join(_prepared(pairs, replicate, hint), ["a", "b"]).where(back > 0)
-
-    first = F.least("x", "y", "z")
-    turned = (
-        F.when(first == F.col("x"), F.struct("x", "y", "z"))
-        .when(first == F.col("y"), F.struct(F.col("y").alias("x"), F.col("z").alias("y"), F.col("x").alias("z")))
-        .otherwise(F.struct(F.col("z").alias("x"), F.col("x").alias("y"), F.col("y").alias("z")))
+    paths = joins.low_middle_paths(pairs).selectExpr(
+        "x", "y", "z", "least(x, z) AS a", "greatest(x, z) AS b", "least(x, y, z) AS first")
+    cycles = paths.join(joins.side(pairs), ["a", "b"]).where("IF(z < x, m_ab, m_ba) > 0")
+    return cycles.selectExpr(
+        "first AS x",
+        "CASE first WHEN x THEN y WHEN y THEN z ELSE x END AS y",
+        "CASE first WHEN x THEN z WHEN y THEN x ELSE y END AS z",
     )
-    return cycles.select(turned.alias("t")).select("t.x", "t.y", "t.z")

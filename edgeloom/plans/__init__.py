@@ -1,6 +1,6 @@
 """Physical helpers: hub splitting, lineage cutting, size checks."""
 
-from edgeloom.plans.hubs import HUB_ROWS, ROWS_PER_PART, hub_table, parts_for, split_join
+from edgeloom.plans.hubs import HUB_ROWS, ROWS_PER_PART, hub_table, split_join
 from edgeloom.plans.staging import (
     BROADCAST_ROWS,
     fits_broadcast,
@@ -11,6 +11,6 @@ from edgeloom.plans.staging import (
 )
 
 __all__ = [
-    "BROADCAST_ROWS", "HUB_ROWS", "ROWS_PER_PART", "fits_broadcast", "hub_table", "parts_for",
+    "BROADCAST_ROWS", "HUB_ROWS", "ROWS_PER_PART", "fits_broadcast", "hub_table",
     "scratch_path", "shared_dir", "shuffle_partitions", "split_join", "stage",
 ]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions import every_part, part_of
+from edgeloom.functions import part_of
 
 # A hub list never has more rows than this or, for graphs above 10**12 edge ends,
 # the square root of their number; either is small enough to broadcast.
@@ -21,52 +21,46 @@ HUB_ROWS = 1_000_000
 ROWS_PER_PART = 100_000
 
 
-def hub_table(degrees: DataFrame, min_degree: int, max_rows: int = HUB_ROWS) -> DataFrame:
+def hub_table(degrees: DataFrame, edges: DataFrame, ends: int, min_degree: int,
+              max_rows: int = HUB_ROWS) -> DataFrame:
     """Vertices of ``degrees(v, d, ...)`` with more than ``part_rows`` rows.
 
-    ``part_rows`` is ``min_degree``, raised to ``sum(d) / max_rows`` where the graph
-    is large. Degrees above that add up to at most ``sum(d)``, so fewer than
-    ``max_rows`` vertices qualify whatever the graph looks like: this bound is what
-    makes the result safe to broadcast.
+    ``d`` counts rows of ``edges``, each at ``ends`` of its ends, so all degrees
+    together are ``ends * count(edges)``. ``part_rows`` is ``min_degree``, raised to that
+    sum over ``max_rows`` where the graph is large. Hence fewer than ``max_rows``
+    vertices qualify whatever the graph looks like: this bound is what makes the
+    result safe to broadcast.
     """
-    total = degrees.agg(F.coalesce(F.sum("d"), F.lit(0)).alias("total")).scalar()
+    total = edges.agg((F.count("*") * ends).alias("total")).scalar()
     rows = F.greatest(F.lit(float(max_rows)), F.sqrt(total))
-    part_rows = F.greatest(F.lit(min_degree).cast("bigint"), F.ceil(total / rows))
-    return degrees.withColumn("part_rows", part_rows).where(F.col("d") > F.col("part_rows"))
-
-
-def parts_for(rows) -> F.Column:
-    """Parts that a hub with ``rows`` rows is split into; 1 for any other vertex."""
-    return F.coalesce(F.ceil(rows / F.col("part_rows")), F.lit(1).cast("bigint"))
+    part_rows = F.greatest(F.lit(min_degree), F.ceil(total / rows)).cast("bigint")
+    return degrees.withColumn("part_rows", part_rows).where("d > part_rows")
 
 
 def split_join(left: DataFrame, right: DataFrame, key: str, left_end: str, right_end: str,
-               degrees: DataFrame, rows_per_part: int = ROWS_PER_PART,
-               hint: str | None = None) -> DataFrame:
+               hubs: DataFrame, hint: str | None = None) -> DataFrame:
     """Inner join on ``key`` where a hub forms a grid of tasks instead of one.
 
-    ``degrees(v, n_left, n_right, d)`` counts the rows of each key on both sides. The
-    left rows of a hub fall into parts by ``left_end``, the right rows by
-    ``right_end``; each left part meets each right part in a task of its own. Every
+    ``hubs(v, n_left, n_right, part_rows)`` is a hub table with the rows of each key on
+    both sides. The left rows of a hub fall into parts by ``left_end``, the right rows
+    by ``right_end``; each left part meets each right part in a task of its own. Every
     pair still meets exactly once.
     """
-    hubs = hub_table(degrees, rows_per_part).select(
-        F.col("v").alias(key),
-        parts_for(F.greatest("n_left", F.lit(1))).alias("left_parts"),
-        parts_for(F.greatest("n_right", F.lit(1))).alias("right_parts"),
+    grid = hubs.selectExpr(
+        f"v AS {key}",
+        "ceil(greatest(n_left, 1) / part_rows) AS hub_left",
+        "ceil(greatest(n_right, 1) / part_rows) AS hub_right",
     )
-    one = F.lit(1).cast("bigint")
-    left_parts, right_parts = F.coalesce("left_parts", one), F.coalesce("right_parts", one)
 
-    def spread(side, own_end, own_part, own_parts, other_part, other_parts):
-        return side.join(F.broadcast(hubs), key, "left").select(
+    def spread(side: DataFrame, own: str, own_end: str, other: str) -> DataFrame:
+        return side.join(F.broadcast(grid), key, "left").selectExpr(
             *side.columns,
-            part_of(F.col(own_end), own_parts).alias(own_part),
-            every_part(other_parts).alias(other_part),
+            f"{part_of(own_end, f'coalesce(hub_{own}, 1)')} AS {own}_part",
+            f"explode(sequence(0L, coalesce(hub_{other}, 1L) - 1)) AS {other}_part",
         )
 
-    left = spread(left, left_end, "left_part", left_parts, "right_part", right_parts)
-    right = spread(right, right_end, "right_part", right_parts, "left_part", left_parts)
+    left = spread(left, "left", left_end, "right")
+    right = spread(right, "right", right_end, "left")
     if hint:
         right = right.hint(hint)
     return left.join(right, [key, "left_part", "right_part"]).drop("left_part", "right_part")
