@@ -23,9 +23,12 @@ def reverse_edges(edges: DataFrame) -> DataFrame:
 def edge_multiplicity(edges: DataFrame) -> DataFrame:
     """``(src, dst, m)``: each different edge once, with its number of copies.
 
-    Copies are folded before the shuffle, however many there are.
+    Copies are folded before the shuffle, however many there are. The condition holds
+    for every edge; with it, all uses of the table read the same columns under the
+    same conditions, also those which only count rows, and so share one shuffle.
     """
-    return edges.groupBy("src", "dst").agg(F.count("*").alias("m"))
+    folded = edges.groupBy("src", "dst").agg(F.count("*").alias("m"))
+    return folded.where("m > 0 AND src IS NOT NULL AND dst IS NOT NULL")
 
 
 def vertices_of(edges: DataFrame) -> DataFrame:

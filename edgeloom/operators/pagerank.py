@@ -55,6 +55,21 @@ def _is_sink(vertex: Column, sink) -> Column:
     return F.lit(False) if sink is None else vertex == F.lit(sink)
 
 
+def _dead_end(sink) -> Column:
+    """The vertex passes nothing on, although it is not the sink."""
+    return (F.col("out_degree") == 0) & ~_is_sink(F.col("v"), sink)
+
+
+def _sum_where(df: DataFrame, condition: Column, column: str) -> DataFrame:
+    """One row: the sum of ``column`` over the rows that meet ``condition``, or 0.
+
+    The condition is kept inside of the sum. As a filter it would travel down to the
+    edges, and Spark would fold and join them a second time for the few that meet it.
+    """
+    chosen = F.when(condition, F.col(column)).otherwise(F.lit(0.0))
+    return df.agg(F.coalesce(F.sum(chosen), F.lit(0.0)).alias("total"))
+
+
 def _new_rank(sink, spread) -> Column:
     return F.when(_is_sink(F.col("v"), sink), F.lit(0.0)).otherwise(F.col("inc") + spread).alias("rank")
 
@@ -87,11 +102,9 @@ def pagerank_step(edges: DataFrame, vertices: DataFrame, ranks: DataFrame, n: in
 
     spread = F.lit(0.0)
     if sink is not None:
-        at_sink = inc.where(_is_sink(F.col("dst"), sink))
-        spread = spread + at_sink.agg(F.coalesce(F.sum("inc"), F.lit(0.0)).alias("at_sink")).scalar()
+        spread = spread + _sum_where(inc, _is_sink(F.col("dst"), sink), "inc").scalar()
     if normalize == "out_degree":
-        dangling = known.where((F.col("out_degree") == 0) & ~_is_sink(F.col("v"), sink))
-        spread = spread + dangling.agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("dangling")).scalar()
+        spread = spread + _sum_where(known, _dead_end(sink), "rank").scalar()
 
     kept = vertices.select("v").join(inc.withColumnRenamed("dst", "v"), "v", "left")
     return kept.select("v", F.coalesce("inc", F.lit(0.0)).alias("inc")).select(
@@ -154,9 +167,7 @@ def _spread_total(arrived: DataFrame, before: DataFrame, sink, normalize: str) -
     """Rank to spread: what reached the sink, plus what dead ends held before the step."""
     total = 0.0
     if sink is not None:
-        at_sink = arrived.where(_is_sink(F.col("v"), sink)).agg(F.sum("inc").alias("at_sink"))
-        total += at_sink.first()["at_sink"] or 0.0
+        total += _sum_where(arrived, _is_sink(F.col("v"), sink), "inc").first()["total"]
     if normalize == "out_degree":
-        held = before.where((F.col("out_degree") == 0) & ~_is_sink(F.col("v"), sink))
-        total += held.agg(F.sum("rank").alias("held")).first()["held"] or 0.0
+        total += _sum_where(before, _dead_end(sink), "rank").first()["total"]
     return total

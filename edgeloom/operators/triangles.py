@@ -23,7 +23,8 @@ def pair_multiplicity(edges: DataFrame, distinct: bool = False, count_type: str
     """``(a, b, m_ab, m_ba)`` with ``a <= b``: copies of a->b and of b->a.
 
     A self-loop is the pair ``a = b`` with its copies in ``m_ab``. With ``distinct``
-    both counts are 0 or 1 and loops are left out.
+    both counts are 0 or 1 and loops are left out. As in ``edge_multiplicity``, the
+    condition at the end makes all uses of the table share one shuffle.
     """
     if distinct:
         edges = edges.where("src != dst")
@@ -33,6 +34,7 @@ def pair_multiplicity(edges: DataFrame, distinct: bool = False, count_type: str
         .groupBy("a", "b")
         .agg(F.expr(f"CAST({fold}(IF(up, 1L, 0L)) AS {count_type}) AS m_ab"),
              F.expr(f"CAST({fold}(IF(up, 0L, 1L)) AS {count_type}) AS m_ba"))
+        .where("m_ab + m_ba > 0 AND a IS NOT NULL AND b IS NOT NULL")
     )
 
 
@@ -52,8 +54,10 @@ class _Joins:
         return df.hint(self.hint) if self.hint else df
 
     def low_middle_paths(self, pairs: DataFrame) -> DataFrame:
-        """``(x, y, z, m_in, m_out)``: two-paths over three vertices, lowest rank at y."""
-        pairs = pairs.where("a != b")
+        """``(x, y, z, m_in, m_out)``: two-paths over three vertices, lowest rank at y.
+
+        ``pairs`` must be free of loops.
+        """
         degree = pairs.selectExpr("explode(array(a, b)) AS v").groupBy("v").agg(F.count("*").alias("d"))
         ranks = hub_table(degree, pairs, 2, 0)
         for end in ("a", "b"):
@@ -92,16 +96,17 @@ def _cycle_sums(pairs: DataFrame, multiplicity: str, joins: _Joins) -> DataFrame
         f"IF(m_ab > 0, {ab}, 0) + IF(m_ba > 0, {ba}, 0) AS closed")
 
 
-def _loop_sums(pairs: DataFrame, multiplicity: str) -> DataFrame:
+def _loop_sums(edges: DataFrame, pairs: DataFrame, multiplicity: str, count_type: str) -> DataFrame:
     """``(closed)``: closed two-paths that use a self-loop.
 
     They stay on one vertex, or run over a vertex v with a loop and a neighbour in
     both directions. Per v only sums over such neighbours matter, so the join has one
     row per vertex on either side.
     """
-    loops = pairs.where("a = b").selectExpr("a AS v", "m_ab AS loop")
+    loops = edges.where("src = dst").groupBy(F.col("src").alias("v")).agg(
+        F.expr(f"CAST(count(*) AS {count_type}) AS loop"))
     there_and_back = (
-        pairs.where("a != b AND m_ab > 0 AND m_ba > 0")
+        pairs.where("m_ab > 0 AND m_ba > 0")
         .selectExpr("explode(array(a, b)) AS v", "m_ab", "m_ba")
         .groupBy("v")
         .agg(F.expr("sum(m_ab * m_ba) AS products"), F.expr("sum(m_ab + m_ba) AS sums"))
@@ -115,10 +120,10 @@ def _closed(edges, multiplicity, strategy, count_type, broadcast_rows) -> DataFr
     if multiplicity not in MULTIPLICITIES:
         raise ValueError(f"multiplicity must be one of {MULTIPLICITIES}, not {multiplicity!r}")
     joins = _Joins(edges, strategy, broadcast_rows)
-    pairs = pair_multiplicity(edges, multiplicity == "distinct", count_type)
+    pairs = pair_multiplicity(edges.where("src != dst"), multiplicity == "distinct", count_type)
     closed = _cycle_sums(pairs, multiplicity, joins)
     if multiplicity != "distinct":
-        closed = closed.unionByName(_loop_sums(pairs, multiplicity))
+        closed = closed.unionByName(_loop_sums(edges, pairs, multiplicity, count_type))
     return closed
 
 
