@@ -1,5 +1,15 @@
-"""Column-level building blocks."""
+"""Expression building blocks."""
 
-from edgeloom.functions.columns import ENDPOINTS, closed_paths, part_of, typed_id, whole_quotient, word_edges
+from edgeloom.functions.columns import (
+    ENDPOINTS,
+    ID_TYPES,
+    all_ids,
+    closed_paths,
+    ids_of,
+    is_one_pair,
+    part_of,
+    whole_quotient,
+)
 
-__all__ = ["ENDPOINTS", "closed_paths", "part_of", "typed_id", "whole_quotient", "word_edges"]
+__all__ = ["ENDPOINTS", "ID_TYPES", "all_ids", "closed_paths", "ids_of", "is_one_pair",
+           "part_of", "whole_quotient"]

@@ -1,58 +1,36 @@
-"""Column expressions shared by the readers, operators and sinks.
+"""SQL expressions shared by the readers and operators.
 
-Everything here stays inside the JVM. The helpers that only put an expression
-together return SQL text, which costs the driver one call however long it is.
+The helpers return SQL text, which costs the driver one call however long the
+expression is. All of it stays inside the JVM and inside generated code: no lambda
+functions, which Spark would interpret row by row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+ID_TYPES = ("bigint", "string")
 
 
-def typed_id(token: Column, id_type: str) -> Column:
-    """One id out of a text token; null when the token is not an id.
+def ids_of(tokens: str, id_type: str) -> str:
+    """The ids in an array of text tokens, null for a token that is no integer."""
+    return f"try_cast({tokens} AS array<bigint>)" if id_type == "bigint" else tokens
 
-    ``id_type="bigint"`` wants a 64-bit integer. ``id_type="string"`` takes any
-    non-empty text, so that ``01`` and ``1`` stay two users.
+
+def all_ids(word: str, ids: str, id_type: str) -> str:
+    """Whether each comma-separated token of ``word`` is an id.
+
+    With ``bigint`` that is a 64-bit integer. With ``string`` it is any text that is
+    not blank, so that ``01`` and ``1`` stay two users.
     """
-    trimmed = F.trim(token)
     if id_type == "bigint":
-        return trimmed.try_cast("bigint")
-    if id_type == "string":
-        return F.when(trimmed != "", trimmed)
-    raise ValueError(f"id_type must be 'bigint' or 'string', not {id_type!r}")
+        # array_join leaves nulls out, so a bad token shows in the number of pieces
+        return f"size(split(array_join({ids}, ','), ',')) = size({ids})"
+    return f"NOT {word} RLIKE '(^|,)\\\\s*(,|$)'"
 
 
-def word_edges(word: Column, id_type: str, malformed: Column) -> Column:
-    """``array<struct<src,dst>>`` of one comma-separated word.
-
-    ``a,b`` is one edge, ``a,b,c,d`` are two. A word with an odd number of
-    tokens, or with a token that is no id, gives ``malformed`` instead.
-    """
-    tokens = F.split(word, ",")
-    size = F.size(tokens)
-
-    def edge(at):
-        return F.struct(
-            typed_id(F.get(tokens, at), id_type).alias("src"),
-            typed_id(F.get(tokens, at + 1), id_type).alias("dst"),
-        )
-
-    first = edge(F.lit(0))
-    many = F.transform(F.sequence(F.lit(0), F.floor(size / 2).cast("int") - 1), lambda i: edge(i * 2))
-    return (
-        # Nearly every line holds one edge, so that case stays free of lambdas.
-        F.when(
-            (size == 2) & first["src"].isNotNull() & first["dst"].isNotNull(),
-            F.array(first),
-        )
-        .when(
-            (size > 2) & (size % 2 == 0) & F.forall(tokens, lambda t: typed_id(t, id_type).isNotNull()),
-            many,
-        )
-        .otherwise(malformed)
-    )
+def is_one_pair(ids: str, id_type: str) -> str:
+    """Cheap test for what nearly every word is: two ids."""
+    good = "{0}[{1}] IS NOT NULL" if id_type == "bigint" else "trim({0}[{1}]) != ''"
+    return f"size({ids}) = 2 AND {good.format(ids, 0)} AND {good.format(ids, 1)}"
 
 
 # Generator with both ends of an edge: columns ``v``, ``n_out``, ``n_in``.

@@ -21,22 +21,23 @@ from edgeloom.plans import ROWS_PER_PART, hub_table, shuffle_partitions, stage
 NORMALIZE = ("none", "out_degree")
 
 
-def _split_links(edges: DataFrame, rows_per_part: int) -> tuple[DataFrame, DataFrame]:
-    """Links for joining with ranks, and what each source needs for it.
+def _split_links(edges: DataFrame, rows_per_part: int) -> DataFrame:
+    """``(src, part, parts, dst, m)``: every different edge once, ready to meet ranks.
 
-    ``links(src, part, dst, m)`` holds every different edge once, the out-edges of a
-    hub spread over parts. ``sources(v, out_degree, parts)`` has a row per vertex with
-    out-edges; its rank has to be sent to that many parts.
+    The out-edges of a hub are spread over ``parts`` parts; other vertices have one.
     """
     folded = edge_multiplicity(edges)
-    out = folded.groupBy(F.col("src").alias("v")).agg(
-        F.count("*").alias("d"), F.sum("m").alias("out_degree"))
-    hubs = hub_table(out, folded, 1, rows_per_part).selectExpr("v", "ceil(d / part_rows) AS hub_parts")
+    out = folded.groupBy(F.col("src").alias("v")).agg(F.count("*").alias("d"))
+    hubs = hub_table(out, folded, 1, rows_per_part).selectExpr("v AS src", "ceil(d / part_rows) AS hub_parts")
     parts = "coalesce(hub_parts, 1L)"
-    links = folded.join(F.broadcast(hubs.withColumnRenamed("v", "src")), "src", "left").selectExpr(
-        "src", f"{part_of('dst', parts)} AS part", "dst", "m")
-    sources = out.join(F.broadcast(hubs), "v", "left").selectExpr("v", "out_degree", f"{parts} AS parts")
-    return links, sources
+    return folded.join(F.broadcast(hubs), "src", "left").selectExpr(
+        "src", f"{part_of('dst', parts)} AS part", f"{parts} AS parts", "dst", "m")
+
+
+def _sources(links: DataFrame) -> DataFrame:
+    """``(v, out_degree, parts)``: who has out-edges, and how many parts need its rank."""
+    return links.groupBy(F.col("src").alias("v")).agg(
+        F.sum("m").alias("out_degree"), F.max("parts").alias("parts"))
 
 
 def _incoming(links: DataFrame, ranks: DataFrame, normalize: str) -> DataFrame:
@@ -48,7 +49,7 @@ def _incoming(links: DataFrame, ranks: DataFrame, normalize: str) -> DataFrame:
     share = "rank / out_degree" if normalize == "out_degree" else "rank"
     sent = ranks.where("out_degree > 0").selectExpr(
         "v AS src", f"{share} AS share", "explode(sequence(0L, parts - 1)) AS part")
-    return links.join(sent, ["src", "part"]).groupBy("dst").agg(F.expr("sum(m * share) AS inc"))
+    return links.select("src", "part", "dst", "m").join(sent, ["src", "part"]).groupBy("dst").agg(F.expr("sum(m * share) AS inc"))
 
 
 def _is_sink(vertex: Column, sink) -> Column:
@@ -83,8 +84,8 @@ def incoming_rank(edges: DataFrame, ranks: DataFrame, normalize: str = "none",
                   rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """``(v, inc)``: sum of the ranks passed along the in-edges of each vertex."""
     _checked(normalize)
-    links, sources = _split_links(edges, rows_per_part)
-    inc = _incoming(links, ranks.join(sources, "v"), normalize)
+    links = _split_links(edges, rows_per_part)
+    inc = _incoming(links, ranks.join(_sources(links), "v"), normalize)
     return inc.select(F.col("dst").alias("v"), "inc")
 
 
@@ -96,8 +97,8 @@ def pagerank_step(edges: DataFrame, vertices: DataFrame, ranks: DataFrame, n: in
     without a rank carry nothing. The spread is 0 if nothing reached the sink.
     """
     _checked(normalize)
-    links, sources = _split_links(edges, rows_per_part)
-    known = ranks.join(sources, "v", "left").withColumn("out_degree", F.coalesce("out_degree", F.lit(0)))
+    links = _split_links(edges, rows_per_part)
+    known = ranks.join(_sources(links), "v", "left").withColumn("out_degree", F.coalesce("out_degree", F.lit(0)))
     inc = _incoming(links, known, normalize)
 
     spread = F.lit(0.0)
@@ -126,17 +127,17 @@ def pagerank(edges: DataFrame, vertices: DataFrame, iterations: int, sink=None,
     spark = edges.sparkSession
     tasks = shuffle_partitions(spark)
 
-    links, sources = _split_links(edges, rows_per_part)
+    links = _split_links(edges, rows_per_part).repartition(tasks, "src", "part").persist(
+        StorageLevel.MEMORY_AND_DISK)
     vertices = vertices.select("v")
     if sink is not None:
         id_type = vertices.schema["v"].dataType
         vertices = vertices.union(spark.range(1).select(F.lit(sink).cast(id_type).alias("v")))
-    vertices = vertices.distinct().join(sources, "v", "left").select(
+    vertices = vertices.distinct().join(_sources(links), "v", "left").select(
         "v",
         F.coalesce("out_degree", F.lit(0)).alias("out_degree"),
         F.coalesce("parts", F.lit(1)).cast("bigint").alias("parts"),
     )
-    links = links.repartition(tasks, "src", "part").persist(StorageLevel.MEMORY_AND_DISK)
     vertices = vertices.repartition(tasks, "v").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if n is None:

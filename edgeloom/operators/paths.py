@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from edgeloom.functions import whole_quotient
 from edgeloom.operators.degrees import degrees
 from edgeloom.operators.edges import edge_multiplicity
-from edgeloom.plans import ROWS_PER_PART, fits_broadcast, hub_table, split_join
+from edgeloom.plans import (
+    BROADCAST_ROWS, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, split_join,
+)
 
 
-def two_paths(edges: DataFrame, strategy: str = "auto", rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def two_paths(edges: DataFrame, strategy: str = "auto", rows_per_part: int = ROWS_PER_PART,
+              broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``(x, y, z, m)``: edges x->y and y->z joined at y, ``m`` times each.
 
     Copies of an edge are folded first, so a row stands for all copies of a path.
@@ -19,10 +22,12 @@ def two_paths(edges: DataFrame, strategy: str = "auto", rows_per_part: int = ROW
     wanted, ``two_path_count`` never builds it. The rows of hubs are laid out as a
     grid of tasks.
     """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     folded = edge_multiplicity(edges)
     into = folded.selectExpr("src AS x", "dst AS y", "m AS m_in")
     out = folded.selectExpr("src AS y", "dst AS z", "m AS m_out")
-    if strategy == "broadcast" and fits_broadcast(edges):
+    if strategy == "broadcast" and fits_broadcast(edges, broadcast_rows):
         joined = into.join(F.broadcast(out), "y")
     else:
         at = degrees(folded).selectExpr("v", "n_in AS n_left", "n_out AS n_right", "n_in + n_out AS d")

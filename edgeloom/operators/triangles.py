@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.functions import closed_paths
-from edgeloom.plans import BROADCAST_ROWS, fits_broadcast, hub_table, shuffle_partitions
+from edgeloom.plans import BROADCAST_ROWS, STRATEGIES, fits_broadcast, hub_table, shuffle_partitions
 
 MULTIPLICITIES = ("distinct", "all", "closing_exists")
-STRATEGIES = ("auto", "shuffle", "broadcast")
 
 
 def pair_multiplicity(edges: DataFrame, distinct: bool = False, count_type: str = "bigint") -> DataFrame:

@@ -3,6 +3,7 @@
 from edgeloom.plans.hubs import HUB_ROWS, ROWS_PER_PART, hub_table, split_join
 from edgeloom.plans.staging import (
     BROADCAST_ROWS,
+    STRATEGIES,
     fits_broadcast,
     scratch_path,
     shared_dir,
@@ -11,6 +12,6 @@ from edgeloom.plans.staging import (
 )
 
 __all__ = [
-    "BROADCAST_ROWS", "HUB_ROWS", "ROWS_PER_PART", "fits_broadcast", "hub_table",
+    "BROADCAST_ROWS", "HUB_ROWS", "ROWS_PER_PART", "STRATEGIES", "fits_broadcast", "hub_table",
     "scratch_path", "shared_dir", "shuffle_partitions", "split_join", "stage",
 ]

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# How to join: the planner decides, sort-merge, or the graph on every executor.
+STRATEGIES = ("auto", "shuffle", "broadcast")
+
 # Edge rows that ``strategy="broadcast"`` may replicate to every executor. A row is
 # at most five 8-byte columns, so this is about 80 MB.
 BROADCAST_ROWS = 2_000_000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.functions import word_edges
+from edgeloom.functions import ID_TYPES, all_ids, ids_of, is_one_pair
 
 
 def parse_edges(lines: DataFrame, column: str = "value", mode: str = "fail", id_type: str = "bigint") -> DataFrame:
@@ -18,11 +18,26 @@ def parse_edges(lines: DataFrame, column: str = "value", mode: str = "fail", id_
     """
     if mode not in ("fail", "drop"):
         raise ValueError(f"mode must be 'fail' or 'drop', not {mode!r}")
-    word = F.col("word")
-    no_edges = F.array().cast(f"array<struct<src:{id_type},dst:{id_type}>>")
-    malformed = no_edges if mode == "drop" else F.raise_error(F.concat(F.lit("malformed edge: "), word))
-    words = lines.select(F.explode(F.split(F.col(column), r"\s+")).alias("word")).where(word != "")
-    return words.select(F.inline(word_edges(word, id_type, malformed)))
+    if id_type not in ID_TYPES:
+        raise ValueError(f"id_type must be one of {ID_TYPES}, not {id_type!r}")
+    malformed = "array()" if mode == "drop" else "raise_error(concat('malformed edge: ', word))"
+    words = (
+        lines.select(F.col(column).alias("line"))
+        .selectExpr("explode(CASE WHEN contains(line, ' ') THEN split(line, ' ') ELSE array(line) END) AS word")
+        .where("word != ''")
+        .selectExpr("word", "split(word, ',') AS tokens")
+        .selectExpr("word", f"{ids_of('tokens', id_type)} AS ids")
+    )
+    # One row for each pair, by the place of its first id.
+    places = f"""
+        CASE WHEN {is_one_pair('ids', id_type)} THEN array(0)
+             WHEN size(ids) > 2 AND size(ids) % 2 = 0 AND {all_ids('word', 'ids', id_type)}
+             THEN sequence(0, size(ids) - 2, 2)
+             ELSE {malformed} END"""
+    pairs = words.selectExpr("ids", f"explode({places}) AS place")
+    tidy = "trim({})" if id_type == "string" else "{}"
+    return pairs.selectExpr(
+        tidy.format("ids[place]") + " AS src", tidy.format("ids[place + 1]") + " AS dst")
 
 
 def read_edges(spark: SparkSession, path: str | list[str], mode: str = "fail", id_type: str = "bigint") -> DataFrame:
