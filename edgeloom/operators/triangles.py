@@ -9,11 +9,13 @@ sqrt(2 * edges), and a user with a third of all edges adds next to nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions import closed_paths
-from edgeloom.plans import BROADCAST_ROWS, STRATEGIES, fits_broadcast, hub_table, shuffle_partitions
+from edgeloom.functions import closed_paths, part_of
+from edgeloom.plans import (
+    BROADCAST_ROWS, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, shuffle_partitions,
+)
 
 MULTIPLICITIES = ("distinct", "all", "closing_exists")
 
@@ -52,22 +54,14 @@ class _Joins:
             return F.broadcast(df)
         return df.hint(self.hint) if self.hint else df
 
-    def low_middle_paths(self, pairs: DataFrame) -> DataFrame:
-        """``(x, y, z, m_in, m_out)``: two-paths over three vertices, lowest rank at y.
-
-        ``pairs`` must be free of loops.
-        """
-        degree = pairs.selectExpr("explode(array(a, b)) AS v").groupBy("v").agg(F.count("*").alias("d"))
-        ranks = hub_table(degree, pairs, 2, 0)
-        for end in ("a", "b"):
-            pairs = pairs.join(F.broadcast(ranks.selectExpr(f"v AS {end}", f"d AS d_{end}")), end, "left")
-
-        # Vertices outside of the bounded rank table share rank 0; ties go by id.
-        ordered = pairs.withColumn("a_low", F.expr("coalesce(d_a, 0) <= coalesce(d_b, 0)")).selectExpr(
-            "IF(a_low, a, b) AS low", "IF(a_low, b, a) AS high",
+    def low_middle_paths(self, ranked: DataFrame) -> DataFrame:
+        """``(x, y, z, m_in, m_out, d_x, d_z)``: two-paths over three vertices, lowest rank at y."""
+        # Ties go by id: a < b.
+        ordered = ranked.withColumn("a_low", F.expr("d_a <= d_b")).selectExpr(
+            "IF(a_low, a, b) AS low", "IF(a_low, b, a) AS high", "IF(a_low, d_b, d_a) AS d_high",
             "IF(a_low, m_ab, m_ba) AS m_up", "IF(a_low, m_ba, m_ab) AS m_down")
-        into = ordered.where("m_down > 0").selectExpr("high AS x", "low AS y", "m_down AS m_in")
-        out = ordered.where("m_up > 0").selectExpr("low AS y", "high AS z", "m_up AS m_out")
+        into = ordered.where("m_down > 0").selectExpr("high AS x", "low AS y", "m_down AS m_in", "d_high AS d_x")
+        out = ordered.where("m_up > 0").selectExpr("low AS y", "high AS z", "m_up AS m_out", "d_high AS d_z")
         # A few bytes of edges make many paths, so the number of tasks is fixed here
         # instead of being merged by the size of their input.
         if self.replicate:
@@ -77,10 +71,24 @@ class _Joins:
         return into.join(self.side(out), "y").where("x != z")
 
 
+def _ranked(pairs: DataFrame) -> DataFrame:
+    """``pairs`` without loops, with the degrees ``d_a`` and ``d_b`` that rank their ends.
+
+    Only as many vertices are ranked as a broadcast can hold for certain; those with
+    the fewest neighbours share rank 0.
+    """
+    degree = pairs.selectExpr("explode(array(a, b)) AS v").groupBy("v").agg(F.count("*").alias("d"))
+    ranks = hub_table(degree, pairs, 2, 0)
+    for end in ("a", "b"):
+        pairs = pairs.join(F.broadcast(ranks.selectExpr(f"v AS {end}", f"d AS d_{end}")), end, "left")
+    return pairs.selectExpr(
+        "a", "b", "m_ab", "m_ba", "coalesce(d_a, 0L) AS d_a", "coalesce(d_b, 0L) AS d_b")
+
+
 def _cycle_sums(pairs: DataFrame, multiplicity: str, joins: _Joins) -> DataFrame:
     """``(closed)``: closed two-paths over three different vertices, in partial sums."""
     # The closing edge z->x is a->b of its pair where z < x, and b->a otherwise.
-    paths = joins.low_middle_paths(pairs).selectExpr(
+    paths = joins.low_middle_paths(_ranked(pairs)).selectExpr(
         "least(x, z) AS a", "greatest(x, z) AS b",
         "IF(z < x, m_in * m_out, 0) AS products_ab", "IF(z < x, m_in + m_out, 0) AS sums_ab",
         "IF(z < x, 0, m_in * m_out) AS products_ba", "IF(z < x, 0, m_in + m_out) AS sums_ba")
@@ -155,15 +163,27 @@ def triangle_count(edges: DataFrame, multiplicity: str = "distinct", strategy: s
     return closed.agg(F.expr(f"CAST(coalesce(sum(closed), 0) div 3 AS {count_type}) AS triangles"))
 
 
-def triangles(edges: DataFrame, strategy: str = "auto", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``(x, y, z)``: each directed 3-cycle once, beginning at its smallest id."""
+def triangles(edges: DataFrame, strategy: str = "auto", broadcast_rows: int = BROADCAST_ROWS,
+              rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """``(x, y, z)``: each directed 3-cycle once, beginning at its smallest id.
+
+    Two hubs may be the ends of very many two-paths, though never of more than the
+    smaller of their degrees. The paths of such a pair are spread over parts by their
+    middle vertex, and the pair is repeated for each part.
+    """
     joins = _Joins(edges, strategy, broadcast_rows)
-    pairs = pair_multiplicity(edges, distinct=True)
-    paths = joins.low_middle_paths(pairs).selectExpr(
-        "x", "y", "z", "least(x, z) AS a", "greatest(x, z) AS b", "least(x, y, z) AS first")
-    cycles = paths.join(joins.side(pairs), ["a", "b"]).where("IF(z < x, m_ab, m_ba) > 0")
-    return cycles.selectExpr(
+    ranked = _ranked(pair_multiplicity(edges, distinct=True))
+    paths = joins.low_middle_paths(ranked).withColumn("parts", _parts("d_x", "d_z", rows_per_part)).selectExpr(
+        "x", "y", "z", "least(x, z) AS a", "greatest(x, z) AS b", f"{part_of('y', 'parts')} AS part")
+    closing = ranked.withColumn("parts", _parts("d_a", "d_b", rows_per_part)).selectExpr(
+        "a", "b", "m_ab", "m_ba", "explode(sequence(0L, parts - 1)) AS part")
+    cycles = paths.join(joins.side(closing), ["a", "b", "part"]).where("IF(z < x, m_ab, m_ba) > 0")
+    return cycles.withColumn("first", F.expr("least(x, y, z)")).selectExpr(
         "first AS x",
         "CASE first WHEN x THEN y WHEN y THEN z ELSE x END AS y",
         "CASE first WHEN x THEN z WHEN y THEN x ELSE y END AS z",
     )
+
+
+def _parts(degree: str, other_degree: str, rows_per_part: int) -> Column:
+    return F.expr(f"greatest(1L, ceil(least({degree}, {other_degree}) / {rows_per_part}))")

@@ -80,6 +80,16 @@ def test_hub_in_a_third_of_all_edges(edges):
         assert one(closed_two_path_count(graph, multiplicity)) == brute.closed_two_paths(pairs, multiplicity)
 
 
+def test_two_hubs_with_many_common_neighbours(edges):
+    pairs = [(v, 0) for v in range(2, 120)] + [(1, v) for v in range(2, 120)] + [(0, 1), (0, 2), (2, 1)]
+    want = brute.triangles(pairs)
+    assert len(want) == 118
+    for strategy in ("shuffle", "broadcast"):
+        for rows_per_part in (1, 10, 100_000):
+            got = triangles(edges(pairs), strategy, rows_per_part=rows_per_part).collect()
+            assert sorted(map(tuple, got)) == want
+
+
 def test_broadcast_beyond_its_bound_still_counts(edges):
     plan = triangle_count(edges(TRIANGLE), strategy="broadcast", broadcast_rows=2)
     assert one(plan) == 1
