@@ -120,8 +120,9 @@ def pagerank(edges: DataFrame, vertices: DataFrame, iterations: int, sink=None,
     ``ranks`` defaults to ``1/n`` for each vertex and 0 for the sink; ``n`` to the
     number of vertices besides the sink. Links and vertices are laid out and kept
     once, so a step shuffles the ranks and the partial sums but never the links. Each
-    step ends in a written table (see ``stage``): no lineage builds up, and lost
-    executors cost one step at most. Per step the driver sees one number, the spread.
+    step ends in a written table (see ``stage``): no lineage builds up, and a lost
+    executor costs its share of the links and of the step under way. Per step the
+    driver sees one number, the spread.
     """
     _checked(normalize)
     spark = edges.sparkSession

@@ -1,7 +1,13 @@
+import importlib
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from edgeloom import follower_count, follows, max_filter, triangle_count, two_paths
+from edgeloom import (
+    adjacency, follower_count, follows, initial_ranks, max_filter, pagerank_step, triangle_count, triangles,
+    two_paths, vertices_of,
+)
 from edgeloom.plans import fits_broadcast, hub_table, shared_dir, stage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -11,6 +17,12 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def nodes(plan):
+    """Names of the nodes of a physical plan, leaving out how kept tables were made."""
+    children = plan.children()
+    return [plan.nodeName()] + sum((nodes(children.apply(i)) for i in range(children.size())), [])
+
+
 def degree_table(spark, degrees):
     return spark.createDataFrame(list(enumerate(degrees)), "v BIGINT, d BIGINT")
 
@@ -53,6 +65,56 @@ def test_no_join_without_keys_and_no_python(spark):
             assert word not in plan
 
 
+def test_a_step_shuffles_ranks_and_sums_but_not_links(spark, monkeypatch):
+    module = importlib.import_module("edgeloom.operators.pagerank")
+    steps = []
+
+    def watched(df, name):
+        steps.append(nodes(df._jdf.queryExecution().executedPlan().initialPlan()))
+        return stage(df, name)
+
+    monkeypatch.setattr(module, "stage", watched)
+    graph = follows(spark, SF_DIR)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as if the ranks were many
+    try:
+        module.pagerank(graph, vertices_of(graph), 3, normalize="out_degree")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    for names in steps[1:]:
+        assert names.count("Exchange") == 2, names
+        assert names.count("InMemoryTableScan") == 2  # links and vertices
+        assert names.count("Scan parquet ") == 1  # the written table of the step before
+
+
+def rows_read(spark, run):
+    """Input rows of all tasks that ``run`` starts."""
+    sc, jvm = spark.sparkContext, spark.sparkContext._jvm
+
+    def total():
+        stages = sc._jsc.sc().statusStore().stageList(
+            jvm.java.util.ArrayList(), False, False, sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    before = total()
+    run()
+    time.sleep(1.0)  # the store is filled by a listener
+    return total() - before
+
+
+def test_edges_are_scanned_once(spark):
+    graph = follows(spark, SF_DIR)
+    users = spark.read.parquet(f"{SF_DIR}/customer.parquet").selectExpr("c_custkey AS v")
+    assert rows_read(spark, lambda: triangle_count(graph).collect()) == 1500
+    assert rows_read(spark, lambda: triangle_count(graph, "all", "shuffle").collect()) == 3000  # loops apart
+    assert rows_read(spark, lambda: triangles(graph).collect()) == 1500
+    assert rows_read(spark, lambda: two_paths(graph).collect()) == 1500
+    assert rows_read(spark, lambda: adjacency(graph).collect()) == 1500
+    ranks = initial_ranks(users, 150)
+    assert rows_read(
+        spark, lambda: pagerank_step(graph, users, ranks, 150, 0, "out_degree").collect()) <= 1500 + 4 * 150
+
+
 def test_stage_cuts_the_plan(spark):
     made = stage(spark.range(10).withColumn("x", F.col("id") * 2), "t")
     assert "Range" not in plan_of(made)
