@@ -24,18 +24,30 @@ def pair_multiplicity(edges: DataFrame, distinct: bool = False, count_type: str
     """``(a, b, m_ab, m_ba)`` with ``a <= b``: copies of a->b and of b->a.
 
     A self-loop is the pair ``a = b`` with its copies in ``m_ab``. With ``distinct``
-    both counts are 0 or 1 and loops are left out. As in ``edge_multiplicity``, the
-    condition at the end makes all uses of the table share one shuffle.
+    both counts are 0 or 1 and loops are left out.
+    """
+    return _folded_pairs(edges, distinct, count_type).selectExpr(
+        "a", "b", "m_ab", f"CAST(coalesce(m_ba, 0) AS {count_type}) AS m_ba")
+
+
+def _folded_pairs(edges: DataFrame, distinct: bool, count_type: str) -> DataFrame:
+    """As ``pair_multiplicity``, with ``m_ba`` null for a loop, which has no way back.
+
+    Loops are told apart by that sum and not by their ids: a condition on the ids would
+    travel below the shuffle, and the uses with and without loops could not share it.
+    For the same reason the condition at the end names all columns, as in
+    ``edge_multiplicity``.
     """
     if distinct:
         edges = edges.where("src != dst")
     fold = "max" if distinct else "sum"
     return (
-        edges.selectExpr("least(src, dst) AS a", "greatest(src, dst) AS b", "src <= dst AS up")
+        edges.selectExpr("least(src, dst) AS a", "greatest(src, dst) AS b", "src <= dst AS up",
+                         "CASE WHEN src > dst THEN 1L WHEN src < dst THEN 0L END AS down")
         .groupBy("a", "b")
         .agg(F.expr(f"CAST({fold}(IF(up, 1L, 0L)) AS {count_type}) AS m_ab"),
-             F.expr(f"CAST({fold}(IF(up, 0L, 1L)) AS {count_type}) AS m_ba"))
-        .where("m_ab + m_ba > 0 AND a IS NOT NULL AND b IS NOT NULL")
+             F.expr(f"CAST({fold}(down) AS {count_type}) AS m_ba"))
+        .where("m_ab + coalesce(m_ba, 0) > 0 AND a IS NOT NULL AND b IS NOT NULL")
     )
 
 
@@ -103,15 +115,13 @@ def _cycle_sums(pairs: DataFrame, multiplicity: str, joins: _Joins) -> DataFrame
         f"IF(m_ab > 0, {ab}, 0) + IF(m_ba > 0, {ba}, 0) AS closed")
 
 
-def _loop_sums(edges: DataFrame, pairs: DataFrame, multiplicity: str, count_type: str) -> DataFrame:
+def _loop_sums(loops: DataFrame, pairs: DataFrame, multiplicity: str) -> DataFrame:
     """``(closed)``: closed two-paths that use a self-loop.
 
     They stay on one vertex, or run over a vertex v with a loop and a neighbour in
     both directions. Per v only sums over such neighbours matter, so the join has one
     row per vertex on either side.
     """
-    loops = edges.where("src = dst").groupBy(F.col("src").alias("v")).agg(
-        F.expr(f"CAST(count(*) AS {count_type}) AS loop"))
     there_and_back = (
         pairs.where("m_ab > 0 AND m_ba > 0")
         .selectExpr("explode(array(a, b)) AS v", "m_ab", "m_ba")
@@ -127,11 +137,12 @@ def _closed(edges, multiplicity, strategy, count_type, broadcast_rows) -> DataFr
     if multiplicity not in MULTIPLICITIES:
         raise ValueError(f"multiplicity must be one of {MULTIPLICITIES}, not {multiplicity!r}")
     joins = _Joins(edges, strategy, broadcast_rows)
-    pairs = pair_multiplicity(edges.where("src != dst"), multiplicity == "distinct", count_type)
-    closed = _cycle_sums(pairs, multiplicity, joins)
-    if multiplicity != "distinct":
-        closed = closed.unionByName(_loop_sums(edges, pairs, multiplicity, count_type))
-    return closed
+    if multiplicity == "distinct":
+        return _cycle_sums(_folded_pairs(edges, True, count_type), multiplicity, joins)
+    folded = _folded_pairs(edges, False, count_type)
+    pairs = folded.where("m_ba IS NOT NULL")
+    loops = folded.where("m_ba IS NULL").selectExpr("a AS v", "m_ab AS loop")
+    return _cycle_sums(pairs, multiplicity, joins).unionByName(_loop_sums(loops, pairs, multiplicity))
 
 
 def closed_two_path_count(edges: DataFrame, multiplicity: str = "distinct", strategy: str = "auto",
@@ -159,8 +170,10 @@ def triangle_count(edges: DataFrame, multiplicity: str = "distinct", strategy: s
     Always one row, 0 for a graph without triangles. Parameters as for
     ``closed_two_path_count``.
     """
-    closed = _closed(edges, multiplicity, strategy, count_type, broadcast_rows)
-    return closed.agg(F.expr(f"CAST(coalesce(sum(closed), 0) div 3 AS {count_type}) AS triangles"))
+    closed = closed_two_path_count(edges, multiplicity, strategy, count_type, broadcast_rows)
+    # div would be shorter, but its result is always 64 bits wide
+    return closed.selectExpr(f"CAST((closed - closed % 3) / 3 AS {count_type}) AS triangles"
+                             if count_type != "bigint" else "closed div 3 AS triangles")
 
 
 def triangles(edges: DataFrame, strategy: str = "auto", broadcast_rows: int = BROADCAST_ROWS,
@@ -172,7 +185,7 @@ def triangles(edges: DataFrame, strategy: str = "auto", broadcast_rows: int = BR
     middle vertex, and the pair is repeated for each part.
     """
     joins = _Joins(edges, strategy, broadcast_rows)
-    ranked = _ranked(pair_multiplicity(edges, distinct=True))
+    ranked = _ranked(_folded_pairs(edges, True, "bigint"))
     paths = joins.low_middle_paths(ranked).withColumn("parts", _parts("d_x", "d_z", rows_per_part)).selectExpr(
         "x", "y", "z", "least(x, z) AS a", "greatest(x, z) AS b", f"{part_of('y', 'parts')} AS part")
     closing = ranked.withColumn("parts", _parts("d_a", "d_b", rows_per_part)).selectExpr(

@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 import brute
 from edgeloom import closed_two_path_count, triangle_count, triangles, two_path_count
@@ -99,9 +101,14 @@ def test_a_third_of_the_closed_paths_rounded_down(edges, copies, want):
     assert (one(triangle_count(graph, "all")), one(triangle_count(graph, "closing_exists"))) == want
 
 
-def test_wide_counts(edges):
-    many = edges([(1, 2), (2, 3), (3, 1)])
-    assert int(one(triangle_count(many, "all", count_type="decimal(38,0)"))) == 1
+def test_counts_beyond_64_bits(spark):
+    copies = 3_000_000
+    ends = F.expr("explode(array(struct(1L AS src, 2L AS dst), struct(2L AS src, 3L AS dst), struct(3L AS src, 1L AS dst)))")
+    many = spark.range(copies).select(ends.alias("e")).select("e.*")
+    assert int(one(triangle_count(many, "all", count_type="decimal(38,0)"))) == copies**3 > 2**63
+    with pytest.raises(PySparkException, match="OVERFLOW"):
+        one(triangle_count(many, "all"))
+    assert one(triangle_count(many, "closing_exists")) == copies**2
 
 
 def test_unknown_choices(edges):
