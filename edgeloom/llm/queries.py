@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import mixing, qda, rules
+from edgeloom.llm import mixing, packing, qda, rules, tokens
+from edgeloom.plans import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,15 @@ ORACLES: dict[str, str] = {}
 BUCKET = "crc32(CAST(CAST(doc_id AS string) AS binary)) % {n}"
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -49,3 +59,15 @@ def op7_quality_classifier(spark, d):
     scored = qda.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"), f"NOT {held_out}")
     return scored.select("doc_id", F.expr(held_out).alias("held_out"), "score",
                          F.expr("IF(score >= 0.7D, 1, 0)").alias("predicted"))
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark, d):
+    # a cache of its own: the query answers for an empty one, in which every distinct text is a miss
+    counted = tokens.token_counts(table(spark, d, "documents"), tokenizer_path(), scratch_path(spark, "token-cache"))
+    return counted.withColumn("over_limit", F.expr("n_tokens > 1024"))
+
+
+@query("op8_pack_sequences")
+def op8_pack_sequences(spark, d):
+    return packing.pack(table(spark, d, "documents"), tokenizer_path())
