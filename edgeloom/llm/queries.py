@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import mixing, packing, qda, rules, tokens
+from edgeloom.llm import mixing, packing, qda, rules, tokens, warc
 from edgeloom.plans import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# SHA-1 in base 32 is 32 letters, five bits each, out of 40 hexadecimal digits.
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+hashed AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS digest FROM p),
+ranked AS (SELECT *, max(page_id) OVER (PARTITION BY digest, payload_bytes) AS kept FROM hashed)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+         ((CAST('0x' || substr(digest, CAST(i * 5 // 4 + 1 AS BIGINT), 2) AS BIGINT) >> CAST(3 - i * 5 % 4 AS BIGINT)) & 31) + 1
+         AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+       IF(page_id = kept, 'response', 'revisit') AS record_type, IF(page_id = kept, NULL, kept) AS refers_to
+FROM ranked"""
+
+
+@query("op1_warc_bundles", WARC_SQL)
+def op1_warc_bundles(spark, d):
+    folder = scratch_path(spark, "warc")
+    index = warc.write_bundles(table(spark, d, "pages"), folder)
+    return warc.read_bundles(index, folder).drop("html")
+
+
 @query("op2_quality_rules")
 def op2_quality_rules(spark, d):
     judged = rules.apply_rules(table(spark, d, "documents"), table(spark, d, "labels"))
