@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import mixing, packing, qda, rules, tokens, warc
+from edgeloom.llm import jaccard, mixing, packing, qda, rules, tokens, warc
 from edgeloom.plans import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,11 @@ def op4_mix_sources(spark, d):
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_similar_documents")
+def op6_similar_documents(spark, d):
+    return jaccard.similar_documents(table(spark, d, "documents"), words=4, percent=85)
+
+
 @query("op7_quality_classifier")
 def op7_quality_classifier(spark, d):
     held_out = f"coalesce({BUCKET.format(n=4)} = 2, false)"
