@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.plans import stage
+from edgeloom.llm.tables import written
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -33,13 +33,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.where("a IS NOT NULL AND b IS NOT NULL")
     nodes = links.selectExpr("a AS node").union(links.selectExpr("b AS node")).distinct()
-    current = stage(links.where("a != b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
+    current = written(links.where("a != b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
     before = None
     while True:
         print_of = current.agg(F.count("*"), F.expr("coalesce(bit_xor(xxhash64(a, b)), 0L)")).first()
         if tuple(print_of) == before or not print_of[0]:
             break
         before = tuple(print_of)
-        current = stage(_stars(_stars(current, True), False), "links")
+        current = written(_stars(_stars(current, True), False), "links")
     return nodes.join(current.selectExpr("a AS node", "b AS component").hint("merge"), "node", "left").selectExpr(
         "node", "coalesce(component, node) AS component")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.components import components
-from edgeloom.plans import stage
+from edgeloom.llm.tables import repeated_keys, written
 
 BAND_RATIO = 0.7  # smallest over largest size of a band
 FREQUENT_SAMPLE = 5_000  # documents looked at for very frequent shingles; steers chunk keys, not results
@@ -185,8 +185,7 @@ def _frequent(docs: DataFrame, rows: int, words: int) -> np.ndarray:
 def _members(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """``(key, node)`` for every key that more than one set may have.
 
-    Rows are dealt out by ranges of key and node, so that a key that a third of all sets share is split
-    over tasks. A task drops keys with a single node, unless the key may go on in a neighbouring range.
+    A set that two tasks have may leave its keys with that one node.
     """
     scheme = Bands(percent)
 
@@ -207,32 +206,8 @@ def _members(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
                 yield pa.RecordBatch.from_arrays(
                     [_signed(np.concatenate(found)), pa.array(np.concatenate(nodes))], ["key", "node"])
 
-    def repeated(batches):
-        def batch_of(key, node):
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
-
-        first, held = None, None  # the first key of the task; rows of the last key so far: two at most
-        for batch in batches:
-            key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if held is not None:
-                key, node = np.concatenate([held[0], key]), np.concatenate([held[1], node])
-            if not len(key):
-                continue
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
-            key, node = key[new], node[new]
-            first = key[0] if first is None else first
-            same = key[1:] == key[:-1]
-            keep = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (key == first)
-            done = len(key) if len(key) < 2 else len(key) - (2 if same[-1] else 1)
-            done = 0 if len(key) < 2 else done
-            yield batch_of(key[:done][keep[:done]], node[:done][keep[:done]])
-            held = (key[done:], node[done:])
-        if held is not None:
-            yield batch_of(*held)
-
     rows = docs.select("text").mapInArrow(keys, "key bigint, node bigint")
-    ordered = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    return stage(ordered.mapInArrow(repeated, "key bigint, node bigint"), "members")
+    return written(repeated_keys(rows), "members")
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -264,7 +239,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, p
                 keep.append(jaccard_links(shingle_hashes(a, words), last, percent))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    close = stage(_close(pairs, nodes, percent), "close")
+    close = written(_close(pairs, nodes, percent), "close")
     # an id may have several rows, of which one is the text of the set: others fail the comparison
     for end in ("x", "y"):
         close = close.join(docs.selectExpr(f"doc_id AS doc_{end}", f"text AS text_{end}"), f"doc_{end}")
@@ -280,8 +255,8 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     further. A null id is in the component of its text.
     """
     docs = docs.selectExpr("doc_id", "CAST(text AS binary) AS text")
-    sets = stage(_document_sets(docs, words), "sets")
-    nodes = stage(sets.where("node IS NOT NULL").groupBy("node").agg(
+    sets = written(_document_sets(docs, words), "sets")
+    nodes = written(sets.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes")
     frequent = _frequent(docs, sets.count(), words)
     members = _members(docs, words, percent, frequent)
@@ -289,18 +264,18 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     centers = members.groupBy("key").agg(F.min("node").alias("y"), F.max("node").alias("last")).where("y < last")
     first = members.withColumnRenamed("node", "x").join(centers.drop("last").hint("merge"), "key").where(
         "x != y").select("x", "y").distinct()
-    links = stage(_verified(first, nodes, docs, words, percent), "links")
-    labels = stage(components(links.toDF("a", "b")), "labels")
+    links = written(_verified(first, nodes, docs, words, percent), "links")
+    labels = written(components(links.toDF("a", "b")), "labels")
 
     labelled = members.join(labels.hint("merge"), "node", "left").selectExpr(
         "key", "node", "coalesce(component, node) AS label")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
         "low < high").select("key")
-    open_groups = stage(labelled.join(mixed.hint("merge"), "key"), "open")
+    open_groups = written(labelled.join(mixed.hint("merge"), "key"), "open")
     rest = open_groups.selectExpr("key", "node AS x", "label AS label_x").join(
         open_groups.selectExpr("key", "node AS y", "label AS label_y").hint("merge"), "key").where(
         "x < y AND label_x != label_y").select("x", "y").distinct()
-    more = stage(_verified(rest, nodes, docs, words, percent), "links")
+    more = written(_verified(rest, nodes, docs, words, percent), "links")
 
     found = components(links.unionByName(more).toDF("a", "b")).join(nodes.select("node", "doc_id"), "node")
     smallest = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from edgeloom.plans import stage
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 MAX_REPEATS = 3
 
 WORD_COUNT = "CAST(regexp_count(coalesce(text, ''), '[^\\\\x20\\\\x09-\\\\x0D]+') AS bigint)"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import jaccard, mixing, packing, qda, rules, tokens, warc
+from edgeloom.llm import jaccard, mixing, packing, qda, rules, suffix, tokens, warc
 from edgeloom.plans import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,8 @@ def op5_token_counts(spark, d):
 @query("op8_pack_sequences")
 def op8_pack_sequences(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer_path())
+
+
+@query("op9_remove_repeats")
+def op9_remove_repeats(spark, d):
+    return suffix.remove_repeats(table(spark, d, "documents"))

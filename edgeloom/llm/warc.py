@@ -26,6 +26,7 @@ from edgeloom.plans import stage
 
 FRAME_BYTES = 1 << 20  # of records, before compression
 BUNDLE_BYTES = 256 << 20
+FRAMES_PER_TASK = 32
 
 # Seekable format. Fixed values.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -252,7 +253,7 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
 
     # frames, not bundles, are dealt out: they are of one size
     frames = index.select("bundle", "frame").distinct()
-    return frames.mapInArrow(read, READ)
+    return frames.repartition(max(1, frames.count() // FRAMES_PER_TASK)).mapInArrow(read, READ)
 
 
 def lookup(index: DataFrame, folder: str, wanted: DataFrame) -> DataFrame:
