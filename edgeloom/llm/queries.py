@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import jaccard, mixing, packing, qda, rules, suffix, tokens, warc
+from edgeloom.llm import jaccard, lm, mixing, packing, qda, rules, suffix, tokens, warc
 from edgeloom.plans import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,11 @@ def op8_pack_sequences(spark, d):
 @query("op9_remove_repeats")
 def op9_remove_repeats(spark, d):
     return suffix.remove_repeats(table(spark, d, "documents"))
+
+
+@query("op10_suffix_tree_scores")
+def op10_suffix_tree_scores(spark, d):
+    held_out = f"coalesce({BUCKET.format(n=10)} = 0, false)"
+    scored = lm.score_texts(table(spark, d, "documents"), f"NOT {held_out}")
+    return scored.select("doc_id", F.expr(held_out).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                         "score")
