@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import jaccard, lm, mixing, packing, qda, rules, suffix, tokens, warc
+from edgeloom.llm import jaccard, lm, mixing, packing, qda, rules, suffix, tokens, topk, warc
 from edgeloom.plans import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,20 @@ def op2_quality_rules(spark, d):
                          "base_failed", "kept")
 
 
+TOP_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query("op3_top_k_search", TOP_SQL)
+def op3_top_k_search(spark, d):
+    return topk.top_k(table(spark, d, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
 @query("op4_mix_sources", mixing.MIX_SQL)
 def op4_mix_sources(spark, d):
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
