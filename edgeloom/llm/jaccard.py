@@ -7,10 +7,10 @@ of ``D + 1 + e`` chunks of their sketches at least ``e + 1`` are equal. Chunks a
 their content; candidates pass a Hamming test on a folded sketch and then an exact comparison.
 
 Chunks that hold next to nothing, or only shingles that very many documents have, are equal by chance. They are
-keyed in pairs, of which ``e`` spare chunks guarantee one. In a group of equal keys each member meets the
-smallest first; what that links is one component, and only members of different
-components of a group are compared further. So thousands of near copies cost one
-comparison each, and no link between components is lost.
+keyed in pairs, of which ``e`` spare chunks guarantee one. In a group of equal keys each member first meets
+the one that shares most keys; what that links is one component, and only members of different
+components of a group are compared further, by their sketches and in blocks. So thousands of near copies
+cost one comparison each, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from edgeloom.llm.tables import repeated_keys, written
 BAND_RATIO = 0.7  # smallest over largest size of a band
 FREQUENT_SAMPLE = 5_000  # documents looked at for very frequent shingles; steers chunk keys, not results
 FREQUENT_AT = 10
+GROUP_BLOCK = 256  # members of a group whose sketches are compared in one row
 SKETCH_BITS = 4  # per shingle, in the folded sketch
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -227,8 +228,8 @@ def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(test, f"x bigint, y bigint, doc_x {id_type}, doc_y {id_type}")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs of ``pairs(x, y)`` that link, by an exact comparison of the sets of both texts."""
+def _verified(close: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs of ``close(x, y, doc_x, doc_y)`` that link, by an exact comparison of the sets of both texts."""
     def compare(batches):
         last_text, last = None, None
         for batch in batches:
@@ -239,13 +240,65 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, p
                 keep.append(jaccard_links(shingle_hashes(a, words), last, percent))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    close = written(_close(pairs, nodes, percent), "close")
     # an id may have several rows, of which one is the text of the set: others fail the comparison
     for end in ("x", "y"):
         close = close.join(docs.selectExpr(f"doc_id AS doc_{end}", f"text AS text_{end}"), f"doc_{end}")
     return close.select("x", "y", "text_x", "text_y").mapInArrow(compare, "x bigint, y bigint")
 
 
+def _across(open_groups: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(x, y, doc_x, doc_y)``: pairs of different components in a group that their sketches do not rule out.
+
+    ``open_groups(key, node, label, n)`` has ``n`` members to a key. A group is laid out in blocks of at most about
+    ``GROUP_BLOCK`` members; each two of its blocks meet in one row, where their sketches are compared. Only
+    pairs that pass leave the task.
+    """
+    def columns(block: dict) -> tuple[np.ndarray, ...]:
+        members = block["members"]
+        sketches = [np.frombuffer(m["sketch"], np.uint8) for m in members]
+        return (*(np.array([m[c] for m in members], np.int64) for c in ("node", "label", "n_shingles")),
+                np.array([m["doc_id"] for m in members], object), sketches)
+
+    def folded(sketches: list[np.ndarray], size: int) -> np.ndarray:
+        out = []
+        for sketch in sketches:
+            while len(sketch) > size:
+                sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+            out.append(sketch)
+        return np.array(out).view(np.uint64)
+
+    def compare(batches):
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                a, b = columns(row["left"]), columns(row["right"])
+                size = min(map(len, a[4] + b[4]))
+                ours, theirs = folded(a[4], size), folded(b[4], size)
+                for i in range(len(ours)):
+                    apart = np.bitwise_count(theirs ^ ours[i]).sum(1, dtype=np.int64)
+                    smaller, larger = np.minimum(b[2], a[2][i]), np.maximum(b[2], a[2][i])
+                    close = ((b[1] != a[1][i]) & (percent * larger <= 100 * smaller)
+                             & (apart <= (100 - percent) * (smaller + larger) // (100 + percent)))
+                    found += [(int(a[0][i]), int(b[0][j]), a[3][i], b[3][j]) if a[0][i] < b[0][j]
+                              else (int(b[0][j]), int(a[0][i]), b[3][j], a[3][i]) for j in np.flatnonzero(close)]
+            kinds = batch.schema.field("left").type.field("members").type.value_type.field("doc_id").type
+            x, y, doc_x, doc_y = zip(*set(found)) if found else [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(doc_x, kinds), pa.array(doc_y, kinds)],
+                ["x", "y", "doc_x", "doc_y"])
+
+    blocks = written(open_groups.join(nodes.hint("merge"), "node").withColumn(
+        "blocks", F.expr(f"CAST(ceil(n / {GROUP_BLOCK}) AS int)")).withColumn(
+        "block", F.expr("CAST(pmod(xxhash64(node), blocks) AS int)")).groupBy("key", "block").agg(
+        F.max("blocks").alias("blocks"),
+        F.collect_list(F.struct("node", "label", "n_shingles", "doc_id", "sketch")).alias("members")), "blocks")
+    left = blocks.selectExpr("key", "struct(members) AS left", "block AS low", "explode(sequence(block, blocks - 1)) AS high")
+    right = blocks.selectExpr("key", "struct(members) AS right", "block AS high", "explode(sequence(0, block)) AS low")
+    id_type = nodes.schema["doc_id"].dataType.simpleString()
+    return left.join(right.hint("merge"), ["key", "low", "high"]).select("left", "right").mapInArrow(
+        compare, f"x bigint, y bigint, doc_x {id_type}, doc_y {id_type}").distinct()
+
+
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, a row for each row of ``docs(doc_id, text)``.
 
@@ -261,21 +314,25 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     frequent = _frequent(docs, sets.count(), words)
     members = _members(docs, words, percent, frequent)
 
-    centers = members.groupBy("key").agg(F.min("node").alias("y"), F.max("node").alias("last")).where("y < last")
-    first = members.withColumnRenamed("node", "x").join(centers.drop("last").hint("merge"), "key").where(
+    groups = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    weighed = members.join(groups.hint("merge"), "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    ranked = members.join(weighed.hint("merge"), "node")
+    # the member that shares most with others: the text that near copies were made from, or the least changed
+    centers = ranked.groupBy("key").agg(F.expr("max(struct(weight, node))").alias("best")).selectExpr(
+        "key", "best.node AS y")
+    first = members.withColumnRenamed("node", "x").join(centers.hint("merge"), "key").where(
         "x != y").select("x", "y").distinct()
-    links = written(_verified(first, nodes, docs, words, percent), "links")
+    close = written(_close(first, nodes, percent), "close")
+    links = written(_verified(close, docs, words, percent), "links")
     labels = written(components(links.toDF("a", "b")), "labels")
 
     labelled = members.join(labels.hint("merge"), "node", "left").selectExpr(
         "key", "node", "coalesce(component, node) AS label")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
-        "low < high").select("key")
-    open_groups = written(labelled.join(mixed.hint("merge"), "key"), "open")
-    rest = open_groups.selectExpr("key", "node AS x", "label AS label_x").join(
-        open_groups.selectExpr("key", "node AS y", "label AS label_y").hint("merge"), "key").where(
-        "x < y AND label_x != label_y").select("x", "y").distinct()
-    more = written(_verified(rest, nodes, docs, words, percent), "links")
+    mixed = labelled.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where(
+        "low < high").select("key", "n")
+    across = written(_across(labelled.join(mixed.hint("merge"), "key"), nodes, percent), "close")
+    more = written(_verified(across, docs, words, percent), "links")
 
     found = components(links.unionByName(more).toDF("a", "b")).join(nodes.select("node", "doc_id"), "node")
     smallest = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -50,10 +50,10 @@ def source_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
 
 def mix(docs: DataFrame, size: str = WORD_COUNT, weight: str = QUALITY_WEIGHT, seed: int = 0,
         bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, key, epochs, taken)`` for ``docs(doc_id, text, source)``.
+    """``(doc_id, source, size, source_size, target, key, times, taken)`` for ``docs(doc_id, text, source)``.
 
-    ``size`` and ``weight`` are SQL expressions over the columns of ``docs``. ``taken`` is ``size`` times the
-    number of epochs that the document is in. The document on which a budget ends is taken if that
+    ``size`` and ``weight`` are SQL expressions over the columns of ``docs``. ``times`` is how often
+    the mix has the document, ``taken`` that many times ``size``. The document on which a budget ends is taken if that
     comes nearer to it. Documents of size 0 take nothing; rows repeated in full get the same key and
     follow one another; a null source is a source of its own.
     """
@@ -76,9 +76,10 @@ def mix(docs: DataFrame, size: str = WORD_COUNT, weight: str = QUALITY_WEIGHT, s
           SELECT *, sum(size) OVER (PARTITION BY source, bucket ORDER BY key, doc_id, size
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before_doc
           FROM {keyed})
-        SELECT doc_id, o.source, size, source_size, target, key, epochs,
-               size * (epochs + IF(before_bucket + before_doc + size / 2 <= target - epochs * source_size, 1, 0)) AS taken
-        FROM ordered o JOIN placed p ON o.source <=> p.source AND o.bucket = p.bucket""",
+        SELECT *, size * times AS taken FROM (
+          SELECT doc_id, o.source, size, source_size, target, key,
+                 epochs + IF(before_bucket + before_doc + size / 2 <= target - epochs * source_size, 1L, 0L) AS times
+          FROM ordered o JOIN placed p ON o.source <=> p.source AND o.bucket = p.bucket)""",
         sums=sums, targets=targets, keyed=keyed)
 
 

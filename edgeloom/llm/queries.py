@@ -63,7 +63,8 @@ def op1_warc_bundles(spark, d):
 
 @query("op2_quality_rules")
 def op2_quality_rules(spark, d):
-    judged = rules.apply_rules(table(spark, d, "documents"), table(spark, d, "labels"))
+    docs = table(spark, d, "documents")
+    judged = rules.apply_rules(docs, rules.fit_rules(docs, table(spark, d, "labels")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept")
 

@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.textstats import SHARES, text_counts, with_shares
-from edgeloom.plans import stage
 
 # Labelled rows that the learner may see; everything else covers all rows.
 SAMPLE_ROWS = 20_000
 MIN_HELD_BACK = 10
+GOOD_WEIGHT = 5
 MIN_WORDS = 50
 BASE_FAILED = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words"
 
@@ -76,19 +76,22 @@ def _grow(columns, bad, max_tests):
 
 
 def _prune(tests, columns, bad):
-    """The prefix of ``tests`` with the best ``(p - n) / (p + n)`` on held-back rows, and its precision."""
-    best = (-2.0, [], 0.0)
+    """The prefix of ``tests`` that is best on held-back rows, and its precision there.
+
+    A good row that is rejected weighs as much as ``GOOD_WEIGHT`` bad ones that are not.
+    """
+    best = (-1.0 - GOOD_WEIGHT, [], 0.0)
     for k in range(1, len(tests) + 1):
         mask = _covered(tests[:k], columns, len(bad))
         p, n = int((mask & bad).sum()), int((mask & ~bad).sum())
-        value = (p - n) / (p + n) if p + n else -1.0
+        value = (p - GOOD_WEIGHT * n) / (p + n) if p + n else -1.0
         if value > best[0]:
             best = (value, tests[:k], p / (p + n) if p + n else 0.0)
     return best[1], best[2]
 
 
 def learn_rules(columns: dict[str, np.ndarray], quality: np.ndarray, max_rules: int = 16, max_tests: int = 4,
-                min_precision: float = 0.9, seed: int = 0) -> list[Rule]:
+                min_precision: float = 0.98, seed: int = 0) -> list[Rule]:
     """Rules that find rows of quality 0. The list is empty if either class is missing."""
     bad = np.asarray(quality) == 0
     columns = {k: np.asarray(v, float) for k, v in columns.items()}
@@ -101,8 +104,11 @@ def learn_rules(columns: dict[str, np.ndarray], quality: np.ndarray, max_rules:
             growing = pruning = left
         if not (bad & growing).any() or not (~bad & growing).any():
             break
-        tests = _grow({k: v[growing] for k, v in columns.items()}, bad[growing], max_tests)
-        tests, precision = _prune(tests, {k: v[pruning] for k, v in columns.items()}, bad[pruning])
+        for growing, pruning in ((growing, pruning), (left, left)):
+            tests = _grow({k: v[growing] for k, v in columns.items()}, bad[growing], max_tests)
+            tests, precision = _prune(tests, {k: v[pruning] for k, v in columns.items()}, bad[pruning])
+            if tests and precision >= min_precision:
+                break  # else a rule from all rows may still be precise enough
         covered = left & _covered(tests, columns, len(bad))
         if not tests or precision < min_precision or (covered & bad).sum() < 2:
             break
@@ -119,30 +125,30 @@ def rule_number(rules: list[Rule]) -> Column:
     return F.expr(f"CASE {whens} END")
 
 
-def labelled_sample(counts: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Statistics and quality of at most ``rows`` labelled documents, chosen by a hash of the id.
 
     Rows without a label of 0 or 1 take no part. The sample is bounded, so its side is broadcast.
     """
     chosen = (labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", "quality")
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows))
-    return counts.join(F.broadcast(chosen), "doc_id")
+    own = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
+    return with_shares(text_counts(own)).join(F.broadcast(chosen), "doc_id")
 
 
-def fit_rules(shares: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules from ``shares(doc_id, ...)`` and ``labels(doc_id, quality)``."""
+def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Rules from ``docs(doc_id, text)`` and ``labels(doc_id, quality)``."""
     order = ["doc_id", "quality", *SHARES]
-    sample = labelled_sample(shares, labels, rows).select(*order).orderBy(*order).toPandas()
+    sample = labelled_sample(docs, labels, rows).select(*order).toPandas().sort_values(order)
     return learn_rules({name: sample[name].to_numpy() for name in SHARES}, sample["quality"].to_numpy())
 
 
-def apply_rules(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(doc_id, counts, shares, base_failed, rule, kept)``, a row for each row of ``docs(doc_id, text)``.
+def apply_rules(docs: DataFrame, rules: list[Rule], with_row: bool = False) -> DataFrame:
+    """``(doc_id, counts, shares, base_failed, rule, kept[, row])``, a row for each row of ``docs(doc_id, text)``.
 
-    Null and empty texts fail the base rule. Without labels of both classes only the base rule
-    rejects. Repeated rows are judged alike; an empty table gives an empty result.
+    Null and empty texts fail the base rule. An empty list of rules leaves the base rule alone to
+    reject. Repeated rows are judged alike; an empty table gives an empty result. ``row`` holds all columns of ``docs``.
     """
-    shares = with_shares(stage(text_counts(docs), "counts"))
-    rules = fit_rules(shares, labels, rows)
-    judged = shares.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("rule", rule_number(rules))
+    judged = with_shares(text_counts(docs, with_row)).withColumn("base_failed", F.expr(BASE_FAILED)).withColumn(
+        "rule", rule_number(rules))
     return judged.withColumn("kept", F.expr("NOT base_failed AND rule IS NULL"))

@@ -75,18 +75,22 @@ def count_text(text: bytes) -> tuple[int, ...]:
     )
 
 
-def text_counts(docs: DataFrame) -> DataFrame:
-    """``(doc_id, *COUNTS)`` for ``docs(doc_id, text)``, a row for each row."""
+def text_counts(docs: DataFrame, with_row: bool = False) -> DataFrame:
+    """``(doc_id, *COUNTS)`` for ``docs(doc_id, text)``, a row for each row; with all columns of it as ``row`` if asked."""
+    extra = ["row"] * with_row
+
     def count(batches):
         for batch in batches:
             rows = [count_text(t or b"") for t in batch.column(1).to_pylist()]
             table = np.array(rows, np.int64).reshape(len(rows), len(COUNTS))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(table[:, i]) for i in range(len(COUNTS)))], ["doc_id", *COUNTS])
+                [batch.column(0), *(pa.array(table[:, i]) for i in range(len(COUNTS))), *batch.columns[2:]],
+                ["doc_id", *COUNTS, *extra])
 
-    chosen = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    id_type = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(count, f"doc_id {id_type}, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    chosen = docs.select("doc_id", F.col("text").cast("binary").alias("text"), *(F.struct("*").alias(c) for c in extra))
+    kinds = {f.name: f.dataType.simpleString() for f in chosen.schema}
+    return chosen.mapInArrow(count, ", ".join(
+        [f"doc_id {kinds['doc_id']}", *(f"{c} bigint" for c in COUNTS), *(f"row {kinds[c]}" for c in extra)]))
 
 
 def with_shares(counts: DataFrame) -> DataFrame:
