@@ -5,7 +5,7 @@ from pathlib import Path
 
 import duckdb
 
-SPARK_TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
 
 
 def connect(sf_dir):
