@@ -22,6 +22,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
         conf.set(_CLEANUP, before)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``written`` that is not read again."""
+    files = table.inputFiles()
+    if files:
+        jvm, jsc = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def repeated_keys(rows: DataFrame) -> DataFrame:
     """The rows whose first column occurs in more than one of them, and a few more.
 
