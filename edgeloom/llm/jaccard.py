@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.components import components
-from edgeloom.llm.tables import repeated_keys, written
+from edgeloom.llm.tables import frequent_values, repeated_keys, written
 
 BAND_RATIO = 0.7  # smallest over largest size of a band
 FREQUENT_SAMPLE = 5_000  # documents looked at for very frequent shingles; steers chunk keys, not results
 FREQUENT_AT = 10
+HOT_AT = 50  # of the sample's documents: keys whose rows are spread over tasks
 GROUP_BLOCK = 256  # members of a group whose sketches are compared in one row
 SKETCH_BITS = 4  # per shingle, in the folded sketch
 
@@ -179,11 +180,11 @@ def _frequent(docs: DataFrame, rows: int, words: int) -> np.ndarray:
 
     every = max(1, rows // FREQUENT_SAMPLE)
     sample = docs.where(f"pmod(xxhash64(doc_id), {every}) = 0").select("text")
-    found = sample.mapInArrow(explode, "h bigint").groupBy("h").count().where(f"count >= {FREQUENT_AT}").select("h")
-    return np.sort(np.array([r.h for r in found.collect()], np.int64).view(np.uint64))
+    found = frequent_values(sample.mapInArrow(explode, "h bigint"), FREQUENT_AT)
+    return np.sort(np.array(found, np.int64).view(np.uint64))
 
 
-def _members(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+def _members(docs: DataFrame, rows_of_docs: int, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """``(key, node)`` for every key that more than one set may have.
 
     A set that two tasks have may leave its keys with that one node.
@@ -208,7 +209,9 @@ def _members(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
                     [_signed(np.concatenate(found)), pa.array(np.concatenate(nodes))], ["key", "node"])
 
     rows = docs.select("text").mapInArrow(keys, "key bigint, node bigint")
-    return written(repeated_keys(rows), "members")
+    every = max(1, rows_of_docs // FREQUENT_SAMPLE)
+    sample = docs.where(f"pmod(xxhash64(doc_id), {every}) = 0").select("text").mapInArrow(keys, "key bigint, node bigint")
+    return written(repeated_keys(rows, frequent_values(sample.select("key"), HOT_AT)), "members")
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -246,12 +249,12 @@ def _verified(close: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return close.select("x", "y", "text_x", "text_y").mapInArrow(compare, "x bigint, y bigint")
 
 
-def _across(open_groups: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """``(x, y, doc_x, doc_y)``: pairs of different components in a group that their sketches do not rule out.
 
-    ``open_groups(key, node, label, n)`` has ``n`` members to a key. A group is laid out in blocks of at most about
+    ``open_groups(key, node, n)`` has ``n`` members to a key. A group is laid out in blocks of at most about
     ``GROUP_BLOCK`` members; each two of its blocks meet in one row, where their sketches are compared. Only
-    pairs that pass leave the task.
+    pairs that pass leave the task. Keys with the same few members are one group.
     """
     def columns(block: dict) -> tuple[np.ndarray, ...]:
         members = block["members"]
@@ -287,15 +290,19 @@ def _across(open_groups: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
                 [pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(doc_x, kinds), pa.array(doc_y, kinds)],
                 ["x", "y", "doc_x", "doc_y"])
 
-    blocks = written(open_groups.join(nodes.hint("merge"), "node").withColumn(
-        "blocks", F.expr(f"CAST(ceil(n / {GROUP_BLOCK}) AS int)")).withColumn(
-        "block", F.expr("CAST(pmod(xxhash64(node), blocks) AS int)")).groupBy("key", "block").agg(
-        F.max("blocks").alias("blocks"),
+    lists = open_groups.withColumn("blocks", F.expr(f"CAST(ceil(n / {GROUP_BLOCK}) AS int)")).withColumn(
+        "block", F.expr("CAST(pmod(xxhash64(node), blocks) AS int)")).groupBy("key", "blocks", "block").agg(
+        F.expr("sort_array(collect_list(node)) AS ids")).withColumn(
+        "key", F.expr("IF(blocks = 1, xxhash64(ids), key)")).dropDuplicates(["key", "blocks", "block"])
+    known = nodes.join(labels.hint("merge"), "node", "left").withColumn("label", F.expr("coalesce(component, node)"))
+    blocks = written(lists.select("key", "blocks", "block", F.explode("ids").alias("node")).join(
+        known.hint("merge"), "node").groupBy("key", "blocks", "block").agg(
         F.collect_list(F.struct("node", "label", "n_shingles", "doc_id", "sketch")).alias("members")), "blocks")
-    left = blocks.selectExpr("key", "struct(members) AS left", "block AS low", "explode(sequence(block, blocks - 1)) AS high")
-    right = blocks.selectExpr("key", "struct(members) AS right", "block AS high", "explode(sequence(0, block)) AS low")
+    left = blocks.selectExpr("key", "blocks", "struct(members) AS left", "block AS low",
+                             "explode(sequence(block, blocks - 1)) AS high")
+    right = blocks.selectExpr("key", "blocks", "struct(members) AS right", "block AS high", "explode(sequence(0, block)) AS low")
     id_type = nodes.schema["doc_id"].dataType.simpleString()
-    return left.join(right.hint("merge"), ["key", "low", "high"]).select("left", "right").mapInArrow(
+    return left.join(right.hint("merge"), ["key", "blocks", "low", "high"]).select("left", "right").mapInArrow(
         compare, f"x bigint, y bigint, doc_x {id_type}, doc_y {id_type}").distinct()
 
 
@@ -311,8 +318,8 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     sets = written(_document_sets(docs, words), "sets")
     nodes = written(sets.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes")
-    frequent = _frequent(docs, sets.count(), words)
-    members = _members(docs, words, percent, frequent)
+    rows = sets.count()
+    members = _members(docs, rows, words, percent, _frequent(docs, rows, words))
 
     groups = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     weighed = members.join(groups.hint("merge"), "key").groupBy("node").agg(F.sum("n").alias("weight"))
@@ -331,7 +338,8 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     mixed = labelled.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where(
         "low < high").select("key", "n")
-    across = written(_across(labelled.join(mixed.hint("merge"), "key"), nodes, percent), "close")
+    across = written(_across(
+        labelled.select("key", "node").join(mixed.hint("merge"), "key"), nodes, labels, percent), "close")
     more = written(_verified(across, docs, words, percent), "links")
 
     found = components(links.unionByName(more).toDF("a", "b")).join(nodes.select("node", "doc_id"), "node")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from edgeloom.plans import stage
 
@@ -22,37 +24,44 @@ def written(df: DataFrame, name: str) -> DataFrame:
         conf.set(_CLEANUP, before)
 
 
-def discard(table: DataFrame) -> None:
-    """Delete a table of ``written`` that is not read again."""
-    files = table.inputFiles()
-    if files:
-        jvm, jsc = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc
-        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        folder.getFileSystem(jsc.hadoopConfiguration()).delete(folder, True)
+def by_key(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """``rows`` with all rows of a key, the first column, in one partition, in the order of their columns.
 
+    Rows of ``hot`` keys, of which there are few, are spread over partitions.
+    """
+    first = F.col(rows.columns[0])
+    salt = F.when(first.isin(hot), F.xxhash64(*rows.columns) % 1024).otherwise(F.lit(0)) if hot else F.lit(0)
+    plain = [f.name for f in rows.schema if not isinstance(f.dataType, ArrayType)]
+    return rows.repartition(first, salt).sortWithinPartitions(*plain)
 
-def repeated_keys(rows: DataFrame) -> DataFrame:
-    """The rows whose first column occurs in more than one of them, and a few more.
 
-    Rows are dealt out by ranges of all their columns, so that a key that a third of all rows have is split over
-    tasks, and are looked at in order. The first and the last key of a task are kept in any
-    case, as they may go on in the neighbouring range.
-    """
+def repeated_keys(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """The rows whose first column occurs in more than one of them, and those of ``hot`` keys."""
     def keep(batches):
-        first, held, held_same = None, None, False
+        often = np.array(sorted(hot), np.int64)
+        held, held_same = None, False
         for batch in batches:
             if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+                batch = joined(held, batch)
             if not batch.num_rows:
                 continue
             key = batch.column(0).to_numpy()
-            first = key[0] if first is None else first
             same = key[1:] == key[:-1]
             before = np.concatenate([[held_same], same])
-            wanted = before[:-1] | same | (key[:-1] == first)
+            wanted = before[:-1] | same | np.isin(key[:-1], often)
             yield batch.slice(0, len(key) - 1).filter(pa.array(wanted))
             held, held_same = batch.slice(len(key) - 1), bool(before[-1])
-        if held is not None:
+        if held is not None and (held_same or held.column(0)[0].as_py() in hot):
             yield held
 
-    return rows.repartitionByRange(*rows.columns).sortWithinPartitions(*rows.columns).mapInArrow(keep, rows.schema)
+    return by_key(rows, hot).mapInArrow(keep, rows.schema)
+
+
+def joined(first: pa.RecordBatch, second: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.Table.from_batches([first, second]).combine_chunks().to_batches()[0]
+
+
+def frequent_values(rows: DataFrame, least: int) -> list[int]:
+    """Values of the one column of ``rows`` that occur ``least`` times or more; for rows of a bounded sample."""
+    name = rows.columns[0]
+    return [r[0] for r in rows.groupBy(name).count().where(F.col("count") >= least).select(name).collect()]
