@@ -27,10 +27,11 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--mode", choices=("fail", "drop"), default="fail", help="for malformed words")
         p.add_argument("--sep", default=",", help="between key and value")
         p.add_argument("--style", choices=("delimited", "tuple", "csv"), default="delimited")
+        if name != "max-filter":  # which compares ids as numbers
+            p.add_argument("--ids", choices=("bigint", "string"), default="bigint")
         return p
 
     p = program("followers", "followers of each user")
-    p.add_argument("--ids", choices=("bigint", "string"), default="bigint")
     p.add_argument("--sort-keys", action="store_true", help="order each file by user as text")
     p = program("max-filter", "edges with both ids below a bound")
     p.add_argument("max_id", type=int)
@@ -42,7 +43,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--strategy", choices=STRATEGIES, default="auto")
     p = program("pagerank", "ranks; the input folder holds graph.txt, vertex.txt and rank.txt")
     p.add_argument("iterations", type=int)
-    p.add_argument("--sink", type=int, default=el.SINK)
+    p.add_argument("--sink", default=str(el.SINK))
     p.add_argument("--n", type=int, help="vertices that share the spread, by default all but the sink")
     p.add_argument("--normalize", choices=NORMALIZE, default="none")
 
@@ -53,9 +54,12 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, argv: list[str]) -> None:
-    args = parser().parse_args(argv)
+    top = parser()
+    args = top.parse_args(argv)
+    if getattr(args, "ids", "bigint") == "string" and getattr(args, "max_id", None) is not None:
+        top.error("a bound on ids needs --ids bigint")
     if args.program == "chains":
-        vertices = el.chain_vertices(spark, args.k)
+        vertices = el.chain_vertices(el.numbered_vertices(spark, args.k))
         el.write_pairs(el.chain_graph(spark, args.k), f"{args.output}/graph.txt")
         el.write_pairs(vertices.selectExpr("v", "0 AS unused"), f"{args.output}/vertex.txt")
         el.write_pairs(el.initial_ranks(vertices, args.k * args.k), f"{args.output}/rank.txt")
@@ -64,10 +68,10 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     text = {"sep": args.sep, "style": args.style}
     if args.program == "pagerank":
         ranks = el.pagerank(
-            el.read_edges(spark, f"{args.input}/graph.txt", args.mode),
-            el.read_vertices(spark, f"{args.input}/vertex.txt"),
-            args.iterations, sink=args.sink, n=args.n, normalize=args.normalize,
-            ranks=el.read_ranks(spark, f"{args.input}/rank.txt"),
+            el.read_edges(spark, f"{args.input}/graph.txt", args.mode, args.ids),
+            el.read_vertices(spark, f"{args.input}/vertex.txt", args.mode, args.ids),
+            args.iterations, sink=args.sink if args.ids == "string" else int(args.sink), n=args.n,
+            normalize=args.normalize, ranks=el.read_ranks(spark, f"{args.input}/rank.txt", args.mode, args.ids),
         )
         el.write_pairs(ranks, args.output, **text)
         return

@@ -5,11 +5,14 @@ from edgeloom.functions.columns import (
     ID_TYPES,
     all_ids,
     closed_paths,
+    id_from,
     ids_of,
+    is_id,
     is_one_pair,
     part_of,
-    whole_quotient,
+    safe_sum,
+    total_or_error,
 )
 
-__all__ = ["ENDPOINTS", "ID_TYPES", "all_ids", "closed_paths", "ids_of", "is_one_pair",
-           "part_of", "whole_quotient"]
+__all__ = ["ENDPOINTS", "ID_TYPES", "all_ids", "closed_paths", "id_from", "ids_of", "is_id", "is_one_pair",
+           "part_of", "safe_sum", "total_or_error"]

@@ -42,9 +42,24 @@ def part_of(other_end: str, parts: str) -> str:
     return f"CASE WHEN {parts} > 1 THEN pmod(xxhash64({other_end}), {parts}) ELSE 0L END"
 
 
-def whole_quotient(number: str, divisor: str) -> str:
-    """Integer division rounding down, exact for all 64-bit integers."""
-    return f"(({number} - pmod({number}, {divisor})) div {divisor})"
+def safe_sum(expression: str) -> str:
+    """A sum that is null where it, or any of its terms, leaves its type, whatever the session's settings."""
+    return f"IF(count({expression}) = count(*), try_sum({expression}), NULL)"
+
+
+def total_or_error(column: str, count_type: str) -> str:
+    """The sum of ``column``, 0 without rows, and an error where it is beyond ``count_type``."""
+    total = f"try_cast({safe_sum(column)} AS {count_type})"
+    return (f"CASE WHEN count(*) = 0 THEN CAST(0 AS {count_type}) WHEN {total} IS NOT NULL THEN {total} "
+            f"ELSE CAST(raise_error('ARITHMETIC_OVERFLOW: the count is beyond {count_type}') AS {count_type}) END")
+
+
+def is_id(token: str, id_type: str) -> str:
+    return f"try_cast({token} AS bigint) IS NOT NULL" if id_type == "bigint" else f"trim({token}) != ''"
+
+
+def id_from(token: str, id_type: str) -> str:
+    return f"CAST({token} AS bigint)" if id_type == "bigint" else f"trim({token})"
 
 
 def closed_paths(multiplicity: str, products: str, sums: str, closing: str) -> str:
@@ -59,10 +74,11 @@ def closed_paths(multiplicity: str, products: str, sums: str, closing: str) -> s
     * ``distinct``: the three starting points themselves.
 
     All of them are linear in ``p*q`` and ``p+q``, so both may be summed over many
-    middle vertices (``products``, ``sums``) before the closing edge is known.
+    middle vertices (``products``, ``sums``) before the closing edge is known. Beyond
+    the range of their type they are null.
     """
     if multiplicity == "all":
-        return f"(3 * {products} * {closing})"
+        return f"try_multiply(try_multiply({products}, {closing}), 3)"
     if multiplicity == "closing_exists":
-        return f"({products} + {closing} * {sums})"
-    return f"(3 * {products})"
+        return f"try_add({products}, try_multiply({closing}, {sums}))"
+    return f"try_multiply({products}, 3)"

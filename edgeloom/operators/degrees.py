@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions import ENDPOINTS
+from edgeloom.functions import ENDPOINTS, total_or_error
 
 
 def follower_count(edges: DataFrame) -> DataFrame:
@@ -27,8 +27,16 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def two_path_degree(edges: DataFrame, count_type: str = "bigint") -> DataFrame:
-    """``(v, paths)``: two-paths with ``v`` in the middle, 0 where one side is empty."""
-    return degrees(edges).selectExpr("v", f"CAST(CAST(n_out AS {count_type}) * n_in AS {count_type}) AS paths")
+    """``(v, paths)``: two-paths with ``v`` in the middle, 0 where one side is empty.
+
+    A count beyond ``count_type`` is an error.
+    """
+    return _paths(edges, count_type).selectExpr(
+        "v", f"coalesce(paths, CAST(raise_error('ARITHMETIC_OVERFLOW: the count is beyond {count_type}') AS {count_type})) AS paths")
+
+
+def _paths(edges: DataFrame, count_type: str) -> DataFrame:
+    return degrees(edges).selectExpr("v", f"try_cast(try_multiply(CAST(n_out AS {count_type}), n_in) AS {count_type}) AS paths")
 
 
 def two_path_count(edges: DataFrame, count_type: str = "bigint") -> DataFrame:
@@ -36,7 +44,6 @@ def two_path_count(edges: DataFrame, count_type: str = "bigint") -> DataFrame:
 
     Takes the sum of out-degree times in-degree, one row per vertex, where the
     paths themselves may be far more than the edges. A count beyond 64 bits is an
-    error under ANSI mode; ``count_type="decimal(38,0)"`` makes room for it.
+    error, whatever the session's settings; ``count_type="decimal(38,0)"`` makes room for it.
     """
-    return two_path_degree(edges, count_type).agg(
-        F.expr(f"CAST(coalesce(sum(paths), 0) AS {count_type}) AS paths"))
+    return _paths(edges, count_type).agg(F.expr(f"{total_or_error('paths', count_type)} AS paths"))

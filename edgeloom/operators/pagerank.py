@@ -11,12 +11,12 @@ among the out-edges and spreads the rank of vertices without out-edges as well.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from edgeloom.functions import part_of
 from edgeloom.operators.edges import edge_multiplicity
-from edgeloom.plans import ROWS_PER_PART, hub_table, shuffle_partitions, stage
+from edgeloom.plans import ROWS_PER_PART, discard, hub_table, shuffle_partitions, stage
 
 NORMALIZE = ("none", "out_degree")
 
@@ -118,11 +118,12 @@ def pagerank(edges: DataFrame, vertices: DataFrame, iterations: int, sink=None,
     """``(v, rank)`` after ``iterations`` steps; the sink is always a row with 0.
 
     ``ranks`` defaults to ``1/n`` for each vertex and 0 for the sink; ``n`` to the
-    number of vertices besides the sink. Links and vertices are laid out and kept
+    number of vertices besides the sink. Given ranks of ids outside of the vertices pass
+    theirs on in the first step, as in ``pagerank_step``. Links and vertices are laid out and kept
     once, so a step shuffles the ranks and the partial sums but never the links. Each
-    step ends in a written table (see ``stage``): no lineage builds up, and a lost
-    executor costs its share of the links and of the step under way. Per step the
-    driver sees one number, the spread.
+    step is one job that ends in a written table (see ``stage``) and deletes that of the step before: no
+    lineage builds up, and a lost executor costs its share of the links and of the step under way. Per step the
+    driver sees three numbers, which the job that writes has observed.
     """
     _checked(normalize)
     spark = edges.sparkSession
@@ -134,42 +135,52 @@ def pagerank(edges: DataFrame, vertices: DataFrame, iterations: int, sink=None,
     if sink is not None:
         id_type = vertices.schema["v"].dataType
         vertices = vertices.union(spark.range(1).select(F.lit(sink).cast(id_type).alias("v")))
-    vertices = vertices.distinct().join(_sources(links), "v", "left").select(
-        "v",
-        F.coalesce("out_degree", F.lit(0)).alias("out_degree"),
-        F.coalesce("parts", F.lit(1)).cast("bigint").alias("parts"),
-    )
-    vertices = vertices.repartition(tasks, "v").persist(StorageLevel.MEMORY_AND_DISK)
+    vertices = _with_links(vertices.distinct(), links).repartition(tasks, "v").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if n is None:
             n = vertices.where(~_is_sink(F.col("v"), sink)).count()
         if ranks is None:
             start = F.when(_is_sink(F.col("v"), sink), F.lit(0.0)).otherwise(F.lit(1.0 / max(n, 1)))
             current = vertices.withColumn("rank", start)
+        elif iterations:
+            current = _with_links(ranks.select("v", "rank"), links)
         else:
             current = vertices.join(ranks.select("v", "rank"), "v", "left").withColumn(
                 "rank", F.coalesce("rank", F.lit(0.0)))
         if iterations == 0:
-            current = stage(current, "ranks")
+            return stage(current, "ranks").select("v", "rank")
 
+        held = 0.0  # rank of dead ends before the step
+        if normalize == "out_degree":
+            held = _sum_where(current, _dead_end(sink), "rank").first()["total"]
+        before = None
         for _ in range(iterations):
             inc = _incoming(links, current, normalize).withColumnRenamed("dst", "v")
-            arrived = stage(
-                vertices.join(inc, "v", "left").withColumn("inc", F.coalesce("inc", F.lit(0.0))), "ranks")
-            total = _spread_total(arrived, current, sink, normalize)
-            spread = F.lit(total / n if n else 0.0)
-            current = arrived.select("v", "out_degree", "parts", _new_rank(sink, spread))
+            arrived, seen = vertices.join(inc, "v", "left").withColumn("inc", F.coalesce("inc", F.lit(0.0))), Observation()
+            zero = F.lit(0.0)
+            arrived = stage(arrived.observe(
+                seen,
+                F.sum(F.when(_is_sink(F.col("v"), sink), F.col("inc")).otherwise(zero)).alias("sink"),
+                F.sum(F.when(_dead_end(sink), F.col("inc")).otherwise(zero)).alias("dead"),
+                F.sum(F.when(_dead_end(sink), F.lit(1)).otherwise(F.lit(0))).alias("dead_ends"),
+            ), "ranks")
+            sums = {name: value or 0 for name, value in seen.get.items()}
+            total = sums["sink"] + (held if normalize == "out_degree" else 0.0)
+            spread = total / n if n else 0.0
+            held = sums["dead"] + sums["dead_ends"] * spread
+            current = arrived.select("v", "out_degree", "parts", _new_rank(sink, F.lit(spread)))
+            if before is not None:
+                discard(before)
+            before = arrived
         return current.select("v", "rank")
     finally:
         links.unpersist()
         vertices.unpersist()
 
 
-def _spread_total(arrived: DataFrame, before: DataFrame, sink, normalize: str) -> float:
-    """Rank to spread: what reached the sink, plus what dead ends held before the step."""
-    total = 0.0
-    if sink is not None:
-        total += _sum_where(arrived, _is_sink(F.col("v"), sink), "inc").first()["total"]
-    if normalize == "out_degree":
-        total += _sum_where(before, _dead_end(sink), "rank").first()["total"]
-    return total
+def _with_links(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known`` with ``out_degree`` and ``parts``, 0 and 1 for ids without out-edges."""
+    return known.join(_sources(links), "v", "left").withColumns({
+        "out_degree": F.coalesce("out_degree", F.lit(0)),
+        "parts": F.coalesce("parts", F.lit(1)).cast("bigint"),
+    })

@@ -5,53 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions import whole_quotient
+from edgeloom.functions import part_of
 from edgeloom.operators.degrees import degrees
 from edgeloom.operators.edges import edge_multiplicity
 from edgeloom.plans import (
-    BROADCAST_ROWS, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, split_join,
+    BROADCAST_ROWS, HUB_ROWS, PATHS_PER_PART, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, split_join,
+    with_degree,
 )
 
 
-def two_paths(edges: DataFrame, strategy: str = "auto", rows_per_part: int = ROWS_PER_PART,
+def path_hubs(folded: DataFrame, paths_per_part: int = PATHS_PER_PART, max_rows: int = HUB_ROWS) -> DataFrame:
+    """``(v, parts_left, parts_right)``: middle vertices of more than ``paths_per_part`` two-paths, as a grid.
+
+    Cells are of about that number of paths, and no part is longer than the square root of it, so that
+    few rows on one side and very many on the other are split as well. A hub has a degree above the
+    square root of ``paths_per_part`` on some side, and only so many as a broadcast can hold are looked at: the bound is raised for
+    graphs with more than ``max_rows`` such vertices.
+    """
+    side = max(1, int(paths_per_part ** 0.5))
+    at = degrees(folded).selectExpr("v", "n_in", "n_out", "n_in + n_out AS d")
+    hubs = hub_table(at, folded, 2, side, max_rows).where(f"CAST(n_in AS double) * n_out > {paths_per_part}")
+    return hubs.selectExpr("v", f"ceil(n_in / {side}) AS parts_left", f"ceil(n_out / {side}) AS parts_right")
+
+
+def two_paths(edges: DataFrame, strategy: str = "auto", paths_per_part: int = PATHS_PER_PART,
               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``(x, y, z, m)``: edges x->y and y->z joined at y, ``m`` times each.
 
     Copies of an edge are folded first, so a row stands for all copies of a path.
     The result is as large as ``two_path_degree`` says; where only the number is
     wanted, ``two_path_count`` never builds it. The rows of hubs are laid out as a
-    grid of tasks.
+    grid of tasks that make about ``paths_per_part`` rows each.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     folded = edge_multiplicity(edges)
     into = folded.selectExpr("src AS x", "dst AS y", "m AS m_in")
     out = folded.selectExpr("src AS y", "dst AS z", "m AS m_out")
-    if strategy == "broadcast" and fits_broadcast(edges, broadcast_rows):
+    if strategy == "broadcast" and fits_broadcast(folded, broadcast_rows):
         joined = into.join(F.broadcast(out), "y")
     else:
-        at = degrees(folded).selectExpr("v", "n_in AS n_left", "n_out AS n_right", "n_in + n_out AS d")
-        hubs = hub_table(at, folded, 2, rows_per_part)
-        joined = split_join(into, out, "y", "x", "z", hubs, "merge" if strategy == "shuffle" else None)
+        joined = split_join(into, out, "y", "x", "z", path_hubs(folded, paths_per_part),
+                            "merge" if strategy == "shuffle" else None)
     return joined.selectExpr("x", "y", "z", "m_in * m_out AS m")
 
 
-def adjacency(edges: DataFrame, block_size: int = ROWS_PER_PART) -> DataFrame:
+def adjacency(edges: DataFrame, block_size: int = ROWS_PER_PART, max_hubs: int = HUB_ROWS) -> DataFrame:
     """``(src, block, neighbours, copies)``: whom each vertex points to.
 
     ``neighbours`` is sorted and free of repeats; ``copies[i]`` says how often the
-    edge to ``neighbours[i]`` occurs. A vertex has one row with ``block = 0``, unless
-    it has more than ``block_size`` different neighbours: then each row holds the
-    neighbours out of one run of ``block_size`` consecutive ids and ``block`` is the
-    number of that run. So no array grows beyond the block size, which is raised
-    only for graphs with more than ``block_size`` million edges (see ``hub_table``).
+    edge to ``neighbours[i]`` occurs. A vertex with ``d`` different neighbours has up to ``ceil(d / block_size)`` rows; a
+    neighbour falls into one of these blocks by a hash of its id, so blocks hold about, but not exactly,
+    ``block_size`` at most. ``max_hubs`` bounds what is broadcast and does not change the result.
     """
     folded = edge_multiplicity(edges)
     out_degree = folded.groupBy(F.col("src").alias("v")).agg(F.count("*").alias("d"))
-    hubs = hub_table(out_degree, folded, 1, block_size).selectExpr("v AS src", "part_rows")
-    run = whole_quotient("dst", "part_rows")
-    blocks = folded.join(F.broadcast(hubs), "src", "left").selectExpr(
-        "src", f"CASE WHEN part_rows IS NULL THEN 0L ELSE {run} END AS block", "dst", "m")
+    hubs = hub_table(out_degree, folded, 1, block_size, max_hubs)
+    blocks = with_degree(folded, "src", out_degree, hubs, "d").selectExpr(
+        "src", f"{part_of('dst', f'ceil(d / {block_size})')} AS block", "dst", "m")
     return (
         blocks.groupBy("src", "block")
         .agg(F.expr("sort_array(collect_list(struct(dst, m))) AS listed"))

@@ -3,8 +3,8 @@
 Edges are folded to pairs of neighbours once; every later step reads that one
 shuffle again. Triangles come from two-paths whose middle vertex has the lowest rank
 of the three, where vertices are ranked by degree. A hub ranks high, so it is hardly
-ever in the middle: no vertex is the middle of more paths than the square of about
-sqrt(2 * edges), and a user with a third of all edges adds next to nothing.
+ever in the middle: a vertex has at most about sqrt(2 * edges) neighbours above it. The paths
+of a middle vertex that has many of them are laid out as a grid of tasks.
 """
 
 from __future__ import annotations
@@ -12,11 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions import closed_paths, part_of
+from edgeloom.functions import closed_paths, part_of, safe_sum, total_or_error
 from edgeloom.plans import (
-    BROADCAST_ROWS, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, shuffle_partitions,
+    BROADCAST_ROWS, HUB_ROWS, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, shuffle_partitions, with_degree,
 )
 
+# Neighbours of a middle vertex in one part: a cell of the grid makes about the square of it in paths.
+MIDDLE_ROWS = 3_000
+
 MULTIPLICITIES = ("distinct", "all", "closing_exists")
 
 
@@ -54,12 +57,14 @@ def _folded_pairs(edges: DataFrame, distinct: bool, count_type: str) -> DataFram
 class _Joins:
     """How the joins of one triangle run are to be done."""
 
-    def __init__(self, edges: DataFrame, strategy: str, broadcast_rows: int):
+    def __init__(self, pairs: DataFrame, strategy: str, broadcast_rows: int, middle_rows: int, max_hubs: int):
+        """``pairs`` are the folded pairs that the joins use; counting them is a scan of its own."""
         if strategy not in STRATEGIES:
             raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-        self.replicate = strategy == "broadcast" and fits_broadcast(edges, broadcast_rows)
+        self.replicate = strategy == "broadcast" and fits_broadcast(pairs, broadcast_rows)
         self.hint = "merge" if strategy == "shuffle" else None
-        self.tasks = shuffle_partitions(edges.sparkSession)
+        self.tasks = shuffle_partitions(pairs.sparkSession)
+        self.middle_rows, self.max_hubs = middle_rows, max_hubs
 
     def side(self, df: DataFrame) -> DataFrame:
         if self.replicate:
@@ -68,51 +73,58 @@ class _Joins:
 
     def low_middle_paths(self, ranked: DataFrame) -> DataFrame:
         """``(x, y, z, m_in, m_out, d_x, d_z)``: two-paths over three vertices, lowest rank at y."""
-        # Ties go by id: a < b.
+        # Ties go by id: a < b. Of d_low neighbours at most ``reach`` rank higher.
         ordered = ranked.withColumn("a_low", F.expr("d_a <= d_b")).selectExpr(
             "IF(a_low, a, b) AS low", "IF(a_low, b, a) AS high", "IF(a_low, d_b, d_a) AS d_high",
-            "IF(a_low, m_ab, m_ba) AS m_up", "IF(a_low, m_ba, m_ab) AS m_down")
-        into = ordered.where("m_down > 0").selectExpr("high AS x", "low AS y", "m_down AS m_in", "d_high AS d_x")
-        out = ordered.where("m_up > 0").selectExpr("low AS y", "high AS z", "m_up AS m_out", "d_high AS d_z")
+            "IF(a_low, m_ab, m_ba) AS m_up", "IF(a_low, m_ba, m_ab) AS m_down",
+            f"greatest(1L, ceil(least(IF(a_low, d_a, d_b), reach) / {self.middle_rows})) AS parts")
+        each = "explode(sequence(0L, parts - 1))"
+        into = ordered.where("m_down > 0").selectExpr(
+            "high AS x", "low AS y", "m_down AS m_in", "d_high AS d_x", "parts", f"{part_of('high', 'parts')} AS into_part")
+        out = ordered.where("m_up > 0").selectExpr(
+            "low AS y", "high AS z", "m_up AS m_out", "d_high AS d_z", "parts", f"{part_of('high', 'parts')} AS out_part")
+        if self.replicate:
+            return into.drop("parts", "into_part").repartition(self.tasks, "x", "y").join(
+                F.broadcast(out.drop("parts", "out_part")), "y").where("x != z")
         # A few bytes of edges make many paths, so the number of tasks is fixed here
         # instead of being merged by the size of their input.
-        if self.replicate:
-            into = into.repartition(self.tasks, "x", "y")
-        else:
-            into, out = into.repartition(self.tasks, "y"), out.repartition(self.tasks, "y")
-        return into.join(self.side(out), "y").where("x != z")
+        cell = ["y", "into_part", "out_part"]
+        into = into.selectExpr("x", "y", "m_in", "d_x", "into_part", f"{each} AS out_part").repartition(self.tasks, *cell)
+        out = out.selectExpr("y", "z", "m_out", "d_z", "out_part", f"{each} AS into_part").repartition(self.tasks, *cell)
+        return into.join(self.side(out), cell).drop("into_part", "out_part").where("x != z")
 
 
-def _ranked(pairs: DataFrame) -> DataFrame:
-    """``pairs`` without loops, with the degrees ``d_a`` and ``d_b`` that rank their ends.
+def _ranked(pairs: DataFrame, max_hubs: int = HUB_ROWS) -> DataFrame:
+    """``pairs`` without loops, with the degrees ``d_a`` and ``d_b`` that rank their ends, and ``reach``.
 
-    Only as many vertices are ranked as a broadcast can hold for certain; those with
-    the fewest neighbours share rank 0.
+    ``reach`` bounds how many neighbours of a vertex rank above it: were there more than sqrt(2 * pairs), their
+    degrees alone would exceed the sum of all. Every vertex has its exact degree; ``max_hubs`` only says of how many it is
+    broadcast.
     """
     degree = pairs.selectExpr("explode(array(a, b)) AS v").groupBy("v").agg(F.count("*").alias("d"))
-    ranks = hub_table(degree, pairs, 2, 0)
-    for end in ("a", "b"):
-        pairs = pairs.join(F.broadcast(ranks.selectExpr(f"v AS {end}", f"d AS d_{end}")), end, "left")
-    return pairs.selectExpr(
-        "a", "b", "m_ab", "m_ba", "coalesce(d_a, 0L) AS d_a", "coalesce(d_b, 0L) AS d_b")
+    hubs = hub_table(degree, pairs, 2, 0, max_hubs)
+    reach = pairs.agg(F.ceil(F.sqrt(F.count("*") * 2)).alias("reach")).scalar()
+    ranked = with_degree(with_degree(pairs, "a", degree, hubs, "d_a"), "b", degree, hubs, "d_b")
+    return ranked.select("a", "b", "m_ab", "m_ba", "d_a", "d_b", reach.alias("reach"))
 
 
 def _cycle_sums(pairs: DataFrame, multiplicity: str, joins: _Joins) -> DataFrame:
     """``(closed)``: closed two-paths over three different vertices, in partial sums."""
     # The closing edge z->x is a->b of its pair where z < x, and b->a otherwise.
-    paths = joins.low_middle_paths(_ranked(pairs)).selectExpr(
+    product, both = "try_multiply(m_in, m_out)", "try_add(m_in, m_out)"
+    paths = joins.low_middle_paths(_ranked(pairs, joins.max_hubs)).selectExpr(
         "least(x, z) AS a", "greatest(x, z) AS b",
-        "IF(z < x, m_in * m_out, 0) AS products_ab", "IF(z < x, m_in + m_out, 0) AS sums_ab",
-        "IF(z < x, 0, m_in * m_out) AS products_ba", "IF(z < x, 0, m_in + m_out) AS sums_ba")
+        f"IF(z < x, {product}, 0) AS products_ab", f"IF(z < x, {both}, 0) AS sums_ab",
+        f"IF(z < x, 0, {product}) AS products_ba", f"IF(z < x, 0, {both}) AS sums_ba")
     if not joins.replicate:
         # One row per pair of ends goes through the shuffle instead of every path,
         # and arrives where the folded pair already is.
         paths = paths.groupBy("a", "b").agg(
-            *[F.expr(f"sum({c}) AS {c}") for c in paths.columns if c not in ("a", "b")])
+            *[F.expr(f"{safe_sum(c)} AS {c}") for c in paths.columns if c not in ("a", "b")])
     ab = closed_paths(multiplicity, "products_ab", "sums_ab", "m_ab")
     ba = closed_paths(multiplicity, "products_ba", "sums_ba", "m_ba")
     return paths.join(joins.side(pairs), ["a", "b"]).selectExpr(
-        f"IF(m_ab > 0, {ab}, 0) + IF(m_ba > 0, {ba}, 0) AS closed")
+        f"try_add(IF(m_ab > 0, {ab}, 0), IF(m_ba > 0, {ba}, 0)) AS closed")
 
 
 def _loop_sums(loops: DataFrame, pairs: DataFrame, multiplicity: str) -> DataFrame:
@@ -126,27 +138,31 @@ def _loop_sums(loops: DataFrame, pairs: DataFrame, multiplicity: str) -> DataFra
         pairs.where("m_ab > 0 AND m_ba > 0")
         .selectExpr("explode(array(a, b)) AS v", "m_ab", "m_ba")
         .groupBy("v")
-        .agg(F.expr("sum(m_ab * m_ba) AS products"), F.expr("sum(m_ab + m_ba) AS sums"))
+        .agg(F.expr(f"{safe_sum('try_multiply(m_ab, m_ba)')} AS products"), F.expr(f"{safe_sum('try_add(m_ab, m_ba)')} AS sums"),
+             F.lit(True).alias("some"))
     )
-    alone = "loop * loop * loop" if multiplicity == "all" else "loop * loop"
+    alone = "try_multiply(loop, loop)" if multiplicity != "all" else "try_multiply(try_multiply(loop, loop), loop)"
     shared = closed_paths(multiplicity, "products", "sums", "loop")
-    return loops.join(there_and_back, "v", "left").selectExpr(f"{alone} + coalesce({shared}, 0) AS closed")
+    return loops.join(there_and_back, "v", "left").selectExpr(
+        f"try_add({alone}, IF(some IS NULL, 0, {shared})) AS closed")
 
 
-def _closed(edges, multiplicity, strategy, count_type, broadcast_rows) -> DataFrame:
+def _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs) -> DataFrame:
+    """``(closed)`` in partial sums, null where one is beyond ``count_type``."""
     if multiplicity not in MULTIPLICITIES:
         raise ValueError(f"multiplicity must be one of {MULTIPLICITIES}, not {multiplicity!r}")
-    joins = _Joins(edges, strategy, broadcast_rows)
+    folded = _folded_pairs(edges, multiplicity == "distinct", count_type)
+    pairs = folded if multiplicity == "distinct" else folded.where("m_ba IS NOT NULL")
+    sums = _cycle_sums(pairs, multiplicity, _Joins(pairs, strategy, broadcast_rows, middle_rows, max_hubs))
     if multiplicity == "distinct":
-        return _cycle_sums(_folded_pairs(edges, True, count_type), multiplicity, joins)
-    folded = _folded_pairs(edges, False, count_type)
-    pairs = folded.where("m_ba IS NOT NULL")
+        return sums
     loops = folded.where("m_ba IS NULL").selectExpr("a AS v", "m_ab AS loop")
-    return _cycle_sums(pairs, multiplicity, joins).unionByName(_loop_sums(loops, pairs, multiplicity))
+    return sums.unionByName(_loop_sums(loops, pairs, multiplicity))
 
 
 def closed_two_path_count(edges: DataFrame, multiplicity: str = "distinct", strategy: str = "auto",
-                          count_type: str = "bigint", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                          count_type: str = "bigint", broadcast_rows: int = BROADCAST_ROWS,
+                          middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS) -> DataFrame:
     """One row ``(closed)``: two-paths x->y->z for which z->x exists.
 
     ``multiplicity`` says what copies of an edge and self-loops do:
@@ -156,36 +172,39 @@ def closed_two_path_count(edges: DataFrame, multiplicity: str = "distinct", stra
     * ``closing_exists``: copies count on the path, the closing edge counts once.
 
     ``strategy`` is ``shuffle`` (sort-merge joins), ``broadcast`` (the graph goes to
-    every executor, if it has at most ``broadcast_rows`` edges; otherwise as
-    ``auto``), or ``auto`` (the planner decides).
+    every executor, if it has at most ``broadcast_rows`` different pairs; otherwise as
+    ``auto``; edges are then scanned twice), or ``auto`` (the planner decides). A count beyond ``count_type`` is an error, whatever
+    the session's settings. ``middle_rows`` and ``max_hubs`` lay out tasks and do not change the count.
     """
-    closed = _closed(edges, multiplicity, strategy, count_type, broadcast_rows)
-    return closed.agg(F.expr(f"CAST(coalesce(sum(closed), 0) AS {count_type}) AS closed"))
+    closed = _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs)
+    return closed.agg(F.expr(f"{total_or_error('closed', count_type)} AS closed"))
 
 
 def triangle_count(edges: DataFrame, multiplicity: str = "distinct", strategy: str = "auto",
-                   count_type: str = "bigint", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                   count_type: str = "bigint", broadcast_rows: int = BROADCAST_ROWS,
+                   middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS) -> DataFrame:
     """One row ``(triangles)``: a third of the closed two-paths, rounded down.
 
     Always one row, 0 for a graph without triangles. Parameters as for
     ``closed_two_path_count``.
     """
-    closed = closed_two_path_count(edges, multiplicity, strategy, count_type, broadcast_rows)
+    closed = closed_two_path_count(edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs)
     # div would be shorter, but its result is always 64 bits wide
     return closed.selectExpr(f"CAST((closed - closed % 3) / 3 AS {count_type}) AS triangles"
                              if count_type != "bigint" else "closed div 3 AS triangles")
 
 
 def triangles(edges: DataFrame, strategy: str = "auto", broadcast_rows: int = BROADCAST_ROWS,
-              rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+              rows_per_part: int = ROWS_PER_PART, middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS) -> DataFrame:
     """``(x, y, z)``: each directed 3-cycle once, beginning at its smallest id.
 
     Two hubs may be the ends of very many two-paths, though never of more than the
     smaller of their degrees. The paths of such a pair are spread over parts by their
     middle vertex, and the pair is repeated for each part.
     """
-    joins = _Joins(edges, strategy, broadcast_rows)
-    ranked = _ranked(_folded_pairs(edges, True, "bigint"))
+    pairs = _folded_pairs(edges, True, "bigint")
+    joins = _Joins(pairs, strategy, broadcast_rows, middle_rows, max_hubs)
+    ranked = _ranked(pairs, max_hubs)
     paths = joins.low_middle_paths(ranked).withColumn("parts", _parts("d_x", "d_z", rows_per_part)).selectExpr(
         "x", "y", "z", "least(x, z) AS a", "greatest(x, z) AS b", f"{part_of('y', 'parts')} AS part")
     closing = ranked.withColumn("parts", _parts("d_a", "d_b", rows_per_part)).selectExpr(

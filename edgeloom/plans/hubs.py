@@ -17,8 +17,9 @@ from edgeloom.functions import part_of
 # the square root of their number; either is small enough to broadcast.
 HUB_ROWS = 1_000_000
 
-# Rows of one vertex that a single task is happy to take.
+# Rows of one vertex that a single task is happy to take, and joined rows that it is happy to make.
 ROWS_PER_PART = 100_000
+PATHS_PER_PART = 10_000_000
 
 
 def hub_table(degrees: DataFrame, edges: DataFrame, ends: int, min_degree: int,
@@ -37,20 +38,27 @@ def hub_table(degrees: DataFrame, edges: DataFrame, ends: int, min_degree: int,
     return degrees.withColumn("part_rows", part_rows).where("d > part_rows")
 
 
+def with_degree(rows: DataFrame, key: str, degrees: DataFrame, hubs: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the degree of ``key`` as column ``name``; rows whose key is not in ``degrees(v, d)`` go.
+
+    Degrees of hubs, of which there are few, are broadcast. The other rows are shuffled by their key, which
+    none of them has often.
+    """
+    few = F.broadcast(hubs.selectExpr(f"v AS {key}", f"d AS {name}"))
+    rest = rows.join(F.broadcast(hubs.selectExpr(f"v AS {key}")), key, "left_anti")
+    return rows.join(few, key).unionByName(
+        rest.join(degrees.selectExpr(f"v AS {key}", f"d AS {name}").hint("shuffle_hash"), key))
+
+
 def split_join(left: DataFrame, right: DataFrame, key: str, left_end: str, right_end: str,
                hubs: DataFrame, hint: str | None = None) -> DataFrame:
     """Inner join on ``key`` where a hub forms a grid of tasks instead of one.
 
-    ``hubs(v, n_left, n_right, part_rows)`` is a hub table with the rows of each key on
-    both sides. The left rows of a hub fall into parts by ``left_end``, the right rows
-    by ``right_end``; each left part meets each right part in a task of its own. Every
+    ``hubs(v, parts_left, parts_right)`` says in how many parts the rows of a key fall on either side, by
+    ``left_end`` and by ``right_end``; each left part meets each right part in a task of its own. Every
     pair still meets exactly once.
     """
-    grid = hubs.selectExpr(
-        f"v AS {key}",
-        "ceil(greatest(n_left, 1) / part_rows) AS hub_left",
-        "ceil(greatest(n_right, 1) / part_rows) AS hub_right",
-    )
+    grid = hubs.selectExpr(f"v AS {key}", "parts_left AS hub_left", "parts_right AS hub_right")
 
     def spread(side: DataFrame, own: str, own_end: str, other: str) -> DataFrame:
         return side.join(F.broadcast(grid), key, "left").selectExpr(

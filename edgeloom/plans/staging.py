@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="edgeloom-"))
     return spark.sparkContext.getCheckpointDir()
@@ -49,9 +50,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``stage`` that is not read again."""
+    files = table.inputFiles()
+    if files:
+        context = table.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, without counting further."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    Counts all of them: a limit would send up to ``max_rows`` rows of each task into one.
+    """
+    return df.count() <= max_rows
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

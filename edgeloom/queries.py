@@ -1,7 +1,7 @@
 """The registered queries, each over whole tables, with SQL that gives the same rows.
 
-Two follow graphs come out of the tables: ``follows`` (an edge per order) and
-``follows_dense`` (an edge per line item, with many copies and loops). The chains are
+Three follow graphs come out of the tables: ``follows`` and ``follows_skewed`` (an edge per order, the latter with
+hubs) and ``follows_dense`` (an edge per line item, with many copies and loops). The chains are
 made of the order keys. SQL is left out only where there is none.
 """
 
@@ -25,6 +25,8 @@ SMALL_BLOCK = 32  # neighbours per block in adjacency_blocks
 
 FOLLOWS = "SELECT o_custkey AS src, o_orderkey % (SELECT count(*) FROM customer) AS dst FROM orders"
 DENSE = "SELECT l_suppkey AS src, l_partkey % (SELECT count(*) FROM supplier) AS dst FROM lineitem"
+SKEWED = """SELECT o_custkey AS src, ((o_orderkey % 1000) * (o_orderkey % 1000) * (o_orderkey % 1000)
+  * (SELECT count(*) FROM customer)) // 1000000000 AS dst FROM orders"""
 CHAINS = f"""
 SELECT o_orderkey + 1 AS src,
        CASE WHEN (o_orderkey + 1) % {CHAIN} = 0 OR o_orderkey + 1 = (SELECT count(*) FROM orders)
@@ -153,36 +155,42 @@ for _strategy in ("shuffle", "broadcast"):
         lambda spark, d, s=_strategy: el.two_paths(el.follows(spark, d), s))
 
 
-def joined_lists(adjacency: DataFrame) -> DataFrame:
-    return adjacency.selectExpr(
-        "src", "block",
-        "concat_ws(',', CAST(neighbours AS array<string>)) AS neighbours",
-        "concat_ws(',', CAST(copies AS array<string>)) AS copies",
-    )
+@query("two_paths_skewed", over(SKEWED, TWO_PATHS_SQL))
+def two_paths_skewed(spark, d):
+    return el.two_paths(el.follows_skewed(spark, d), paths_per_part=400)
 
 
-def adjacency_sql(edges: str, block: int) -> str:
-    # A block is larger than asked for only where the list of hubs would get too long.
-    return f"""
-WITH e AS ({edges}), w AS (SELECT src, dst, count(*) AS m FROM e GROUP BY src, dst),
-t AS (SELECT count(*) AS n FROM w),
-b AS (SELECT greatest({block}, CAST(ceil(n / greatest(1000000.0, sqrt(n))) AS BIGINT)) AS size FROM t),
-d AS (SELECT src, count(*) AS d FROM w GROUP BY src),
-p AS (SELECT w.src, w.dst, m, CASE WHEN d > size THEN w.dst // size ELSE 0 END AS block
-      FROM w JOIN d ON w.src = d.src, b)
-SELECT src, block, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours,
-       string_agg(CAST(m AS VARCHAR), ',' ORDER BY dst) AS copies
-FROM p GROUP BY src, block"""
-
-
-@query("adjacency", adjacency_sql(FOLLOWS, 100_000))
+NEIGHBOURS_SQL = "SELECT src, dst AS neighbour, count(*) AS copies FROM e GROUP BY src, dst"
+
+
+def neighbours(adjacency: DataFrame) -> DataFrame:
+    return adjacency.selectExpr("src", "inline(arrays_zip(neighbours, copies))").withColumnRenamed("neighbours", "neighbour")
+
+
+@query("adjacency", over(FOLLOWS, NEIGHBOURS_SQL))
 def adjacency(spark, d):
-    return joined_lists(el.adjacency(el.follows(spark, d)))
+    return neighbours(el.adjacency(el.follows(spark, d)))
 
 
-@query("adjacency_blocks", adjacency_sql(DENSE, SMALL_BLOCK))
+@query("adjacency_blocks", over(DENSE, NEIGHBOURS_SQL))
 def adjacency_blocks(spark, d):
-    return joined_lists(el.adjacency(el.follows_dense(spark, d), SMALL_BLOCK))
+    return neighbours(el.adjacency(el.follows_dense(spark, d), SMALL_BLOCK, max_hubs=10))
+
+
+@query("adjacency_text_ids", over(SKEWED, """
+SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS neighbour, count(*) AS copies FROM e GROUP BY src, dst"""))
+def adjacency_text_ids(spark, d):
+    lines = el.format_pairs(el.follows_skewed(spark, d))
+    return neighbours(el.adjacency(el.parse_edges(lines, id_type="string"), 4))
+
+
+@query("adjacency_block_bound", over(DENSE, f"""
+, w AS (SELECT DISTINCT src, dst FROM e)
+SELECT src, count(*) AS neighbours, TRUE AS few_blocks FROM w GROUP BY src"""))
+def adjacency_block_bound(spark, d):
+    blocks = el.adjacency(el.follows_dense(spark, d), SMALL_BLOCK)
+    return blocks.groupBy("src").agg(F.sum(F.size("neighbours")).alias("neighbours"), F.count("*").alias("blocks")).selectExpr(
+        "src", "neighbours", f"blocks <= ceil(neighbours / {SMALL_BLOCK}) AS few_blocks")
 
 
 # --- triangles ----------------------------------------------------------------------
@@ -212,6 +220,11 @@ for _multiplicity in CLOSED:
         lambda spark, d, m=_multiplicity: el.triangle_count(el.follows_dense(spark, d), m))
 
 
+for _multiplicity in CLOSED:
+    query(f"triangle_count_skewed_{_multiplicity}", triangle_sql(SKEWED, _multiplicity))(
+        lambda spark, d, m=_multiplicity: el.triangle_count(el.follows_skewed(spark, d), m, middle_rows=4, max_hubs=10))
+
+
 @query("triangle_count_max_filter", triangle_sql(HALF.replace("FROM e", "FROM g"), "distinct", f"g AS ({FOLLOWS}), "))
 def triangle_count_max_filter(spark, d):
     return el.triangle_count(max_filter(spark, d))
@@ -247,6 +260,11 @@ def triangles_dense(spark, d):
     return el.triangles(el.follows_dense(spark, d))
 
 
+@query("triangles_skewed", over(SKEWED, TRIANGLES_SQL))
+def triangles_skewed(spark, d):
+    return el.triangles(el.follows_skewed(spark, d), rows_per_part=8, middle_rows=4, max_hubs=10)
+
+
 # --- chains and ranks ---------------------------------------------------------------
 
 
@@ -262,7 +280,7 @@ def chain_graph(spark, d):
 
 @query("chain_vertices", CHAIN_VERTICES)
 def chain_vertices(spark, d):
-    return chain_keys(spark, d).unionAll(spark.range(1).selectExpr("id AS v"))
+    return el.chain_vertices(chain_keys(spark, d))
 
 
 @query("initial_ranks", f"""
@@ -316,11 +334,11 @@ def suppliers(spark, d) -> DataFrame:
 
 
 @query("incoming_rank", over(FOLLOWS, """
-SELECT dst AS v, round(sum(CAST(1 AS DOUBLE) / (SELECT count(*) - 1 FROM customer)), 12) AS inc
-FROM e WHERE src <> 0 AND src IN (SELECT c_custkey FROM customer) GROUP BY dst"""))
+SELECT dst AS v, round(sum(CAST(1 AS DOUBLE) / (SELECT count(*) FROM customer)), 12) AS inc
+FROM e WHERE src IN (SELECT c_custkey FROM customer) GROUP BY dst"""))
 def incoming_rank(spark, d):
     users = customers(spark, d)
-    ranks = el.initial_ranks(users, users.count() - 1).where("v != 0")
+    ranks = el.initial_ranks(users, users.count(), sink=None)
     return el.incoming_rank(el.follows(spark, d), ranks).select("v", F.round("inc", 12).alias("inc"))
 
 
@@ -352,6 +370,32 @@ def pagerank_dense_out_degree(spark, d):
         el.follows_dense(spark, d), suppliers(spark, d), 3, sink=0, normalize="out_degree"))
 
 
+@query("pagerank_out_degree_skewed", rank_sql(SKEWED, CUSTOMERS, 3, None, True))
+def pagerank_out_degree_skewed(spark, d):
+    return rounded(el.pagerank(el.follows_skewed(spark, d), customers(spark, d), 3, normalize="out_degree", rows_per_part=4))
+
+
+@query("pagerank_start_ranks", over(FOLLOWS, """
+, n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM customer),
+i AS (SELECT dst, sum((src % 7 + 1) / (SELECT n FROM n)) AS inc FROM e GROUP BY dst)
+SELECT c_custkey // 2 AS v, round(coalesce(any_value(inc), 0), 12) AS rank
+FROM customer LEFT JOIN i ON dst = c_custkey // 2 GROUP BY c_custkey // 2"""))
+def pagerank_start_ranks(spark, d):
+    # ranks of all users, vertices only the lower half of them
+    users = customers(spark, d)
+    n = users.count()
+    ranks = users.selectExpr("v", f"(v % 7 + 1) / {n}D AS rank")
+    half = users.selectExpr("v div 2 AS v").distinct()
+    return rounded(el.pagerank(el.follows(spark, d), half, 1, ranks=ranks))
+
+
+@query("pagerank_text_ids", f"SELECT CAST(v AS VARCHAR) AS v, rank FROM ({rank_sql(FOLLOWS, CUSTOMERS, 2, 0)})")
+def pagerank_text_ids(spark, d):
+    edges = el.parse_edges(el.format_pairs(el.follows(spark, d)), id_type="string")
+    users = el.parse_vertices(customers(spark, d).selectExpr("concat(v, ',0') AS value"), id_type="string")
+    return rounded(el.pagerank(edges, users, 2, sink="0"))
+
+
 # --- text files -----------------------------------------------------------------------
 
 
@@ -415,3 +459,19 @@ def read_vertices_roundtrip(spark, d):
     path = scratch_path(spark, "vertices")
     el.write_pairs(chain_vertices(spark, d).selectExpr("v", "0 AS unused"), path)
     return el.read_vertices(spark, path)
+
+
+@query("read_ranks_many_per_line", f"SELECT v, rank FROM ({ORACLES['initial_ranks']}) UNION ALL SELECT v + 1, 0.5 FROM ({CHAIN_VERTICES})")
+def read_ranks_many_per_line(spark, d):
+    return el.parse_ranks(initial_ranks(spark, d).selectExpr("concat(v, ',', rank, '  ', v + 1, ',0.5') AS value"))
+
+
+@query("read_ranks_drop", f"SELECT v, CAST(0.5 AS DOUBLE) AS rank FROM ({CHAIN_VERTICES})")
+def read_ranks_drop(spark, d):
+    lines = chain_vertices(spark, d).selectExpr("concat(v, ', ,0.25 x,1 ', v, ',0.5 ', v, ',z 7') AS value")
+    return el.parse_ranks(lines, mode="drop")
+
+
+@query("read_vertices_many_per_line", f"SELECT v FROM ({CHAIN_VERTICES}) UNION ALL SELECT v + 1 FROM ({CHAIN_VERTICES})")
+def read_vertices_many_per_line(spark, d):
+    return el.parse_vertices(chain_vertices(spark, d).selectExpr("concat(v, ',0 ', v + 1, ',0') AS value"))

@@ -21,12 +21,18 @@ def chain_edges(vertices: DataFrame, k: int, last: int) -> DataFrame:
 
 def chain_graph(spark: SparkSession, k: int) -> DataFrame:
     """Edges of ``k`` chains of ``k`` vertices."""
-    return chain_edges(spark.range(1, k * k + 1).withColumnRenamed("id", "v"), k, k * k)
+    return chain_edges(numbered_vertices(spark, k), k, k * k)
 
 
-def chain_vertices(spark: SparkSession, k: int, with_sink: bool = True) -> DataFrame:
-    """Vertices of ``chain_graph``, by default with the sink 0."""
-    return spark.range(0 if with_sink else 1, k * k + 1).withColumnRenamed("id", "v")
+def chain_vertices(vertices: DataFrame) -> DataFrame:
+    """``(v)``: ``vertices(v)`` and the sink 0."""
+    return vertices.select(F.col("v").cast("bigint").alias("v")).union(
+        vertices.sparkSession.range(1).select(F.lit(SINK).cast("bigint").alias("v")))
+
+
+def numbered_vertices(spark: SparkSession, k: int) -> DataFrame:
+    """``(v)``: the vertices of ``chain_graph`` without the sink."""
+    return spark.range(1, k * k + 1).withColumnRenamed("id", "v")
 
 
 def initial_ranks(vertices: DataFrame, n: int, sink: int | None = SINK) -> DataFrame:

@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.plans import fits_broadcast
-
-# Most rows that ``single_file`` lets through one task.
-SINGLE_FILE_ROWS = 1_000_000
-
 STYLES = ("delimited", "tuple", "csv")
 
 
@@ -21,40 +16,30 @@ def format_pairs(df: DataFrame, sep: str = ",", style: str = "delimited") -> Dat
     return df.select(F.concat_ws(sep, *fields).alias("value"))
 
 
+def _write(rows: DataFrame, path: str, sep: str, style: str, mode: str) -> None:
+    if style not in STYLES:
+        raise ValueError(f"style must be one of {STYLES}, not {style!r}")
+    if style == "csv":
+        rows.write.mode(mode).option("sep", sep).csv(path)
+    else:
+        format_pairs(rows, sep, style).write.mode(mode).text(path)
+
+
 def write_pairs(df: DataFrame, path: str, sep: str = ",", style: str = "delimited",
-                sort_keys: bool = False, single_file: bool = False, mode: str = "errorifexists") -> None:
+                sort_keys: bool = False, mode: str = "errorifexists") -> None:
     """Write each row of ``df`` as a line of text.
 
     ``style`` is ``delimited`` (``k<sep>v``), ``tuple`` (``(k,v)``) or ``csv`` (fields
     quoted where needed). ``sort_keys`` puts each key into one file and orders every
-    file by the key as text. ``single_file`` is for small results: more than
-    ``SINGLE_FILE_ROWS`` rows are refused, as they would all pass through one task.
+    file by the key as text.
     """
-    if style not in STYLES:
-        raise ValueError(f"style must be one of {STYLES}, not {style!r}")
-    if single_file:
-        df = df.persist()
-    try:
-        if single_file:
-            if not fits_broadcast(df, SINGLE_FILE_ROWS):
-                raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: write them as several files")
-            rows = df.coalesce(1)
-        else:
-            rows = df
-        if sort_keys:
-            key = F.col(df.columns[0])
-            rows = (rows if single_file else rows.repartition(key)).sortWithinPartitions(key.cast("string"))
-        if style == "csv":
-            rows.write.mode(mode).option("sep", sep).csv(path)
-        else:
-            format_pairs(rows, sep, style).write.mode(mode).text(path)
-    finally:
-        if single_file:
-            df.unpersist()
+    if sort_keys:
+        key = F.col(df.columns[0])
+        df = df.repartition(key).sortWithinPartitions(key.cast("string"))
+    _write(df, path, sep, style, mode)
 
 
 def write_labelled(df: DataFrame, path: str, label: str, sep: str = ",", style: str = "delimited",
                    mode: str = "errorifexists") -> None:
-    """Write a one-row result, such as a count, as ``label<sep>value`` in one file."""
-    write_pairs(df.select(F.lit(label).alias("label"), *df.columns), path, sep, style,
-                single_file=True, mode=mode)
+    """Write the row of a result that has one by construction, such as a count, as ``label<sep>value`` in one file."""
+    _write(df.select(F.lit(label).alias("label"), *df.columns).coalesce(1), path, sep, style, mode)

@@ -1,11 +1,14 @@
+import importlib
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import brute
+from edgeloom.plans import stage
 from edgeloom import (
-    chain_graph, chain_vertices, incoming_rank, initial_ranks, pagerank, pagerank_step,
+    chain_graph, chain_vertices, incoming_rank, initial_ranks, numbered_vertices, pagerank, pagerank_step,
 )
 
 # Ranks of the chain graph with k = 100 after 10 iterations, by position in a chain.
@@ -19,14 +22,14 @@ GOLDEN_REST = 1.1046221254112046e-04
 
 
 def ranks_of(df):
-    rows = df.collect()
+    rows = df.select("v", "rank").collect()
     found = {r.v: r.rank for r in rows}
     assert len(found) == len(rows)
     return found
 
 
 def test_chain_of_100_by_100(spark):
-    ranks = ranks_of(pagerank(chain_graph(spark, 100), chain_vertices(spark, 100), 10, sink=0))
+    ranks = ranks_of(pagerank(chain_graph(spark, 100), chain_vertices(numbered_vertices(spark, 100)), 10, sink=0))
     assert len(ranks) == 10_001
     assert ranks.pop(0) == 0.0
     for v, rank in ranks.items():
@@ -38,9 +41,9 @@ def test_chain_of_100_by_100(spark):
 
 def test_chain_parts(spark):
     assert sorted(map(tuple, chain_graph(spark, 2).collect())) == [(1, 2), (2, 0), (3, 4), (4, 0)]
-    assert sorted(r.v for r in chain_vertices(spark, 2).collect()) == [0, 1, 2, 3, 4]
-    assert sorted(r.v for r in chain_vertices(spark, 2, with_sink=False).collect()) == [1, 2, 3, 4]
-    ranks = ranks_of(initial_ranks(chain_vertices(spark, 2), 4))
+    assert sorted(r.v for r in chain_vertices(numbered_vertices(spark, 2)).collect()) == [0, 1, 2, 3, 4]
+    assert sorted(r.v for r in numbered_vertices(spark, 2).collect()) == [1, 2, 3, 4]
+    ranks = ranks_of(initial_ranks(chain_vertices(numbered_vertices(spark, 2)), 4))
     assert ranks == {0: 0.0, 1: 0.25, 2: 0.25, 3: 0.25, 4: 0.25}
 
 
@@ -97,11 +100,53 @@ def test_incoming_rank(spark, edges):
 
 
 def test_result_outlives_the_kept_links(spark):
-    ranks = pagerank(chain_graph(spark, 3), chain_vertices(spark, 3), 2, sink=0)
+    ranks = pagerank(chain_graph(spark, 3), chain_vertices(numbered_vertices(spark, 3)), 2, sink=0)
     assert ranks.agg(F.sum("rank")).first()[0] == pytest.approx(1.0)
     assert not list(spark.sparkContext._jsc.getPersistentRDDs())
 
 
+@pytest.mark.parametrize("normalize", ["none", "out_degree"])
+def test_start_ranks_outside_of_the_vertices_pass_on(spark, edges, normalize):
+    graph = edges([(1, 2), (7, 2), (2, 0), (8, 9)])
+    vertices = spark.createDataFrame([(0,), (1,), (2,)], "v BIGINT")
+    ranks = spark.createDataFrame([(1, 0.25), (2, 0.25), (7, 0.5), (9, 0.5)], "v BIGINT, rank DOUBLE")
+    want = ranks_of(pagerank_step(graph, vertices, ranks, 2, 0, normalize))
+    assert ranks_of(pagerank(graph, vertices, 1, sink=0, ranks=ranks, normalize=normalize)) == pytest.approx(want)
+    if normalize == "none":
+        assert want[2] == pytest.approx(0.875)
+
+
+def test_a_job_and_a_table_per_step(spark, tmp_path, monkeypatch):
+    module = importlib.import_module("edgeloom.operators.pagerank")
+    tables = []
+
+    def watched(df, name):
+        tables.append(stage(df, name))
+        return tables[-1]
+
+    monkeypatch.setattr(module, "stage", watched)
+    graph, vertices = chain_graph(spark, 4), chain_vertices(numbered_vertices(spark, 4))
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+    for steps in (2, 5):
+        spark.sparkContext.setJobGroup(f"steps-{steps}", "")
+        module.pagerank(graph, vertices, steps, sink=0, normalize="out_degree")
+        jobs.append(len(tracker.getJobIdsForGroup(f"steps-{steps}")))
+    spark.sparkContext.setJobGroup("other", "")
+    executions = (jobs[1] - jobs[0]) / 3
+    # a step is one query; adaptive execution gives each of its shuffles a job
+    assert executions <= 4
+    folders = [Path(t.inputFiles()[0].removeprefix("file://")).parent for t in tables]
+    assert [f.exists() for f in folders] == [False, True, False, False, False, False, True]
+
+
+def test_text_ids(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "01")], "src STRING, dst STRING")
+    vertices = spark.createDataFrame([("a",), ("b",), ("c",), ("01",)], "v STRING")
+    got = ranks_of(pagerank(edges, vertices, 1, sink="01"))
+    assert got == pytest.approx({"a": 1 / 9, "b": 4 / 9, "c": 4 / 9, "01": 0.0})
+
+
 def test_unknown_rule(spark, edges):
     with pytest.raises(ValueError):
         pagerank(edges([]), spark.range(1).withColumnRenamed("id", "v"), 1, normalize="damped")

@@ -2,10 +2,10 @@ import pytest
 from pyspark.errors import PySparkException
 
 from edgeloom import (
-    follower_count, format_pairs, parse_edges, read_edges, read_ranks, read_vertices, triangle_count,
+    follower_count, format_pairs, parse_edges, parse_ranks, parse_vertices, read_edges, read_ranks, read_vertices,
+    triangle_count,
     write_labelled, write_pairs,
 )
-from edgeloom.sources import sinks
 
 
 def lines(spark, *text):
@@ -74,15 +74,20 @@ def test_pairs_and_tuples(spark, tmp_path):
     write_pairs(ranks, str(tmp_path / "p"), sep=":")
     assert sorted(sum(files(tmp_path / "p"), [])) == ["1:1.0936852726843606E-6", "2:0.0"]
     assert rows(format_pairs(ranks, style="tuple"))[0] == ("(1,1.0936852726843606E-6)",)
-    write_pairs(ranks, str(tmp_path / "one"), style="csv", single_file=True)
-    assert len(files(tmp_path / "one")) == 1
+    write_pairs(ranks, str(tmp_path / "csv"), style="csv")
+    assert sum(files(tmp_path / "csv"), []).count("2,0.0") == 1
 
 
 def test_sorted_keys_are_in_text_order_and_in_one_file_each(spark, edges, tmp_path):
     graph = edges([(i, i * 7 % 113) for i in range(400)])
-    write_pairs(follower_count(graph), str(tmp_path / "f"), sort_keys=True)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which would put this little into one file
+    try:
+        write_pairs(follower_count(graph), str(tmp_path / "f"), sort_keys=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     parts = [[line.split(",")[0] for line in part] for part in files(tmp_path / "f")]
-    assert len(parts) > 1 or spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert len(parts) > 1
     assert all(part == sorted(part) for part in parts)
     keys = sum(parts, [])
     assert sorted(keys) == sorted(set(keys)) and len(keys) == 113
@@ -93,9 +98,23 @@ def test_label(spark, edges, tmp_path):
     assert files(tmp_path / "n") == [["count:1"]]
 
 
-def test_single_file_refuses_large_results(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 3)
-    with pytest.raises(ValueError, match="several files"):
-        write_pairs(spark.range(4), str(tmp_path / "big"), single_file=True)
+@pytest.mark.parametrize("parse, good, want, bad", [
+    (parse_ranks, "1,0.5  2,1e-3", [(1, 0.5), (2, 1e-3)], ["2,", ",0.25", "x,0.25", "1", "1,2,3", "1,z"]),
+    (parse_vertices, "1,0 2,0 3", [(1,), (2,), (3,)], ["x,0", ",0", "1,0,0", "1.5,0"]),
+])
+def test_ranks_and_vertices(spark, parse, good, want, bad):
+    assert rows(parse(lines(spark, good, "", "  "))) == want
+    for word in bad:
+        parsed = parse(lines(spark, f"5,7 {word}"))
+        for column in parsed.columns:
+            with pytest.raises(PySparkException, match="malformed"):
+                parsed.select(column).collect()
+        assert len(rows(parse(lines(spark, f"5,7 {word}"), mode="drop"))) == 1
+    assert rows(parse(lines(spark, "01,1"), id_type="string"))[0][0] == "01"
+    with pytest.raises(ValueError):
+        parse(lines(spark, "1,1"), mode="maybe")
+
+
+def test_unknown_style(spark, tmp_path):
     with pytest.raises(ValueError, match="style"):
         write_pairs(spark.range(4), str(tmp_path / "big"), style="xml")

@@ -1,3 +1,4 @@
+import importlib
 import random
 
 import pytest
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 import brute
 from edgeloom import closed_two_path_count, triangle_count, triangles, two_path_count
 
+module = importlib.import_module("edgeloom.operators.triangles")
+
 TRIANGLE = [(1, 2), (2, 3), (3, 1)]
 
 # name: edges, two-paths, closed "all", closed "closing_exists", distinct triangles
@@ -106,9 +109,40 @@ def test_counts_beyond_64_bits(spark):
     ends = F.expr("explode(array(struct(1L AS src, 2L AS dst), struct(2L AS src, 3L AS dst), struct(3L AS src, 1L AS dst)))")
     many = spark.range(copies).select(ends.alias("e")).select("e.*")
     assert int(one(triangle_count(many, "all", count_type="decimal(38,0)"))) == copies**3 > 2**63
-    with pytest.raises(PySparkException, match="OVERFLOW"):
-        one(triangle_count(many, "all"))
-    assert one(triangle_count(many, "closing_exists")) == copies**2
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for setting in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", setting)
+            with pytest.raises(PySparkException, match="OVERFLOW"):
+                one(triangle_count(many, "all"))
+            assert one(triangle_count(many, "closing_exists")) == copies**2
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_bounds_change_neither_counts_nor_paths(spark, edges, strategy):
+    rng = random.Random(7)
+    pairs = [(0, v) if rng.random() < 0.5 else (v, 0) for v in range(1, 40)]
+    pairs += [(rng.randrange(40), rng.randrange(40)) for _ in range(300)]
+    graph = edges(pairs)
+    for multiplicity in ("distinct", "all", "closing_exists"):
+        want = brute.closed_two_paths(pairs, multiplicity)
+        for middle_rows, max_hubs in ((1, 3), (2, 1000)):
+            assert one(closed_two_path_count(graph, multiplicity, strategy, middle_rows=middle_rows, max_hubs=max_hubs)) == want
+    paths = set()
+    for middle_rows, max_hubs in ((1, 3), (5, 20), (3000, 1_000_000)):
+        folded = module._folded_pairs(graph, True, "bigint")
+        joins = module._Joins(folded, strategy, 2_000_000, middle_rows, max_hubs)
+        paths.add(joins.low_middle_paths(module._ranked(folded, max_hubs)).count())
+        assert sorted(map(tuple, triangles(graph, strategy, middle_rows=middle_rows, max_hubs=max_hubs).collect())) == brute.triangles(pairs)
+    assert len(paths) == 1
+
+
+def test_text_ids(spark):
+    graph = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("a", "c")], "src STRING, dst STRING")
+    assert one(triangle_count(graph)) == 1
+    assert list(map(tuple, triangles(graph).collect())) == [("a", "b", "c")]
 
 
 def test_unknown_choices(edges):
