@@ -110,7 +110,7 @@ class Tree:
             given = seen + rest[prefix] * below
             # symbols that are not listed keep their proportions, so they diverge as one
             with np.errstate(divide="ignore", invalid="ignore"):
-                gain = np.bincount(prefix, given * np.log(given / below), size)
+                gain = np.bincount(prefix, given * np.log(given / below), size).astype(float)  # also without any
                 other = np.maximum(1 - np.bincount(prefix, given, size), 1e-12)
                 other_below = np.maximum(1 - np.bincount(prefix, below, size), 1e-12)
                 gain += other * np.log(other / other_below)

@@ -54,7 +54,7 @@ def mix(docs: DataFrame, size: str = WORD_COUNT, weight: str = QUALITY_WEIGHT, s
 
     ``size`` and ``weight`` are SQL expressions over the columns of ``docs``. ``times`` is how often
     the mix has the document, ``taken`` that many times ``size``. The document on which a budget ends is taken if that
-    comes nearer to it. Documents of size 0 take nothing; rows repeated in full get the same key and
+    comes nearer to it. Documents of size 0 take nothing and are in complete epochs only; rows repeated in full get the same key and
     follow one another; a null source is a source of its own.
     """
     spark = docs.sparkSession
@@ -78,7 +78,7 @@ def mix(docs: DataFrame, size: str = WORD_COUNT, weight: str = QUALITY_WEIGHT, s
           FROM {keyed})
         SELECT *, size * times AS taken FROM (
           SELECT doc_id, o.source, size, source_size, target, key,
-                 epochs + IF(before_bucket + before_doc + size / 2 <= target - epochs * source_size, 1L, 0L) AS times
+                 epochs + IF(size > 0 AND before_bucket + before_doc + size / 2 <= target - epochs * source_size, 1L, 0L) AS times
           FROM ordered o JOIN placed p ON o.source <=> p.source AND o.bucket = p.bucket)""",
         sums=sums, targets=targets, keyed=keyed)
 
