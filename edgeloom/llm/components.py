@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.tables import written
+from edgeloom.plans import discard
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -40,6 +41,7 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(print_of) == before or not print_of[0]:
             break
         before = tuple(print_of)
-        current = written(_stars(_stars(current, True), False), "links")
+        current, last = written(_stars(_stars(current, True), False), "links"), current
+        discard(last)
     return nodes.join(current.selectExpr("a AS node", "b AS component").hint("merge"), "node", "left").selectExpr(
         "node", "coalesce(component, node) AS component")

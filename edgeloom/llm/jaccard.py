@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from edgeloom.llm.components import components
 from edgeloom.llm.tables import frequent_values, repeated_keys, written
+from edgeloom.plans import discard
 
 BAND_RATIO = 0.7  # smallest over largest size of a band
 FREQUENT_SAMPLE = 5_000  # documents looked at for very frequent shingles; steers chunk keys, not results
@@ -298,6 +299,7 @@ def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent
     blocks = written(lists.select("key", "blocks", "block", F.explode("ids").alias("node")).join(
         known.hint("merge"), "node").groupBy("key", "blocks", "block").agg(
         F.collect_list(F.struct("node", "label", "n_shingles", "doc_id", "sketch")).alias("members")), "blocks")
+    # the table of blocks is read by the result and stays
     left = blocks.selectExpr("key", "blocks", "struct(members) AS left", "block AS low",
                              "explode(sequence(block, blocks - 1)) AS high")
     right = blocks.selectExpr("key", "blocks", "struct(members) AS right", "block AS high", "explode(sequence(0, block)) AS low")
@@ -322,15 +324,17 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     members = _members(docs, rows, words, percent, _frequent(docs, rows, words))
 
     groups = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    weighed = members.join(groups.hint("merge"), "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    weighed = written(members.join(groups.hint("merge"), "key").groupBy("node").agg(F.sum("n").alias("weight")), "weights")
     ranked = members.join(weighed.hint("merge"), "node")
     # the member that shares most with others: the text that near copies were made from, or the least changed
-    centers = ranked.groupBy("key").agg(F.expr("max(struct(weight, node))").alias("best")).selectExpr(
-        "key", "best.node AS y")
-    first = members.withColumnRenamed("node", "x").join(centers.hint("merge"), "key").where(
-        "x != y").select("x", "y").distinct()
+    centers = written(ranked.groupBy("key").agg(F.expr("max(struct(weight, node))").alias("best")).selectExpr(
+        "key", "best.node AS y"), "centers")
+    first = written(members.withColumnRenamed("node", "x").join(centers.hint("merge"), "key").where(
+        "x != y").select("x", "y").distinct(), "first")
     close = written(_close(first, nodes, percent), "close")
     links = written(_verified(close, docs, words, percent), "links")
+    for table in (weighed, centers, first, close):
+        discard(table)
     labels = written(components(links.toDF("a", "b")), "labels")
 
     labelled = members.join(labels.hint("merge"), "node", "left").selectExpr(
@@ -338,9 +342,12 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     mixed = labelled.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where(
         "low < high").select("key", "n")
-    across = written(_across(
-        labelled.select("key", "node").join(mixed.hint("merge"), "key"), nodes, labels, percent), "close")
+    open_groups = written(labelled.select("key", "node").join(mixed.hint("merge"), "key"), "open")
+    discard(members)
+    across = written(_across(open_groups, nodes, labels, percent), "close")
+    discard(open_groups)
     more = written(_verified(across, docs, words, percent), "links")
+    discard(across)
 
     found = components(links.unionByName(more).toDF("a", "b")).join(nodes.select("node", "doc_id"), "node")
     smallest = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
