@@ -186,11 +186,11 @@ def adjacency_text_ids(spark, d):
 
 @query("adjacency_block_bound", over(DENSE, f"""
 , w AS (SELECT DISTINCT src, dst FROM e)
-SELECT src, count(*) AS neighbours, TRUE AS few_blocks FROM w GROUP BY src"""))
+SELECT src, count(*) AS neighbours, CAST(1 AS BIGINT) AS few_blocks FROM w GROUP BY src"""))
 def adjacency_block_bound(spark, d):
     blocks = el.adjacency(el.follows_dense(spark, d), SMALL_BLOCK)
     return blocks.groupBy("src").agg(F.sum(F.size("neighbours")).alias("neighbours"), F.count("*").alias("blocks")).selectExpr(
-        "src", "neighbours", f"blocks <= ceil(neighbours / {SMALL_BLOCK}) AS few_blocks")
+        "src", "neighbours", f"IF(blocks <= ceil(neighbours / {SMALL_BLOCK}), 1L, 0L) AS few_blocks")
 
 
 # --- triangles ----------------------------------------------------------------------
