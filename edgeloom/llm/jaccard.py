@@ -84,6 +84,9 @@ class Bands:
         self.starts = [1]
         while self.starts[-1] < 1 << 40:
             self.starts.append(max(self.starts[-1] + 1, int(np.ceil(self.starts[-1] / ratio))))
+        # with w weak chunks and e spare ones there are about e + 2 w^2 / e keys besides the needed ones: e = sqrt(2) w is best
+        mean = (1 + ratio) / 2 * (100 + percent) / (2 * max(1, 100 - percent))
+        self.spare_share = 2**0.5 * np.exp(-mean) * (1 + mean)
         self._chunks: dict[int, tuple[int, int, np.ndarray]] = {}
 
     def chunks(self, band: int) -> tuple[int, int, np.ndarray]:
@@ -91,7 +94,7 @@ class Bands:
         if band not in self._chunks:
             last = self.starts[band + 1] - 1
             apart = most_apart(last, last, self.percent)
-            spare = 2 + apart // 50
+            spare = 2 + int(self.spare_share * apart)
             count = apart + 1 + spare
             edges = (np.arange(count, dtype=np.float64) / count * 2.0**63).astype(np.uint64) << np.uint64(1)
             self._chunks[band] = count, spare, edges
@@ -250,6 +253,13 @@ def _verified(close: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return close.select("x", "y", "text_x", "text_y").mapInArrow(compare, "x bigint, y bigint")
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs ``(x, y)`` whose ends are in different components."""
+    for end in ("x", "y"):
+        pairs = pairs.join(labels.selectExpr(f"node AS {end}", f"component AS of_{end}").hint("merge"), end, "left")
+    return pairs.where("coalesce(of_x, x) != coalesce(of_y, y)").select("x", "y")
+
+
 def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """``(x, y, doc_x, doc_y)``: pairs of different components in a group that their sketches do not rule out.
 
@@ -328,13 +338,24 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     ranked = members.join(weighed.hint("merge"), "node")
     # the member that shares most with others: the text that near copies were made from, or the least changed
     centers = written(ranked.groupBy("key").agg(F.expr("max(struct(weight, node))").alias("best")).selectExpr(
-        "key", "best.node AS y"), "centers")
+        "key", "best.node AS y", "best.weight AS weight"), "centers")
     first = written(members.withColumnRenamed("node", "x").join(centers.hint("merge"), "key").where(
-        "x != y").select("x", "y").distinct(), "first")
-    close = written(_close(first, nodes, percent), "close")
-    links = written(_verified(close, docs, words, percent), "links")
-    for table in (weighed, centers, first, close):
-        discard(table)
+        "x != y").groupBy("x", "y").agg(F.max("weight").alias("weight")), "first")
+    discard(weighed)
+    discard(centers)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        close = written(_close(pairs, nodes, percent), "close")
+        out = written(_verified(close, docs, words, percent), "links")
+        discard(close)
+        return out
+
+    # texts travel for one center of each member at first, then for pairs that are still apart
+    links = linked(first.groupBy("x").agg(F.expr("max(struct(weight, y)).y").alias("y")))
+    labels = written(components(links.toDF("a", "b")), "labels")
+    links = links.unionByName(linked(_apart(first, labels)))
+    discard(first)
+    discard(labels)
     labels = written(components(links.toDF("a", "b")), "labels")
 
     labelled = members.join(labels.hint("merge"), "node", "left").selectExpr(
