@@ -30,7 +30,7 @@ FREQUENT_SAMPLE = 5_000  # documents looked at for very frequent shingles; steer
 FREQUENT_AT = 10
 HOT_AT = 50  # of the sample's documents: keys whose rows are spread over tasks
 GROUP_BLOCK = 256  # members of a group whose sketches are compared in one row
-SKETCH_BITS = 4  # per shingle, in the folded sketch
+SKETCH_BITS = 1  # per shingle, in the folded sketch; sets with half of their shingles in common still differ in enough bits
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
