@@ -310,11 +310,13 @@ def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent
         known.hint("merge"), "node").groupBy("key", "blocks", "block").agg(
         F.collect_list(F.struct("node", "label", "n_shingles", "doc_id", "sketch")).alias("members")), "blocks")
     # the table of blocks is read by the result and stays
-    left = blocks.selectExpr("key", "blocks", "struct(members) AS left", "block AS low",
+    alone = blocks.where("blocks = 1").selectExpr("struct(members) AS left", "struct(members) AS right")
+    several = blocks.where("blocks > 1")
+    left = several.selectExpr("key", "blocks", "struct(members) AS left", "block AS low",
                              "explode(sequence(block, blocks - 1)) AS high")
-    right = blocks.selectExpr("key", "blocks", "struct(members) AS right", "block AS high", "explode(sequence(0, block)) AS low")
+    right = several.selectExpr("key", "blocks", "struct(members) AS right", "block AS high", "explode(sequence(0, block)) AS low")
     id_type = nodes.schema["doc_id"].dataType.simpleString()
-    return left.join(right.hint("merge"), ["key", "blocks", "low", "high"]).select("left", "right").mapInArrow(
+    return left.join(right.hint("merge"), ["key", "blocks", "low", "high"]).select("left", "right").unionByName(alone).mapInArrow(
         compare, f"x bigint, y bigint, doc_x {id_type}, doc_y {id_type}").distinct()
 
 
