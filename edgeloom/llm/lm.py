@@ -5,9 +5,13 @@ often enough and their next-symbol distribution diverges from that of the contex
 word. A state gives part of its probability to the symbols it has seen, and the rest to its suffix, down to
 the root, which knows every word. A symbol is scored from the longest state that ends before it.
 
-An n-gram is frequent if it makes up at least ``share`` of all tokens, so there are at most ``1 / share`` of
-a length, which is what is sent to the tasks. An n-gram can be frequent only if both its parts are,
-so each length is counted among those alone. Words that are not frequent meet their exact counts in a join.
+An n-gram counts if it occurs ``LEAST`` times, whatever the size of the corpus. N-grams, states and their values
+are Spark tables; the most frequent ones are also sent to the tasks, which saves rows in joins and changes no
+result. Bit filters do the same: what they let through in error finds nothing in its join.
+
+A text's score is a sum over its n-grams. To the root's part for each word, a state adds what it leaves to its suffix for
+each of its occurrences, and an n-gram after a state adds the probability it has there over the one it
+would have had.
 """
 
 from __future__ import annotations
@@ -21,12 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.tables import written
+from edgeloom.plans import discard
 
 DEPTH = 2
-SHARE = 1e-6
-LEAST = 5  # occurrences of a frequent n-gram at least
+SHARE = 1e-6  # of all tokens: n-grams that are sent to the tasks, at most 1 / SHARE of a length
+LEAST = 5  # occurrences of an n-gram in the tree at least
 DISCOUNT = 0.5
 ADD = 0.1
+PENALTY = 0.5
+FLUSH = 2_000_000  # n-grams that a task folds at once
+MAX_BITS = 1 << 29  # of a filter; a larger tree lets more through
 
 END = xxhash.xxh3_64_intdigest(b" ") - (1 << 63)  # no word is blank
 
@@ -47,129 +55,217 @@ def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Keys of n-grams from those of their first words and of their last words."""
+    z = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
+    z = (z ^ z >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return (z ^ z >> np.uint64(29)).view(np.int64)
+
+
+def all_keys(hashes: np.ndarray, depth: int) -> list[np.ndarray]:
+    """The keys of the n-grams of 1 to ``depth + 1`` words, in the order of the text."""
+    keys = [hashes]
+    for _ in range(depth):
+        keys.append(mixed(keys[-1][:-1], keys[-1][1:]))
+    return keys
+
+
+@dataclass
+class Filter:
+    """Two bits for each key that was put in."""
+
+    words: np.ndarray
+
+    def may_have(self, keys: np.ndarray) -> np.ndarray:
+        size = len(self.words) * 64
+        found = np.ones(len(keys), bool)
+        for shift in (0, 32):
+            at = keys >> shift & size - 1
+            found &= (self.words[at >> 6] >> (at & 63) & 1).astype(bool)
+        return found
+
+
+def filter_of(keys: DataFrame) -> Filter:
+    """A filter of the one column of ``keys``; the driver gets its bits alone."""
+    n = keys.count()
+    size = min(MAX_BITS, 1 << max(10, int(16 * n).bit_length()))
+    name = keys.columns[0]
+    at = keys.selectExpr(f"explode(array({name} & {size - 1}L, shiftright({name}, 32) & {size - 1}L)) AS at")
+    rows = at.groupBy(F.expr("shiftright(at, 6) AS word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(at & 63 AS int))) AS bits")).toArrow()
+    words = np.zeros(size >> 6, np.int64)
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return Filter(words)
+
+
 @dataclass
 class Tree:
-    """``grams[k]`` are the sorted keys of frequent n-grams of ``k + 1`` words: hashes of words, then
-    ``number of the prefix << 32 | number of the word``. For each of them ``log_given[k]`` is the logarithm of
-    its last word's probability after the others, ``log_rest[k]`` of what a state leaves to its suffix."""
+    """The frequent part of the tree: sorted keys of words with ``log_root``, and of n-grams with what they add
+    (``gain``) and what they add where a word follows (``rest``)."""
 
     total: int = 0
     distinct: int = 0
-    grams: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-    log_given: list[np.ndarray] = field(default_factory=list)
-    log_rest: list[np.ndarray] = field(default_factory=list)
+    depth: int = DEPTH
+    words: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    log_root: np.ndarray = field(default_factory=lambda: np.empty(0))
+    grams: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    gain: np.ndarray = field(default_factory=lambda: np.empty(0))
+    rest: np.ndarray = field(default_factory=lambda: np.empty(0))
+    others: Filter = field(default_factory=lambda: Filter(np.zeros(16, np.int64)))
 
     @property
     def log_scale(self) -> float:
         return float(np.log10(self.total + ADD * (self.distinct + 1)))
 
-    def numbered(self, hashes: np.ndarray) -> list[np.ndarray]:
-        """For each length, the number of the n-gram that ends at each word, -1 if it is not frequent."""
-        word = find(self.grams[0], hashes)
-        found = [word]
-        for keys in self.grams[1:]:
-            before = found[-1]
-            # both parts must be frequent: the one that ends here, and the one that ended a word earlier
-            own = np.full(len(word), -1)
-            some = np.flatnonzero((before[1:] >= 0) & (before[:-1] >= 0)) + 1
-            own[some] = find(keys, before[some - 1] << 32 | word[some])
-            found.append(own)
-        return found
+    @property
+    def log_rest(self) -> list[np.ndarray]:
+        return [self.rest]
 
-    def candidates(self, hashes: np.ndarray) -> np.ndarray:
-        """Keys of the n-grams that are one word longer than the longest counted so far."""
-        if not self.grams:
-            return hashes
-        found = self.numbered(hashes)
-        some = np.flatnonzero((found[-1][1:] >= 0) & (found[-1][:-1] >= 0)) + 1
-        return found[-1][some - 1] << 32 | found[0][some]
-
-    def add_level(self, keys: np.ndarray, counts: np.ndarray, penalty: float = 0.5) -> None:
-        """Take in the frequent n-grams of the next length and test which contexts become states.
-
-        A context of count ``c`` stays if ``c`` times the divergence of its distribution from its suffix's exceeds
-        ``penalty * ln(total)`` for each symbol it lists.
-        """
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        self.log_rest.append(np.zeros(len(keys)))
-        if not self.grams:
-            self.log_given.append(np.log10(counts + ADD) - self.log_scale)
-            self.suffixes = [np.zeros(len(keys), np.int64)]
-        else:
-            prefix, word = keys >> 32, keys & 0xFFFFFFFF
-            k = len(self.grams)
-            suffix = word if k == 1 else find(self.grams[k - 1], self.suffixes[k - 1][prefix] << 32 | word)
-            self.suffixes.append(suffix)
-            context = self.counts[k - 1].astype(float)
-            size = len(context)
-            seen = (counts - DISCOUNT) / context[prefix]
-            rest = np.maximum(1 - np.bincount(prefix, seen, size), 1e-12)
-            below = 10 ** self.log_given[k - 1][suffix]
-            given = seen + rest[prefix] * below
-            # symbols that are not listed keep their proportions, so they diverge as one
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = np.bincount(prefix, given * np.log(given / below), size).astype(float)  # also without any
-                other = np.maximum(1 - np.bincount(prefix, given, size), 1e-12)
-                other_below = np.maximum(1 - np.bincount(prefix, below, size), 1e-12)
-                gain += other * np.log(other / other_below)
-            listed = np.bincount(prefix, minlength=size)
-            state = (listed > 0) & (context * gain > penalty * np.log(max(self.total, 2)) * listed)
-            self.log_given.append(np.log10(np.where(state[prefix], given, below)))
-            self.log_rest[k - 1] = np.where(state, np.log10(rest), 0.0)
-        self.grams.append(keys)
-        self.counts.append(counts)
+    def _score(self, hashes: np.ndarray) -> tuple[int, float, float, np.ndarray, list[np.ndarray]]:
+        word = find(self.words, hashes)
+        known = word >= 0
+        base = float(self.log_root[word[known]].sum())
+        total, open_grams = base, []
+        for k, keys in enumerate(all_keys(hashes, self.depth)):
+            at = find(self.grams, keys)
+            total += float(self.gain[at[at >= 0]].sum() + self.rest[at[:-1][at[:-1] >= 0]].sum())
+            if k:
+                left = keys[at < 0]
+                open_grams.append(left[self.others.may_have(left)])
+        return int(known.sum()), base, total, hashes[~known], open_grams
 
     def score(self, hashes: np.ndarray) -> tuple[int, float, float, np.ndarray]:
         """``(frequent words, base, score, rest)``; base and score are without the root's part for ``rest``,
-        the words that are not frequent."""
-        found = self.numbered(hashes)
-        total = np.zeros(len(hashes))
-        is_open = np.ones(len(hashes), bool)
-        for k in range(len(self.grams) - 1, 0, -1):
-            hit = is_open & (found[k] >= 0)
-            total[hit] += self.log_given[k][found[k][hit]]
-            is_open &= ~hit
-            context = np.concatenate([[-1], found[k - 1][:-1]])
-            leave = is_open & (context >= 0)
-            total[leave] += self.log_rest[k - 1][context[leave]]
-        word = found[0]
-        hit = is_open & (word >= 0)
-        total[hit] += self.log_given[0][word[hit]]
-        known = word >= 0
-        return int(known.sum()), float(self.log_given[0][word[known]].sum()), float(total.sum()), hashes[~known]
+        the words that are not frequent, and without n-grams that are not."""
+        return self._score(hashes)[:4]
 
+    def parts(self, hashes: np.ndarray) -> tuple[int, float, float, np.ndarray]:
+        """The same, with ``rest`` scored as if they were new, and followed by keys that may be in the tables."""
+        known, base, total, rest, open_grams = self._score(hashes)
+        new = len(rest) * (float(np.log10(ADD)) - self.log_scale)
+        return known, base + new, total + new, np.concatenate([rest, *open_grams])
 
-def _gram_counts(texts: DataFrame, tree: Tree) -> DataFrame:
-    """``(gram, c)`` of the next length, summed within batches before the shuffle."""
-    shared = texts.sparkSession.sparkContext.broadcast(tree)
 
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """``(gram, c)``, summed within batches before the shuffle."""
     def count(batches):
         for batch in batches:
-            found = [shared.value.candidates(word_hashes(t)) for t in batch.column(0).to_pylist()]
+            found = [word_hashes(t) for t in batch.column(0).to_pylist()]
             keys, counts = np.unique(np.concatenate(found or [np.empty(0, np.int64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
 
     return texts.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("c"))
 
 
+def _gram_counts(texts: DataFrame, k: int, parts: Filter) -> DataFrame:
+    """``(gram, context, suffix, c)`` for the n-grams of ``k + 1`` words that occur ``LEAST`` times: the keys of an
+    n-gram, of all its words but the last, and of all but the first. Both of these are as frequent and so in ``parts``."""
+    shared = texts.sparkSession.sparkContext.broadcast(parts)
+
+    def folded(contexts, suffixes):
+        context, suffix = np.concatenate(contexts), np.concatenate(suffixes)
+        _, first, n = np.unique(mixed(context, suffix), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(context[first]), pa.array(suffix[first]), pa.array(n)], ["context", "suffix", "n"])
+
+    def count(batches):
+        contexts, suffixes, held = [], [], 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                hashes = word_hashes(text)
+                if len(hashes) <= k:
+                    continue
+                keys = all_keys(hashes, k - 1)[-1]
+                own = shared.value.may_have(keys)
+                some = np.flatnonzero(own[1:] & own[:-1])
+                contexts.append(keys[some])
+                suffixes.append(keys[some + 1])
+                held += len(some)
+                if held >= FLUSH:
+                    yield folded(contexts, suffixes)
+                    contexts, suffixes, held = [], [], 0
+        if held:
+            yield folded(contexts, suffixes)
+
+    def with_key(batches):
+        for batch in batches:
+            gram = mixed(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(gram), *batch.columns], ["gram", "context", "suffix", "c"])
+
+    return (texts.mapInArrow(count, "context bigint, suffix bigint, n bigint")
+            .groupBy("context", "suffix").agg(F.sum("n").alias("c")).where(f"c >= {LEAST}")
+            .mapInArrow(with_key, "gram bigint, context bigint, suffix bigint, c bigint"))
+
+
+def _states(grams: DataFrame, lower: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """``(gram, c, given, gain)`` of ``grams`` and ``(gram, c, rest)`` of the contexts that are states, from
+    ``lower(gram, c, given)``, the n-grams that are one word shorter.
+
+    A context of count ``c`` stays if ``c`` times the divergence of its distribution from its suffix's exceeds
+    ``PENALTY * ln(total)`` for each symbol it lists. Tables are written before sums by context, so that a join on a
+    common one can be split, and deleted once read, as is ``grams``.
+    """
+    context = lower.selectExpr("gram AS context", "c AS n")
+    suffix = lower.selectExpr("gram AS suffix", "given AS below")
+    listed = written(grams.join(context, "context").join(suffix, "suffix").selectExpr(
+        "gram", "context", "c", "n", "below", f"(c - {DISCOUNT}D) / n AS seen"), "listed")
+    discard(grams)
+    left = written(listed.groupBy("context").agg(F.expr("greatest(1 - sum(seen), 1e-12D) AS rest")), "left")
+    given = written(listed.join(left, "context").withColumn("given", F.expr("seen + rest * below")), "given")
+    discard(listed)
+    discard(left)
+    # symbols that are not listed keep their proportions, so they diverge as one
+    states = written(given.groupBy("context").agg(
+        F.max("n").alias("n"), F.max("rest").alias("rest"), F.count("*").alias("symbols"),
+        F.expr("sum(given * ln(given / below)) AS gain"), F.expr("greatest(1 - sum(given), 1e-12D) AS other"),
+        F.expr("greatest(1 - sum(below), 1e-12D) AS other_below")).where(
+        f"n * (gain + other * ln(other / other_below)) > {PENALTY * float(np.log(max(total, 2)))!r}D * symbols"
+    ).selectExpr("context", "n", "log10(rest) AS log_rest"), "states")
+    tested = given.join(states.select("context", "log_rest"), "context", "left").selectExpr(
+        "gram", "c", "IF(log_rest IS NULL, below, given) AS given",
+        "IF(log_rest IS NULL, 0D, log10(given / below) - log_rest) AS gain")
+    level = written(tested, "level")
+    discard(given)
+    return level, states.selectExpr("context AS gram", "n AS c", "log_rest AS rest")
+
+
+def fit_tables(train: DataFrame, depth: int = DEPTH) -> tuple[int, int, DataFrame, DataFrame]:
+    """``(tokens, distinct words, words, model)`` of ``train(text)``: ``(gram, c)`` for every word, and
+    ``(gram, c, gain, rest)`` for each n-gram that adds anything to a score."""
+    texts = train.select(F.col("text").cast("binary").alias("text"))
+    words = written(_word_counts(texts), "words")
+    total, distinct = map(int, words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first())
+    scale = total + ADD * (distinct + 1)
+    level = words.where(f"c >= {LEAST}").selectExpr("gram", "c", f"(c + {ADD}D) / {scale!r}D AS given")
+    parts = train.sparkSession.createDataFrame([], "gram bigint, c bigint, gain double, rest double")
+    for k in range(1, depth + 1):
+        grams = written(_gram_counts(texts, k, filter_of(level.select("gram"))), "grams")
+        level, states = _states(grams, level, total)
+        parts = parts.union(level.where("gain != 0").selectExpr("gram", "c", "gain", "0D AS rest")).union(
+            states.selectExpr("gram", "c", "0D AS gain", "rest"))
+    model = parts.groupBy("gram").agg(F.max("c").alias("c"), F.sum("gain").alias("gain"), F.sum("rest").alias("rest"))
+    return total, distinct, words, written(model, "model")
+
+
+def frequent_part(total: int, distinct: int, words: DataFrame, model: DataFrame, depth: int, share: float) -> Tree:
+    """What is sent to the tasks: n-grams that make up at least ``share`` of all tokens, and a filter of the others."""
+    tree = Tree(total, distinct, depth)
+    often = f"c >= {max(LEAST, int(np.ceil(share * total)))}"
+    rows = words.where(often).orderBy("gram").toArrow()
+    tree.words = rows["gram"].to_numpy().copy()
+    tree.log_root = np.log10(rows["c"].to_numpy() + ADD) - tree.log_scale
+    rows = model.where(often).orderBy("gram").toArrow()
+    tree.grams, tree.gain, tree.rest = (rows[c].to_numpy().copy() for c in ("gram", "gain", "rest"))
+    tree.others = filter_of(model.where(f"NOT {often}").select("gram"))
+    return tree
+
+
 def fit(train: DataFrame, depth: int = DEPTH, share: float = SHARE) -> tuple[Tree, DataFrame]:
-    """The tree, and ``(gram, c)`` for every word of ``train(text)``.
+    """The frequent part of the tree, and ``(gram, c)`` for every word of ``train(text)``.
 
     An empty table gives a tree without words.
     """
-    texts = train.select(F.col("text").cast("binary").alias("text"))
-    tree = Tree()
-    words = written(_gram_counts(texts, tree), "words")
-    sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    tree.total, tree.distinct = int(sums[0]), int(sums[1])
-    least = max(LEAST, int(np.ceil(share * tree.total)))
-    for k in range(depth + 1):
-        counted = words if k == 0 else _gram_counts(texts, tree)
-        rows = counted.where(f"c >= {least}").toPandas()  # at most 1 / share
-        tree.add_level(rows["gram"].to_numpy(np.int64), rows["c"].to_numpy(np.int64))
-    return tree, words
+    total, distinct, words, model = fit_tables(train, depth)
+    return frequent_part(total, distinct, words, model, depth, share), words
 
 
 def score_texts(docs: DataFrame, train: str = "true", depth: int = DEPTH, share: float = SHARE) -> DataFrame:
@@ -180,7 +276,8 @@ def score_texts(docs: DataFrame, train: str = "true", depth: int = DEPTH, share:
     training rows every token has probability 1.
     """
     spark = docs.sparkSession
-    tree, words = fit(docs.where(train), depth, share)
+    total, distinct, words, model = fit_tables(docs.where(train), depth)
+    tree = frequent_part(total, distinct, words, model, depth, share)
     shared = spark.sparkContext.broadcast(tree)
 
     def score(batches):
@@ -188,7 +285,7 @@ def score_texts(docs: DataFrame, train: str = "true", depth: int = DEPTH, share:
             rows, rare, times = [], [], []
             for text in batch.column(2).to_pylist():
                 hashes = word_hashes(text)
-                *values, rest = shared.value.score(hashes)
+                *values, rest = shared.value.parts(hashes)
                 rows.append((len(hashes), *values))
                 rest, n = np.unique(rest, return_counts=True)
                 rare.append(rest)
@@ -206,10 +303,12 @@ def score_texts(docs: DataFrame, train: str = "true", depth: int = DEPTH, share:
                                         "total double, rare array<bigint>, times array<bigint>"), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).selectExpr(
         "row", "w.rare AS gram", "w.times AS times")
-    rest = written(rare.join(words.hint("merge"), "gram", "left").groupBy("row").agg(
-        F.expr(f"sum(times * (log10(coalesce(c, 0L) + {ADD}D) - {tree.log_scale!r}D)) AS rest"),
-        F.expr("sum(IF(c IS NULL, 0L, times)) AS rest_known")), "rare")
+    values = words.selectExpr("gram", f"log10(c + {ADD}D) - log10({ADD}D) AS root", "0D AS more", "1L AS known").union(
+        model.selectExpr("gram", "0D", "gain + rest", "0L"))
+    rest = written(rare.join(values.hint("merge"), "gram").groupBy("row").agg(
+        F.expr("sum(times * root) AS rest"), F.expr("sum(times * more) AS more"),
+        F.expr("sum(times * known) AS rest_known")), "rare")
     return scored.select("row", "doc_id", "n_tokens", "known", "base", "total").join(
         rest.hint("merge"), "row", "left").selectExpr(
         "doc_id", "n_tokens", "known + coalesce(rest_known, 0L) AS n_known", f"{tree.total}L AS train_tokens",
-        "base + coalesce(rest, 0D) AS base_score", "total + coalesce(rest, 0D) AS score")
+        "base + coalesce(rest, 0D) AS base_score", "total + coalesce(rest + more, 0D) AS score")

@@ -304,6 +304,59 @@ def test_states_give_probabilities(docs):
     assert total == pytest.approx(1.0, abs=1e-6)
 
 
+def suffix_tree_scores(train, texts):
+    """Scores of lists of words, with every n-gram of the tree in a dictionary."""
+    counts = Counter(tuple(own[i:i + k]) for own in train for k in (1, 2, 3) for i in range(len(own) - k + 1))
+    total, vocabulary = sum(map(len, train)), {g for g in counts if len(g) == 1}
+    given = {g: (counts[g] + lm.ADD) / (total + lm.ADD * (len(vocabulary) + 1)) for g in vocabulary}
+    new, rest = lm.ADD / (total + lm.ADD * (len(vocabulary) + 1)), {}
+    for k in (2, 3):
+        symbols = defaultdict(list)
+        for g, c in counts.items():
+            if len(g) == k and c >= lm.LEAST:
+                symbols[g[:-1]].append(g)
+        for context, grams in symbols.items():
+            seen = {g: (counts[g] - lm.DISCOUNT) / counts[context] for g in grams}
+            left = max(1 - sum(seen.values()), 1e-12)
+            own = {g: seen[g] + left * given[g[1:]] for g in grams}
+            gain = sum(p * math.log(p / given[g[1:]]) for g, p in own.items())
+            other, below = (max(1 - sum(x), 1e-12) for x in (own.values(), [given[g[1:]] for g in grams]))
+            state = counts[context] * (gain + other * math.log(other / below)) > 0.5 * math.log(max(total, 2)) * len(grams)
+            rest[context] = left if state else 1
+            given |= own if state else {g: given[g[1:]] for g in grams}
+
+    def probability(context, word):
+        gram = (*context, word)
+        if gram in given:
+            return given[gram]
+        return rest.get(context, 1) * probability(context[1:], word) if context else new
+
+    return [sum(math.log10(probability(tuple(own[max(0, i - 2):i]), w)) for i, w in enumerate(own)) for own in texts]
+
+
+@pytest.mark.parametrize("share", [1e-6, 2e-3, 2.0])
+def test_tree_does_not_depend_on_what_is_sent_to_tasks(docs, share):
+    words = [[*WORD.findall((t or "").encode().lower()), None] for _, t in ROWS]
+    train = [own for (i, _), own in zip(ROWS, words) if not (i is not None and i % 3 == 0)]
+    want = sorted((i is None, i or 0, round(s, 6)) for (i, _), s in zip(ROWS, suffix_tree_scores(train, words)))
+    got = sorted((r.doc_id is None, r.doc_id or 0, round(r.score, 6)) for r in lm.score_texts(docs, "coalesce(doc_id % 3 != 0, true)", share=share).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in want], abs=1e-5)
+
+
+def test_larger_corpus_keeps_states(spark):
+    def states(more):
+        rows = [("often then",)] * 8 + [(" ".join(f"w{i}" for i in range(more)),)]
+        model = lm.fit_tables(spark.createDataFrame(rows, "text string"))[3]
+        return {r.gram for r in model.where("rest < 0").collect()}, lm.score_texts(
+            spark.createDataFrame([(i, t) for i, (t,) in enumerate(rows)], "doc_id bigint, text string"), share=1e-2).where("doc_id = 0").first()
+
+    key = int(lm.word_hashes(b"often")[0])
+    for more in (10, 5000):
+        found, row = states(more)
+        assert key in found and row.score > row.base_score + 1
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(8)
     vectors = [(i, [float(x) for x in rng.normal(size=12) / 3]) for i in range(300)]
