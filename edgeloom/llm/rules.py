@@ -8,6 +8,7 @@ holds decides, and a document that no rule rejects is kept.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,8 @@ SAMPLE_ROWS = 20_000
 MIN_HELD_BACK = 10
 GOOD_WEIGHT = 5
 MIN_WORDS = 50
-BASE_FAILED = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words"
+REPETITIVE = "100 * n_repeat_words > 50 * n_words"
+BASE_FAILED = f"n_words < {MIN_WORDS} OR {REPETITIVE}"
 
 
 @dataclass(frozen=True)
@@ -136,11 +138,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     return with_shares(text_counts(own)).join(F.broadcast(chosen), "doc_id")
 
 
-def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules from ``docs(doc_id, text)`` and ``labels(doc_id, quality)``."""
-    order = ["doc_id", "quality", *SHARES]
+def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, names: Sequence[str] = tuple(SHARES)) -> list[Rule]:
+    """Rules on the statistics ``names`` from ``docs(doc_id, text)`` and ``labels(doc_id, quality)``."""
+    order = ["doc_id", "quality", *names]
     sample = labelled_sample(docs, labels, rows).select(*order).toPandas().sort_values(order)
-    return learn_rules({name: sample[name].to_numpy() for name in SHARES}, sample["quality"].to_numpy())
+    return learn_rules({name: sample[name].to_numpy() for name in names}, sample["quality"].to_numpy())
 
 
 def apply_rules(docs: DataFrame, rules: list[Rule], with_row: bool = False) -> DataFrame:

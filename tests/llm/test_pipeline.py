@@ -31,6 +31,18 @@ def test_stages(spark):
     assert Counter(r.doc_id for r in results["packing"] if r.piece == 0) == times
 
 
+def test_short_and_repetitive_junk_goes(spark, monkeypatch):
+    clean = ["word" + "abcdefghij"[i % 10] + " and some other plain text with number " + "klmnopqrst"[i // 10 % 10] for i in range(60)]
+    rows = list(enumerate(clean)) + [(100 + i, "## $$ ** ||" + " &&" * (i % 3)) for i in range(30)]
+    rows += [(200, "same " * 10), (201, "one two three four " * 40), (202, "short and clean")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows[:80]], "doc_id bigint, quality int")
+    ids = lambda known: {r.doc_id for r in (monkeypatch.setattr(pipeline, "table", lambda *_: known), pipeline.quality_rules(spark, docs, ""))[1].collect()}
+    good = {i for i, _ in rows if i < 100} | {202}
+    assert ids(labels) == good
+    assert ids(labels.limit(0)) == good | {100 + i for i in range(30)}
+
+
 def test_rows_with_nulls_and_empty_tables(spark):
     docs = table(spark, SF_DIR, "documents").limit(3)
     odd = docs.selectExpr("doc_id", "CAST(NULL AS string) AS text", "CAST(NULL AS string) AS lang", "CAST(NULL AS string) AS source",
