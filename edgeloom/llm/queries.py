@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import jaccard, lm, mixing, packing, qda, rules, suffix, tokens, topk, warc
+from edgeloom.llm import jaccard, lines, lm, mixing, packing, phrases, qda, ranked, rules, suffix, tokens, topk, warc
 from edgeloom.plans import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,20 @@ def op10_suffix_tree_scores(spark, d):
     scored = lm.score_texts(table(spark, d, "documents"), f"NOT {held_out}")
     return scored.select("doc_id", F.expr(held_out).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
                          "score")
+
+
+@query("op11_phrase_collocations", phrases.PHRASES_SQL)
+def op11_phrase_collocations(spark, d):
+    found = phrases.collocations(table(spark, d, "documents"))
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("op12_ranked_search", ranked.SEARCH_SQL)
+def op12_ranked_search(spark, d):
+    return ranked.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op13_common_lines", lines.LINES_SQL)
+def op13_common_lines(spark, d):
+    dropped = lines.drop_common_lines(table(spark, d, "documents"))
+    return dropped.selectExpr("doc_id", "n_lines", "n_dropped", "sha2(CAST(text AS binary), 256) AS kept_sha256")
