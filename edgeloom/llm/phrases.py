@@ -67,9 +67,13 @@ def slices(batches):
     yield from held.items()
 
 
+def hashes_of(words: pa.Array) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(w.as_py()) for w in words], np.uint64)
+
+
 def sequence_hashes(lang: str, codes: np.ndarray, words: pa.Array) -> list[np.ndarray]:
     """By length less one: the hash of the words that begin at each place, without regard to pieces."""
-    hashes = np.array([xxhash.xxh3_64_intdigest(w.as_py()) for w in words], np.uint64)[codes]
+    hashes = hashes_of(words)[codes]
     found = [mix64(hashes ^ np.uint64(xxhash.xxh3_64_intdigest(lang)))]
     for k in range(1, LONGEST):
         found.append(mix64(found[-1][:-1] + hashes[k:]) if len(hashes) > k else np.zeros(0, np.uint64))
@@ -168,12 +172,12 @@ def _classified(totals: DataFrame, counters: int, least: int, hot_rows: int) ->
     return (counts >= least).astype(np.uint8) * _FREQUENT + (counts >= hot).astype(np.uint8) * (_HOT - _FREQUENT)
 
 
-def routed(docs: DataFrame, classes: Classes, buckets: int) -> DataFrame:
+def routed(docs: DataFrame, classes: Classes, buckets: int, word_buckets: int) -> DataFrame:
     """``(bucket, lang, words, codes, weights, hot)``: suffixes of a slice that go to one bucket, each different one once.
 
     ``codes`` has ``LONGEST`` numbers for each suffix, its words' places in ``words`` and then -1. ``hot`` says how many
     leading words are so frequent that their suffixes are spread over buckets. Frequent single words come
-    with bucket -1 and ``weights`` alone.
+    with ``weights`` alone, in buckets of their own below 0.
     """
     def route(batches):
         known = held.value
@@ -183,8 +187,10 @@ def routed(docs: DataFrame, classes: Classes, buckets: int) -> DataFrame:
             masks = known.open_places(hashes, pieces, LONGEST)
             often = np.bincount(codes[masks[0]], minlength=len(words))
             some = np.flatnonzero(often)
-            if len(some):
-                yield _row(-1, lang, words.take(pa.array(some)), None, often[some], None)
+            own_bucket = (hashes_of(words.take(pa.array(some))) % np.uint64(word_buckets)).astype(np.int64)
+            for number in np.unique(own_bucket):
+                own = some[own_bucket == number]
+                yield _row(-1 - number, lang, words.take(pa.array(own)), None, often[own], None)
             starts = np.flatnonzero(masks[1])
             if not len(starts):
                 continue
@@ -270,20 +276,25 @@ def counted(rows: DataFrame, least: int) -> DataFrame:
             for row in batch.to_pylist():
                 if (row["bucket"], row["lang"]) != key:
                     if held:
-                        yield _prefixes(held, least)
+                        yield _prefixes(held, least) if key[0] >= 0 else _words(held, least)
                     key, held = (row["bucket"], row["lang"]), []
-                if row["bucket"] < 0:
-                    words = row["words"].split(b"\n")
-                    yield _counts(row["lang"], words, [1] * len(words), np.frombuffer(row["weights"], "<i8"))
-                else:
-                    held.append(row)
+                held.append(row)
         if held:
-            yield _prefixes(held, least)
+            yield _prefixes(held, least) if key[0] >= 0 else _words(held, least)
 
-    dealt = rows.repartition(F.expr("IF(bucket < 0, xxhash64(words), bucket)")).sortWithinPartitions("bucket", "lang")
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket", "lang")
     return dealt.mapInArrow(sort, "lang string, phrase binary, words int, f bigint")
 
 
+def _words(rows: list[dict], least: int) -> pa.RecordBatch:
+    total: dict[bytes, int] = {}
+    for row in rows:
+        for word, n in zip(row["words"].split(b"\n"), np.frombuffer(row["weights"], "<i8").tolist()):
+            total[word] = total.get(word, 0) + n
+    total = {w: n for w, n in total.items() if n >= least}
+    return _counts(rows[0]["lang"], list(total), [1] * len(total), list(total.values()))
+
+
 def _prefixes(rows: list[dict], least: int) -> pa.RecordBatch:
     numbers: dict[bytes, int] = {}
     codes = []
@@ -322,8 +333,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, hot_rows: int = HOT_ROWS,
         found = _classified(written(summed(blocks), "phrase-classes"), counters, least, hot_rows)
         classes.by_length |= dict.fromkeys(lengths, found)
         discard(blocks)
-    buckets = max(4 * shuffle_partitions(docs.sparkSession), size // bucket_bytes)
-    parts = counted(routed(texts, classes, buckets), least)
+    tasks = shuffle_partitions(docs.sparkSession)
+    parts = counted(routed(texts, classes, max(4 * tasks, size // bucket_bytes), tasks), least)
     counts = parts.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(f"f >= {least}")
     return written(counts.withColumn("phrase", F.expr("CAST(phrase AS string)")), "phrases"), totals
 
