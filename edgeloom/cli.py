@@ -14,6 +14,7 @@ import edgeloom as el
 from edgeloom.operators.pagerank import NORMALIZE
 from edgeloom.operators.triangles import MULTIPLICITIES
 from edgeloom.plans import STRATEGIES
+from edgeloom.sources.text import SCANS
 
 
 def parser() -> argparse.ArgumentParser:
@@ -26,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("output", help="folder to write")
         p.add_argument("--mode", choices=("fail", "drop"), default="fail", help="for malformed words")
         p.add_argument("--sep", default=",", help="between key and value")
+        p.add_argument("--scan", choices=SCANS, default="lines", help="what a record ends at; by blanks, lines may be of any length")
         p.add_argument("--style", choices=("delimited", "tuple", "csv"), default="delimited")
         if name != "max-filter":  # which compares ids as numbers
             p.add_argument("--ids", choices=("bigint", "string"), default="bigint")
@@ -40,11 +42,12 @@ def parser() -> argparse.ArgumentParser:
     p = program("triangle-count", "number of directed triangles")
     p.add_argument("max_id", type=int, nargs="?")
     p.add_argument("--multiplicity", choices=MULTIPLICITIES, default="distinct")
-    p.add_argument("--strategy", choices=STRATEGIES, default="auto")
+    p.add_argument("--strategy", choices=(*STRATEGIES, "lists"), default="auto")
     p = program("pagerank", "ranks; the input folder holds graph.txt, vertex.txt and rank.txt")
     p.add_argument("iterations", type=int)
     p.add_argument("--sink", default=str(el.SINK))
     p.add_argument("--n", type=int, help="vertices that share the spread, by default all but the sink")
+    p.add_argument("--resume", metavar="FOLDER", help="keep finished steps there, and go on from them")
     p.add_argument("--normalize", choices=NORMALIZE, default="none")
 
     p = programs.add_parser("chains", help="write graph.txt, vertex.txt and rank.txt of k chains of k")
@@ -68,15 +71,15 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     text = {"sep": args.sep, "style": args.style}
     if args.program == "pagerank":
         ranks = el.pagerank(
-            el.read_edges(spark, f"{args.input}/graph.txt", args.mode, args.ids),
-            el.read_vertices(spark, f"{args.input}/vertex.txt", args.mode, args.ids),
+            el.read_edges(spark, f"{args.input}/graph.txt", args.mode, args.ids, args.scan),
+            el.read_vertices(spark, f"{args.input}/vertex.txt", args.mode, args.ids, args.scan),
             args.iterations, sink=args.sink if args.ids == "string" else int(args.sink), n=args.n,
-            normalize=args.normalize, ranks=el.read_ranks(spark, f"{args.input}/rank.txt", args.mode, args.ids),
+            normalize=args.normalize, resume=args.resume, ranks=el.read_ranks(spark, f"{args.input}/rank.txt", args.mode, args.ids, args.scan),
         )
         el.write_pairs(ranks, args.output, **text)
         return
 
-    edges = el.read_edges(spark, args.input, args.mode, getattr(args, "ids", "bigint"))
+    edges = el.read_edges(spark, args.input, args.mode, getattr(args, "ids", "bigint"), args.scan)
     if getattr(args, "max_id", None) is not None:
         edges = el.max_filter(edges, args.max_id)
     if args.program == "followers":

@@ -10,13 +10,16 @@ among the out-edges and spreads the rank of vertices without out-edges as well.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from edgeloom.functions import part_of
 from edgeloom.operators.edges import edge_multiplicity
-from edgeloom.plans import ROWS_PER_PART, discard, hub_table, shuffle_partitions, stage
+from edgeloom.plans import ROWS_PER_PART, Ledger, discard, hub_table, shuffle_partitions, stage
 
 NORMALIZE = ("none", "out_degree")
 
@@ -114,7 +117,7 @@ def pagerank_step(edges: DataFrame, vertices: DataFrame, ranks: DataFrame, n: in
 
 def pagerank(edges: DataFrame, vertices: DataFrame, iterations: int, sink=None, n: int | None = None,
              normalize: str = "none", ranks: DataFrame | None = None,
-             rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+             rows_per_part: int = ROWS_PER_PART, resume: str | None = None) -> DataFrame:
     """``(v, rank)`` after ``iterations`` steps; the sink is always a row with 0.
 
     ``ranks`` defaults to ``1/n`` for each vertex and 0 for the sink; ``n`` to the
@@ -124,6 +127,10 @@ def pagerank(edges: DataFrame, vertices: DataFrame, iterations: int, sink=None,
     step is one job that ends in a written table (see ``stage``) and deletes that of the step before: no
     lineage builds up, and a lost executor costs its share of the links and of the step under way. Per step the
     driver sees three numbers, which the job that writes has observed.
+
+    ``resume`` names a folder that outlives the driver. Steps are kept there, each entered in a ledger once it is written as
+    a whole, and a later call goes on from the last one entered, up to ``iterations``; the result is that of an unbroken run. The ledger
+    belongs to one graph and one set of parameters, and another one is an error. The last two steps entered remain in the folder.
     """
     _checked(normalize)
     spark = edges.sparkSession
@@ -150,26 +157,36 @@ def pagerank(edges: DataFrame, vertices: DataFrame, iterations: int, sink=None,
         if iterations == 0:
             return stage(current, "ranks").select("v", "rank")
 
-        held = 0.0  # rank of dead ends before the step
-        if normalize == "out_degree":
+        ledger, done = None, None
+        if resume is not None:
+            ledger = Ledger(spark, resume, _fingerprint(links, vertices, current, sink, n, normalize))
+            done = ledger.last(iterations)
+        held, first = 0.0, 0  # rank of dead ends before the step; steps that are there
+        if done is not None:
+            arrived = spark.read.schema(_arrived_schema(current)).parquet(done.path)
+            current, held, first = _after(arrived, sink, done.spread), done.held, done.step
+        elif normalize == "out_degree":
             held = _sum_where(current, _dead_end(sink), "rank").first()["total"]
         before = None
-        for _ in range(iterations):
+        for step in range(first + 1, iterations + 1):
             inc = _incoming(links, current, normalize).withColumnRenamed("dst", "v")
             arrived, seen = vertices.join(inc, "v", "left").withColumn("inc", F.coalesce("inc", F.lit(0.0))), Observation()
             zero = F.lit(0.0)
-            arrived = stage(arrived.observe(
+            arrived = arrived.observe(
                 seen,
                 F.sum(F.when(_is_sink(F.col("v"), sink), F.col("inc")).otherwise(zero)).alias("sink"),
                 F.sum(F.when(_dead_end(sink), F.col("inc")).otherwise(zero)).alias("dead"),
                 F.sum(F.when(_dead_end(sink), F.lit(1)).otherwise(F.lit(0))).alias("dead_ends"),
-            ), "ranks")
+            )
+            arrived = stage(arrived, "ranks") if ledger is None else ledger.write(arrived, step)
             sums = {name: value or 0 for name, value in seen.get.items()}
             total = sums["sink"] + (held if normalize == "out_degree" else 0.0)
             spread = total / n if n else 0.0
             held = sums["dead"] + sums["dead_ends"] * spread
-            current = arrived.select("v", "out_degree", "parts", _new_rank(sink, F.lit(spread)))
-            if before is not None:
+            current = _after(arrived, sink, spread)
+            if ledger is not None:
+                ledger.enter(step, spread, held)
+            elif before is not None:
                 discard(before)
             before = arrived
         return current.select("v", "rank")
@@ -178,6 +195,24 @@ def pagerank(edges: DataFrame, vertices: DataFrame, iterations: int, sink=None,
         vertices.unpersist()
 
 
+def _after(arrived: DataFrame, sink, spread: float) -> DataFrame:
+    return arrived.select("v", "out_degree", "parts", _new_rank(sink, F.lit(spread)))
+
+
+def _arrived_schema(current: DataFrame) -> StructType:
+    kinds = {f.name: f.dataType for f in current.schema}
+    return StructType([StructField("v", kinds["v"]), StructField("out_degree", kinds["out_degree"]),
+                       StructField("parts", kinds["parts"]), StructField("inc", DoubleType())])
+
+
+def _fingerprint(links: DataFrame, vertices: DataFrame, start: DataFrame, sink, n: int, normalize: str) -> str:
+    """A digest of the graph, the start ranks and the parameters; it does not depend on the order of rows."""
+    total = "CAST(coalesce(sum(CAST(xxhash64({}) AS decimal(38, 0))), 0) AS string) AS total"
+    sums = [df.selectExpr(total.format(columns)).first()["total"] for df, columns in (
+        (links, "src, dst, m"), (vertices, "v"), (start, "v, rank"))]
+    return hashlib.sha256(repr((*sums, sink, n, normalize)).encode()).hexdigest()
+
+
 def _with_links(known: DataFrame, links: DataFrame) -> DataFrame:
     """``known`` with ``out_degree`` and ``parts``, 0 and 1 for ids without out-edges."""
     return known.join(_sources(links), "v", "left").withColumns({

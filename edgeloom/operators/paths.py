@@ -10,43 +10,61 @@ from edgeloom.operators.degrees import degrees
 from edgeloom.operators.edges import edge_multiplicity
 from edgeloom.plans import (
     BROADCAST_ROWS, HUB_ROWS, PATHS_PER_PART, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, split_join,
-    with_degree,
+    with_degree, with_values,
 )
 
 
-def path_hubs(folded: DataFrame, paths_per_part: int = PATHS_PER_PART, max_rows: int = HUB_ROWS) -> DataFrame:
-    """``(v, parts_left, parts_right)``: middle vertices of more than ``paths_per_part`` two-paths, as a grid.
+def path_hubs(folded: DataFrame, paths_per_part: int = PATHS_PER_PART) -> DataFrame:
+    """``(v, parts_left, parts_right, d)``: middle vertices of more than ``paths_per_part`` two-paths, as a grid.
 
     Cells are of about that number of paths, and no part is longer than the square root of it, so that
-    few rows on one side and very many on the other are split as well. A hub has a degree above the
-    square root of ``paths_per_part`` on some side, and only so many as a broadcast can hold are looked at: the bound is raised for
-    graphs with more than ``max_rows`` such vertices.
+    few rows on one side and very many on the other are split as well.
     """
     side = max(1, int(paths_per_part ** 0.5))
-    at = degrees(folded).selectExpr("v", "n_in", "n_out", "n_in + n_out AS d")
-    hubs = hub_table(at, folded, 2, side, max_rows).where(f"CAST(n_in AS double) * n_out > {paths_per_part}")
-    return hubs.selectExpr("v", f"ceil(n_in / {side}) AS parts_left", f"ceil(n_out / {side}) AS parts_right")
+    return degrees(folded).where(f"CAST(n_in AS double) * n_out > {paths_per_part}").selectExpr(
+        "v", f"ceil(n_in / {side}) AS parts_left", f"ceil(n_out / {side}) AS parts_right", "n_in + n_out AS d")
+
+
+def path_sides(edges: DataFrame, paths_per_part: int = PATHS_PER_PART, max_hubs: int = HUB_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join at the middle vertex ``y``, each edge with the grid of its ``y``.
+
+    The vertices that form a grid are counted. Up to ``max_hubs`` are broadcast as they are. Of more than that only the
+    largest are, bounded by ``hub_table``; each other edge gets the degrees of its middle vertex in a join by that vertex, so that
+    every middle vertex is split, however many there are.
+    """
+    folded = edge_multiplicity(edges)
+    into = folded.selectExpr("src AS x", "dst AS y", "m AS m_in")
+    out = folded.selectExpr("src AS y", "dst AS z", "m AS m_out")
+    grid = path_hubs(folded, paths_per_part)
+    parts = {"parts_left": "parts_left", "parts_right": "parts_right"}
+    if fits_broadcast(grid, max_hubs):
+        few = F.broadcast(grid.selectExpr("v AS y", *parts))
+        whole = F.lit(1).cast("bigint")
+        return tuple(side.join(few, "y", "left").withColumns({c: F.coalesce(c, whole) for c in parts}) for side in (into, out))
+    at = degrees(folded).selectExpr("v", "n_in + n_out AS d").join(
+        grid.drop("d"), "v", "left").selectExpr("v", "d", *(f"coalesce({c}, 1L) AS {c}" for c in parts))
+    hubs = hub_table(at, folded, 2, 0, max_hubs)
+    return with_values(into, "y", at, hubs, parts), with_values(out, "y", at, hubs, parts)
 
 
 def two_paths(edges: DataFrame, strategy: str = "auto", paths_per_part: int = PATHS_PER_PART,
-              broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+              broadcast_rows: int = BROADCAST_ROWS, max_hubs: int = HUB_ROWS) -> DataFrame:
     """``(x, y, z, m)``: edges x->y and y->z joined at y, ``m`` times each.
 
     Copies of an edge are folded first, so a row stands for all copies of a path.
     The result is as large as ``two_path_degree`` says; where only the number is
-    wanted, ``two_path_count`` never builds it. The rows of hubs are laid out as a
-    grid of tasks that make about ``paths_per_part`` rows each.
+    wanted, ``two_path_count`` never builds it. The rows of a middle vertex with many paths are laid out as a
+    grid of tasks that make about ``paths_per_part`` rows each; ``max_hubs`` bounds what of that is broadcast. Neither changes the result.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     folded = edge_multiplicity(edges)
-    into = folded.selectExpr("src AS x", "dst AS y", "m AS m_in")
-    out = folded.selectExpr("src AS y", "dst AS z", "m AS m_out")
     if strategy == "broadcast" and fits_broadcast(folded, broadcast_rows):
-        joined = into.join(F.broadcast(out), "y")
+        joined = folded.selectExpr("src AS x", "dst AS y", "m AS m_in").join(
+            F.broadcast(folded.selectExpr("src AS y", "dst AS z", "m AS m_out")), "y")
     else:
-        joined = split_join(into, out, "y", "x", "z", path_hubs(folded, paths_per_part),
-                            "merge" if strategy == "shuffle" else None)
+        into, out = path_sides(edges, paths_per_part, max_hubs)
+        joined = split_join(into, out, "y", "x", "z", "merge" if strategy == "shuffle" else None)
     return joined.selectExpr("x", "y", "z", "m_in * m_out AS m")
 
 

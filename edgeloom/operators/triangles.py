@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.functions import closed_paths, part_of, safe_sum, total_or_error
+from edgeloom.operators.lists import BLOCK_ENTRIES, closed_by_lists
 from edgeloom.plans import (
     BROADCAST_ROWS, HUB_ROWS, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, shuffle_partitions, with_degree,
 )
@@ -147,13 +148,16 @@ def _loop_sums(loops: DataFrame, pairs: DataFrame, multiplicity: str) -> DataFra
         f"try_add({alone}, IF(some IS NULL, 0, {shared})) AS closed")
 
 
-def _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs) -> DataFrame:
+def _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs, block_entries) -> DataFrame:
     """``(closed)`` in partial sums, null where one is beyond ``count_type``."""
     if multiplicity not in MULTIPLICITIES:
         raise ValueError(f"multiplicity must be one of {MULTIPLICITIES}, not {multiplicity!r}")
     folded = _folded_pairs(edges, multiplicity == "distinct", count_type)
     pairs = folded if multiplicity == "distinct" else folded.where("m_ba IS NOT NULL")
-    sums = _cycle_sums(pairs, multiplicity, _Joins(pairs, strategy, broadcast_rows, middle_rows, max_hubs))
+    if strategy == "lists":
+        sums = closed_by_lists(_ranked(pairs, max_hubs), multiplicity, count_type, block_entries)
+    else:
+        sums = _cycle_sums(pairs, multiplicity, _Joins(pairs, strategy, broadcast_rows, middle_rows, max_hubs))
     if multiplicity == "distinct":
         return sums
     loops = folded.where("m_ba IS NULL").selectExpr("a AS v", "m_ab AS loop")
@@ -162,7 +166,8 @@ def _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_ro
 
 def closed_two_path_count(edges: DataFrame, multiplicity: str = "distinct", strategy: str = "auto",
                           count_type: str = "bigint", broadcast_rows: int = BROADCAST_ROWS,
-                          middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS) -> DataFrame:
+                          middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS,
+                          block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """One row ``(closed)``: two-paths x->y->z for which z->x exists.
 
     ``multiplicity`` says what copies of an edge and self-loops do:
@@ -173,22 +178,25 @@ def closed_two_path_count(edges: DataFrame, multiplicity: str = "distinct", stra
 
     ``strategy`` is ``shuffle`` (sort-merge joins), ``broadcast`` (the graph goes to
     every executor, if it has at most ``broadcast_rows`` different pairs; otherwise as
-    ``auto``; edges are then scanned twice), or ``auto`` (the planner decides). A count beyond ``count_type`` is an error, whatever
-    the session's settings. ``middle_rows`` and ``max_hubs`` lay out tasks and do not change the count.
+    ``auto``; edges are then scanned twice), ``lists`` (neighbour lists are probed for each edge and no path becomes a row, which pays
+    where vertices have many neighbours in common; ids must be whole numbers), or ``auto`` (the planner decides). A count beyond
+    ``count_type`` is an error, whatever the session's settings. ``middle_rows``, ``max_hubs`` and ``block_entries`` lay out tasks and do not
+    change the count.
     """
-    closed = _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs)
+    closed = _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs, block_entries)
     return closed.agg(F.expr(f"{total_or_error('closed', count_type)} AS closed"))
 
 
 def triangle_count(edges: DataFrame, multiplicity: str = "distinct", strategy: str = "auto",
                    count_type: str = "bigint", broadcast_rows: int = BROADCAST_ROWS,
-                   middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS) -> DataFrame:
+                   middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """One row ``(triangles)``: a third of the closed two-paths, rounded down.
 
     Always one row, 0 for a graph without triangles. Parameters as for
     ``closed_two_path_count``.
     """
-    closed = closed_two_path_count(edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs)
+    closed = closed_two_path_count(
+        edges, multiplicity, strategy, count_type, broadcast_rows, middle_rows, max_hubs, block_entries)
     # div would be shorter, but its result is always 64 bits wide
     return closed.selectExpr(f"CAST((closed - closed % 3) / 3 AS {count_type}) AS triangles"
                              if count_type != "bigint" else "closed div 3 AS triangles")

@@ -38,37 +38,40 @@ def hub_table(degrees: DataFrame, edges: DataFrame, ends: int, min_degree: int,
     return degrees.withColumn("part_rows", part_rows).where("d > part_rows")
 
 
-def with_degree(rows: DataFrame, key: str, degrees: DataFrame, hubs: DataFrame, name: str) -> DataFrame:
-    """``rows`` with the degree of ``key`` as column ``name``; rows whose key is not in ``degrees(v, d)`` go.
+def with_values(rows: DataFrame, key: str, values: DataFrame, hubs: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``rows`` with columns of ``values(v, ...)`` for their ``key``, renamed by ``names``; rows whose key is not there go.
 
-    Degrees of hubs, of which there are few, are broadcast. The other rows are shuffled by their key, which
+    Values of ``hubs(v, ...)``, of which there are few, are broadcast. The other rows are shuffled by their key, which
     none of them has often.
     """
-    few = F.broadcast(hubs.selectExpr(f"v AS {key}", f"d AS {name}"))
+    own = [f"v AS {key}", *(f"{c} AS {name}" for c, name in names.items())]
+    few = F.broadcast(hubs.selectExpr(*own))
     rest = rows.join(F.broadcast(hubs.selectExpr(f"v AS {key}")), key, "left_anti")
-    return rows.join(few, key).unionByName(
-        rest.join(degrees.selectExpr(f"v AS {key}", f"d AS {name}").hint("shuffle_hash"), key))
+    return rows.join(few, key).unionByName(rest.join(values.selectExpr(*own).hint("shuffle_hash"), key))
+
+
+def with_degree(rows: DataFrame, key: str, degrees: DataFrame, hubs: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the degree of ``key`` as column ``name``; rows whose key is not in ``degrees(v, d)`` go."""
+    return with_values(rows, key, degrees, hubs, {"d": name})
 
 
 def split_join(left: DataFrame, right: DataFrame, key: str, left_end: str, right_end: str,
-               hubs: DataFrame, hint: str | None = None) -> DataFrame:
-    """Inner join on ``key`` where a hub forms a grid of tasks instead of one.
+               hint: str | None = None) -> DataFrame:
+    """Inner join on ``key`` where a key with many rows forms a grid of tasks instead of one.
 
-    ``hubs(v, parts_left, parts_right)`` says in how many parts the rows of a key fall on either side, by
-    ``left_end`` and by ``right_end``; each left part meets each right part in a task of its own. Every
+    Both sides carry ``parts_left`` and ``parts_right``: in how many parts the rows of their key fall on either side, by
+    ``left_end`` and by ``right_end``. Each left part meets each right part in a task of its own. Every
     pair still meets exactly once.
     """
-    grid = hubs.selectExpr(f"v AS {key}", "parts_left AS hub_left", "parts_right AS hub_right")
-
-    def spread(side: DataFrame, own: str, own_end: str, other: str) -> DataFrame:
-        return side.join(F.broadcast(grid), key, "left").selectExpr(
-            *side.columns,
-            f"{part_of(own_end, f'coalesce(hub_{own}, 1)')} AS {own}_part",
-            f"explode(sequence(0L, coalesce(hub_{other}, 1L) - 1)) AS {other}_part",
-        )
-
-    left = spread(left, "left", left_end, "right")
-    right = spread(right, "right", right_end, "left")
-    if hint:
-        right = right.hint(hint)
-    return left.join(right, [key, "left_part", "right_part"]).drop("left_part", "right_part")
+    cell = [key, "left_part", "right_part"]
+    left, right = cells(left, "left", left_end, "right"), cells(right, "right", right_end, "left")
+    return left.join(right.hint(hint) if hint else right, cell).drop("left_part", "right_part")
+
+
+def cells(side: DataFrame, own: str, own_end: str, other: str) -> DataFrame:
+    """``side`` with the cells of the grid that each row goes to: one part of its own side, every one of the other."""
+    return side.selectExpr(
+        *(c for c in side.columns if c not in ("parts_left", "parts_right")),
+        f"{part_of(own_end, f'parts_{own}')} AS {own}_part",
+        f"explode(sequence(0L, parts_{other} - 1)) AS {other}_part",
+    )

@@ -160,6 +160,11 @@ def two_paths_skewed(spark, d):
     return el.two_paths(el.follows_skewed(spark, d), paths_per_part=400)
 
 
+@query("two_paths_every_middle_split", over(SKEWED, TWO_PATHS_SQL))
+def two_paths_every_middle_split(spark, d):
+    return el.two_paths(el.follows_skewed(spark, d), paths_per_part=400, max_hubs=1)
+
+
 NEIGHBOURS_SQL = "SELECT src, dst AS neighbour, count(*) AS copies FROM e GROUP BY src, dst"
 
 
@@ -217,7 +222,9 @@ for _multiplicity in CLOSED:
         query(f"triangle_count_{_multiplicity}_{_strategy}", triangle_sql(FOLLOWS, _multiplicity))(
             lambda spark, d, m=_multiplicity, s=_strategy: el.triangle_count(el.follows(spark, d), m, s))
     query(f"triangle_count_dense_{_multiplicity}", triangle_sql(DENSE, _multiplicity))(
-        lambda spark, d, m=_multiplicity: el.triangle_count(el.follows_dense(spark, d), m))
+        lambda spark, d, m=_multiplicity: el.triangle_count(el.follows_dense(spark, d), m, "lists"))
+    query(f"triangle_count_list_blocks_{_multiplicity}", triangle_sql(SKEWED, _multiplicity))(
+        lambda spark, d, m=_multiplicity: el.triangle_count(el.follows_skewed(spark, d), m, "lists", block_entries=1000))
 
 
 for _multiplicity in CLOSED:
@@ -265,6 +272,24 @@ def triangles_skewed(spark, d):
     return el.triangles(el.follows_skewed(spark, d), rows_per_part=8, middle_rows=4, max_hubs=10)
 
 
+@query("write_single_file_roundtrip", over(FOLLOWS, """
+SELECT src, dst, count(*) AS lines, CAST(1 AS BIGINT) AS files FROM e GROUP BY src, dst"""))
+def write_single_file_roundtrip(spark, d):
+    path = scratch_path(spark, "single")
+    el.write_single_file(el.follows(spark, d), path)
+    lines = spark.read.text(path).select("value", "_metadata.file_path")
+    files = lines.select("file_path").distinct().count()
+    return el.parse_edges(lines).groupBy("src", "dst").agg(F.count("*").alias("lines")).withColumn("files", F.lit(files).cast("bigint"))
+
+
+@query("read_edges_one_line", over(FOLLOWS, "SELECT src, dst FROM e"))
+def read_edges_one_line(spark, d):
+    # each file is one long line of words
+    path = scratch_path(spark, "one-line")
+    el.format_pairs(el.follows(spark, d)).write.option("lineSep", " ").text(path)
+    return el.read_edges(spark, path, scan="blanks")
+
+
 # --- chains and ranks ---------------------------------------------------------------
 
 

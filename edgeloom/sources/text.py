@@ -50,9 +50,27 @@ def parse_edges(lines: DataFrame, column: str = "value", mode: str = "fail", id_
         tidy.format("ids[place]") + " AS src", tidy.format("ids[place + 1]") + " AS dst")
 
 
-def read_edges(spark: SparkSession, path: str | list[str], mode: str = "fail", id_type: str = "bigint") -> DataFrame:
-    """Edges of text files, see ``parse_edges``."""
-    return parse_edges(spark.read.text(path), mode=mode, id_type=id_type)
+SCANS = ("lines", "blanks")
+
+
+def _read(spark: SparkSession, path: str | list[str], scan: str) -> DataFrame:
+    """``(value)``: the text of files in records that end at line ends, or at blanks and then at line ends.
+
+    Either way the records hold the same words. A record is read by one task, so a file of few, very long
+    lines should be scanned by blanks, and a file without blanks by lines.
+    """
+    if scan not in SCANS:
+        raise ValueError(f"scan must be one of {SCANS}, not {scan!r}")
+    if scan == "lines":
+        return spark.read.text(path)
+    records = spark.read.text(path, lineSep=" ")
+    return records.selectExpr("explode(CASE WHEN value RLIKE '[\\r\\n]' THEN split(value, '[\\r\\n]+') ELSE array(value) END) AS value")
+
+
+def read_edges(spark: SparkSession, path: str | list[str], mode: str = "fail", id_type: str = "bigint",
+               scan: str = "lines") -> DataFrame:
+    """Edges of text files, see ``parse_edges``. With ``scan="blanks"`` lines may be of any length, and one line is read by many tasks."""
+    return parse_edges(_read(spark, path, scan), mode=mode, id_type=id_type)
 
 
 def parse_ranks(lines: DataFrame, column: str = "value", mode: str = "fail", id_type: str = "bigint") -> DataFrame:
@@ -73,11 +91,13 @@ def parse_vertices(lines: DataFrame, column: str = "value", mode: str = "fail",
     return _checked_words(words, good, malformed).selectExpr(f"{id_from('tokens[0]', id_type)} AS v")
 
 
-def read_ranks(spark: SparkSession, path: str | list[str], mode: str = "fail", id_type: str = "bigint") -> DataFrame:
+def read_ranks(spark: SparkSession, path: str | list[str], mode: str = "fail", id_type: str = "bigint",
+               scan: str = "lines") -> DataFrame:
     """Ranks of text files, see ``parse_ranks``."""
-    return parse_ranks(spark.read.text(path), mode=mode, id_type=id_type)
+    return parse_ranks(_read(spark, path, scan), mode=mode, id_type=id_type)
 
 
-def read_vertices(spark: SparkSession, path: str | list[str], mode: str = "fail", id_type: str = "bigint") -> DataFrame:
+def read_vertices(spark: SparkSession, path: str | list[str], mode: str = "fail", id_type: str = "bigint",
+               scan: str = "lines") -> DataFrame:
     """Vertices of text files, see ``parse_vertices``."""
-    return parse_vertices(spark.read.text(path), mode=mode, id_type=id_type)
+    return parse_vertices(_read(spark, path, scan), mode=mode, id_type=id_type)
