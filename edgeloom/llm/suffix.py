@@ -100,7 +100,8 @@ def _suffixes(docs: DataFrame, length: int, kmer: int, hot: list[int]) -> DataFr
     """``(key, run, doc_id, packed)``: a suffix per run, once for each document and content.
 
     Suffixes of ``hot`` keys are kept together: one row for a block of a document, under the smallest hot key and with run 0,
-    has them in ``packed`` as key, run, key, run and so on. It is null in all other rows.
+    has them in ``packed`` as key, run, key, run and so on, eight bytes each. It is null in all other rows. Bytes, since
+    Spark hands even a null array to Python at many times the cost of a number.
     """
     often = np.array(sorted(hot), np.int64)
 
@@ -117,18 +118,18 @@ def _suffixes(docs: DataFrame, length: int, kmer: int, hot: list[int]) -> DataFr
                     packed += [None] * len(key)
                     if len(pairs):
                         key, run = np.append(key, often[0]), np.append(run, 0)
-                        packed.append(pairs)
+                        packed.append(pairs.astype(">i8").tobytes())
                     keys.append(key)
                     runs.append(run)
                     at.append(np.full(len(run), i))
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(np.concatenate(runs)),
-                     batch.column(0).take(pa.array(np.concatenate(at))), pa.array(packed, pa.list_(pa.int64()))],
+                     batch.column(0).take(pa.array(np.concatenate(at))), pa.array(packed, pa.binary())],
                     ["key", "run", "doc_id", "packed"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(suffixes, f"key bigint, run bigint, doc_id {id_type}, packed array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(suffixes, f"key bigint, run bigint, doc_id {id_type}, packed binary")
 
 
 def _run_strings(docs: DataFrame, wanted: DataFrame, length: int, kmer: int) -> DataFrame:
@@ -149,26 +150,27 @@ def _run_strings(docs: DataFrame, wanted: DataFrame, length: int, kmer: int) ->
                     hashes = _signed(found.strings)
                     for column, values in zip(columns, (
                             _signed(found.key[some]), np.full(len(some), i), own[some], found.anchor[some] - found.first[some],
-                            [hashes[a:b + 1] for a, b in zip(found.first[some], found.last[some])])):
+                            [hashes[a:b + 1].tobytes() for a, b in zip(found.first[some], found.last[some])])):
                         column.append(values)
             if columns[0]:
                 key, at, run, place = (np.concatenate(c) for c in columns[:4])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), batch.column(0).take(pa.array(at)), pa.array(run), pa.array(place.astype(np.int32)),
-                     pa.array([x for part in columns[4] for x in part], pa.list_(pa.int64()))],
+                     pa.array([x for part in columns[4] for x in part], pa.binary())],
                     ["key", "doc_id", "run", "place", "strings"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     per_doc = wanted.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
     return docs.join(per_doc.hint("merge"), "doc_id").select("doc_id", "text", "runs").mapInArrow(
-        strings, f"key bigint, doc_id {id_type}, run bigint, place int, strings array<bigint>")
+        strings, f"key bigint, doc_id {id_type}, run bigint, place int, strings binary")
 
 
 def _masks(batch: pa.RecordBatch) -> np.ndarray:
     """For each run, the places of its strings that a smaller id of the same key has as well."""
-    sizes = np.diff(batch.column(4).offsets.to_numpy())
+    lists = batch.column(4).to_pylist()
+    sizes = np.array([len(x) // 8 for x in lists])
     row = np.repeat(np.arange(batch.num_rows), sizes)
-    string = batch.column(4).flatten().to_numpy()
+    string = np.frombuffer(b"".join(lists), np.int64)
     key = batch.column(0).to_numpy()[row]
     doc = np.unique(batch.column(1).to_numpy(zero_copy_only=False), return_inverse=True)[1][row]
     order = np.lexsort((doc, string, key))
@@ -231,13 +233,14 @@ def _scan(suffixes: DataFrame, hot: list[int]) -> DataFrame:
 
     id_type = suffixes.schema["doc_id"].dataType.simpleString()
     return by_key(suffixes, hot).mapInArrow(
-        scan, f"key bigint, run bigint, doc_id {id_type}, packed array<bigint>, kind int")
+        scan, f"key bigint, run bigint, doc_id {id_type}, packed binary, kind int")
 
 
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Key, run and row of the suffixes in ``batch(doc_id, packed)``."""
-    pairs = batch.column(1).flatten().to_numpy().reshape(-1, 2)
-    sizes = np.diff(batch.column(1).offsets.to_numpy()) // 2
+    lists = batch.column(1).to_pylist()
+    pairs = np.frombuffer(b"".join(lists), ">i8").astype(np.int64).reshape(-1, 2)
+    sizes = np.array([len(x) // 16 for x in lists], np.int64)
     return pairs[:, 0], pairs[:, 1], np.repeat(np.arange(batch.num_rows), sizes)
 
 
@@ -300,19 +303,19 @@ def _partly_repeated(runs: DataFrame, hot: list[int]) -> DataFrame:
     Keys are settled in the task that holds them; hot ones string by string.
     """
     def settle(batches):
-        nothing = pa.array([[]], pa.list_(pa.int64()))
         for rows, masks in _by_whole_keys(batches, np.array(sorted(hot), np.int64), _masks):
             strings = rows.column(4)
             if masks is not None:  # the strings are done with
-                strings = nothing.take(pa.array(np.zeros(rows.num_rows, np.int64)))
+                strings = pa.array([b""] * rows.num_rows, pa.binary())
             masks = pa.array([None] * rows.num_rows if masks is None else masks, pa.int64())
             yield pa.RecordBatch.from_arrays([*rows.columns[:4], strings, masks], [*rows.schema.names, "mask"])
 
     id_type = runs.schema["doc_id"].dataType.simpleString()
     settled = written(by_key(runs, hot).mapInArrow(
-        settle, f"key bigint, doc_id {id_type}, run bigint, place int, strings array<bigint>, mask bigint").where(
+        settle, f"key bigint, doc_id {id_type}, run bigint, place int, strings binary, mask bigint").where(
         "mask IS NULL OR mask != 0"), "settled")
-    strings = settled.where("mask IS NULL").select("key", "doc_id", "run", "place", F.posexplode("strings").alias("at", "string"))
+    strings = settled.where("mask IS NULL").drop("mask").mapInArrow(
+        _each_string, f"key bigint, doc_id {id_type}, run bigint, place int, at int, string bigint")
     known = strings.groupBy("key", "string").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
     parts = strings.join(known.hint("merge"), ["key", "string"]).where("doc_id > low").groupBy("doc_id", "run").agg(
@@ -320,6 +323,18 @@ def _partly_repeated(runs: DataFrame, hot: list[int]) -> DataFrame:
     return settled.where("mask IS NOT NULL").select("doc_id", "run", "mask").unionByName(parts)
 
 
+def _each_string(batches):
+    """A row for each of the strings in batches of ``(key, doc_id, run, place, strings)``."""
+    for batch in batches:
+        lists = batch.column(4).to_pylist()
+        sizes = np.array([len(x) // 8 for x in lists], np.int64)
+        row = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
+        at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        yield pa.RecordBatch.from_arrays(
+            [*(c.take(row) for c in batch.columns[:4]), pa.array(at.astype(np.int32)), pa.array(np.frombuffer(b"".join(lists), np.int64))],
+            ["key", "doc_id", "run", "place", "at", "string"])
+
+
 class SuffixIndex:
     """The levels so far, as ``(size in batches, suffixes(key, run, doc_id))`` from large to small.
 
@@ -377,9 +392,10 @@ class SuffixIndex:
             older = self.levels.pop()[1]
             both = level.unionByName(older)
             single = both.where("packed IS NULL").groupBy("key", "run").agg(F.min("doc_id").alias("doc_id")).selectExpr(
-                "key", "run", "doc_id", "CAST(NULL AS array<bigint>) AS packed")
+                "key", "run", "doc_id", "CAST(NULL AS binary) AS packed")
             hot = _firsts(both.where("packed IS NOT NULL")).selectExpr(
-                f"{min(self.hot, default=0)}L AS key", "0L AS run", "first_id AS doc_id", "array(key, run) AS packed")
+                f"{min(self.hot, default=0)}L AS key", "0L AS run", "first_id AS doc_id",
+                "unhex(concat(lpad(hex(key), 16, '0'), lpad(hex(run), 16, '0'))) AS packed")
             merged = written(single.unionByName(hot), "level")
             discard(level)
             discard(older)
@@ -408,13 +424,14 @@ def covered(text: bytes, runs: dict[int, int], length: int, kmer: int) -> np.nda
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, batches: int = BATCHES,
-                   with_row: bool = False) -> DataFrame:
+                   with_row: bool = False, whole_chars: bool = False) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept, row])``, a row for each row of ``docs(doc_id, text)``.
 
     Bytes are removed that a string of ``length`` bytes covers which also starts in a document with a smaller id,
     judged on the texts as they came. Rows with one id do not make each other shorter. A null text is
     empty; texts below ``length`` lose nothing, nor do rows with a null id, which no other row loses to either.
-    ``kept`` is what is left, in bytes, and ``row`` holds all columns of ``docs`` but the text.
+    ``kept`` is what is left, in bytes, and ``row`` holds all columns of ``docs`` but the text. With ``whole_chars`` a character of which
+    any byte is removed goes as a whole, so that a text in UTF-8 stays one.
     """
     extra = ["row"] * with_row
     docs = docs.select("doc_id", F.col("text").cast("binary").alias("text"), *(
@@ -450,6 +467,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, batc
                         for run in entry["runs"]:
                             table[run] = table.get(run, 0) | entry["mask"]
                     gone = covered(text, table, length, kmer)
+                    if whole_chars and gone.any():
+                        # each byte belongs to the last one before it that begins a character
+                        begins = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
+                        number = np.cumsum(begins)
+                        gone = (np.bincount(number, gone) > 0)[number]
                 left = np.frombuffer(text, np.uint8)[~gone].tobytes() if gone.any() else text
                 spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 rows.append((len(text), len(text) - len(left), spans, hashlib.sha256(left).hexdigest()))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import BinaryType
 
 from edgeloom.plans import stage
 
@@ -25,13 +25,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def by_key(rows: DataFrame, hot: list[int]) -> DataFrame:
-    """``rows`` with all rows of a key, the first column, in one partition, in the order of their columns.
+    """``rows`` with all rows of a key, the first column, in one partition, in the order of their columns but bytes.
 
     Rows of ``hot`` keys, of which there are few, are spread over partitions.
     """
     first = F.col(rows.columns[0])
     salt = F.when(first.isin(hot), F.xxhash64(*rows.columns) % 1024).otherwise(F.lit(0)) if hot else F.lit(0)
-    plain = [f.name for f in rows.schema if not isinstance(f.dataType, ArrayType)]
+    plain = [f.name for f in rows.schema if not isinstance(f.dataType, BinaryType)]
     return rows.repartition(first, salt).sortWithinPartitions(*plain)
 
 
