@@ -49,23 +49,26 @@ def source_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
 
 
 def mix(docs: DataFrame, size: str = WORD_COUNT, weight: str = QUALITY_WEIGHT, seed: int = 0,
-        bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+        bucket_rows: int = BUCKET_ROWS, with_row: bool = False) -> DataFrame:
     """``(doc_id, source, size, source_size, target, key, times, taken)`` for ``docs(doc_id, text, source)``.
 
     ``size`` and ``weight`` are SQL expressions over the columns of ``docs``. ``times`` is how often
     the mix has the document, ``taken`` that many times ``size``. The document on which a budget ends is taken if that
     comes nearer to it. Documents of size 0 take nothing and are in complete epochs only; rows repeated in full get the same key and
-    follow one another; a null source is a source of its own.
+    follow one another; a null source is a source of its own. ``with_row`` adds all columns of ``docs`` as ``row``.
     """
     spark = docs.sparkSession
-    u = (f"(CAST(conv(substr(md5(concat(coalesce(CAST(doc_id AS string), 'null'), ':{seed}')), 1, 13), 16, 10)"
+    # rows without an id draw by their text, lest a third of a table has one key
+    own = "coalesce(CAST(doc_id AS string), concat('null', md5(coalesce(text, ''))))"
+    u = (f"(CAST(conv(substr(md5(concat({own}, ':{seed}')), 1, 13), 16, 10)"
          " AS double) + 0.5D) / 4503599627370496D")
-    keyed = stage(docs.selectExpr("doc_id", "source", f"{size} AS size", f"-ln({u}) / ({weight}) AS key"), "mix")
+    keyed = stage(docs.selectExpr("doc_id", "source", f"{size} AS size", f"-ln({u}) / ({weight}) AS key", *["struct(*) AS row"] * with_row), "mix")
     buckets = max(1, -(-keyed.count() // bucket_rows))
     # 1 - exp(-key) rises with the key and is spread evenly enough between 0 and 1
     keyed = keyed.withColumn("bucket", F.expr(f"CAST(least({buckets - 1}, floor({buckets} * (1 - exp(-key)))) AS bigint)"))
     sums = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     targets = source_targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")))
+    columns = "row," if with_row else ""
     return spark.sql("""
         WITH placed AS (
           SELECT s.source, bucket, source_size, target,
@@ -77,7 +80,7 @@ def mix(docs: DataFrame, size: str = WORD_COUNT, weight: str = QUALITY_WEIGHT, s
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before_doc
           FROM {keyed})
         SELECT *, size * times AS taken FROM (
-          SELECT doc_id, o.source, size, source_size, target, key,
+          SELECT doc_id, o.source, size, source_size, target, key, """ + columns + """
                  epochs + IF(size > 0 AND before_bucket + before_doc + size / 2 <= target - epochs * source_size, 1L, 0L) AS times
           FROM ordered o JOIN placed p ON o.source <=> p.source AND o.bucket = p.bucket)""",
         sums=sums, targets=targets, keyed=keyed)
@@ -87,7 +90,7 @@ def mix(docs: DataFrame, size: str = WORD_COUNT, weight: str = QUALITY_WEIGHT, s
 MIX_SQL = r"""
 WITH keyed AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':0'), 1, 13) AS BIGINT) + 0.5)
+         -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null' || md5(coalesce(text, ''))) || ':0'), 1, 13) AS BIGINT) + 0.5)
              / 4503599627370496.0)
          / (0.05 + 0.95 * coalesce(CAST(length(translate(text, '#*$%&|<>!', '')) AS DOUBLE) / greatest(length(text), 1), 1)) AS key
   FROM documents),

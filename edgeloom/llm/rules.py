@@ -130,11 +130,13 @@ def rule_number(rules: list[Rule]) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Statistics and quality of at most ``rows`` labelled documents, chosen by a hash of the id.
 
-    Rows without a label of 0 or 1 take no part. The sample is bounded, so its side is broadcast.
+    Rows without a label of 0 or 1 take no part. Of several rows with one id the text with the smallest hash counts, so that
+    rows are bounded as well as labels. The sample is bounded, so its side is broadcast.
     """
     chosen = (labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", "quality")
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows))
-    own = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
+    own = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(
+        F.expr("min_by(text, coalesce(xxhash64(text), 0L)) AS text"))
     return with_shares(text_counts(own)).join(F.broadcast(chosen), "doc_id")
 
 

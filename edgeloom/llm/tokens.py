@@ -124,7 +124,6 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
         texts = texts.join(known, "digest", "left_anti")
     _count_misses(texts, tokenizer_path).write.mode("append").parquet(folder)
     counts = spark.read.schema("digest binary, n_tokens bigint").parquet(folder)
-    if known is not None:  # two runs at once may both have added a text
-        counts = counts.dropDuplicates(["digest"])
+    counts = counts.dropDuplicates(["digest"])  # runs at once may have added the same text
     return content.selectExpr("doc_id", "CAST(length(text) AS bigint) AS n_bytes", "digest").join(
         counts.hint("merge"), "digest").select("doc_id", "n_bytes", "n_tokens")

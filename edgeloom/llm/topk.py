@@ -23,7 +23,7 @@ IMPACT_STEP = 8  # values of one segment
 # Contributions down to which segments are read, level by level, in units of their root mean square.
 LEVELS = (0.0, -0.25, -0.5, -1.0)
 FEW = 0.25  # share of a shard that is scored exactly rather than bounded by another level
-LARGEST = 2**31 - 1
+LARGEST = 2**62  # of the sum of squares of a vector
 
 SCALE = 256
 
@@ -31,11 +31,15 @@ SCALE = 256
 def quantised(vectors: DataFrame, id_column: str, vector_column: str, scale: float = SCALE) -> DataFrame:
     """``(vec_id, v)`` with ``v = floor(scale * x)``; vectors null or holding null or non-finite values are left out.
 
-    Values beyond 31 bits stop there.
+    A vector whose squares add up to ``LARGEST`` or more is an error that names it: below that no score, nor any sum on
+    the way to it, leaves 64 bits.
     """
     return vectors.selectExpr(f"`{id_column}` AS vec_id", f"CAST(`{vector_column}` AS array<double>) AS v").where(
         "vec_id IS NOT NULL AND v IS NOT NULL AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf'))"
-    ).selectExpr("vec_id", f"transform(v, x -> CAST(greatest(-{LARGEST}L, least({LARGEST}L, CAST(floor({scale}D * x) AS bigint))) AS int)) AS v")
+    ).selectExpr("vec_id", f"transform(v, x -> floor({scale}D * x)) AS v",
+                 f"aggregate(v, 0D, (s, x) -> s + pow(CAST(floor({scale}D * x) AS double), 2)) AS squares").selectExpr(
+        "vec_id", f"""transform(IF(squares < {LARGEST}D, v, raise_error(concat(
+            'scores of vector ', vec_id, ' are beyond 64 bits'))), x -> CAST(x AS int)) AS v""")
 
 
 def _matrix(rows: list[list[int]], width: int) -> np.ndarray:

@@ -47,7 +47,9 @@ ROWS = texts()
 def docs(spark):
     sources = ["b", None, "a", "Z", "b", "b"]
     data = [(i, t, "en", sources[k % 6], None, "?", k, 0.5, k) for k, (i, t) in enumerate(ROWS)]
-    return spark.createDataFrame(data, SCHEMA).repartition(3).cache()
+    found = spark.createDataFrame(data, SCHEMA).repartition(3).cache()
+    yield found
+    found.unpersist()
 
 
 @pytest.fixture(scope="module")
@@ -361,9 +363,9 @@ def test_top_k(spark):
     rng = np.random.default_rng(8)
     vectors = [(i, [float(x) for x in rng.normal(size=12) / 3]) for i in range(300)]
     vectors += [(300 + i, vectors[5][1]) for i in range(8)] + [(5, vectors[5][1])]  # ties, and a row twice
-    vectors += [(400, None), (410, [1.0, None]), (420, [float("nan")] * 12), (430, [float("inf")] * 12), (440, []), (450, [0.0] * 12), (460, [1e30, 1.0])]
+    vectors += [(400, None), (410, [1.0, None]), (420, [float("nan")] * 12), (430, [float("inf")] * 12), (440, []), (450, [0.0] * 12), (460, [3e6, -1.0]), (470, [2e6] * 12)]
     frame = spark.createDataFrame(vectors, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
-    whole = {i: [max(-topk.LARGEST, min(topk.LARGEST, math.floor(256 * x))) for x in v] for i, v in vectors
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in vectors
              if v is not None and all(x is not None and math.isfinite(x) for x in v)}
     want = Counter()
     for q in (i for i in whole if i % 10 == 0):
@@ -373,6 +375,29 @@ def test_top_k(spark):
     assert collected(got) == want
     assert topk.top_k(frame.limit(0), "true").count() == 0
     assert collected(topk.top_k(frame.where("vec_id = 0"), "true")) == Counter()
+    for large in ([1e30, 1.0], [1e7, 1e7, 2e7]):
+        with pytest.raises(Exception, match="scores of vector 9 are beyond 64 bits"):
+            topk.quantised(spark.createDataFrame([(1, [1.0]), (9, large)], "vec_id BIGINT, embedding ARRAY<DOUBLE>"), "vec_id", "embedding").collect()
+
+
+def test_runs_at_once_count_a_text_once(spark, docs):
+    cache = scratch_path(spark, "tokens")
+    want = collected(tokens.token_counts(docs, tokenizer_path(), cache))
+    folder = f"{cache}/tokenizer={tokens.tokenizer_digest(tokenizer_path())}"
+    spark.read.parquet(folder).write.mode("append").parquet(folder + "-other")
+    spark.read.parquet(folder + "-other").write.mode("append").parquet(folder)  # as another first run leaves it
+    assert collected(tokens.token_counts(docs, tokenizer_path(), cache)) == want and want.total() == len(ROWS)
+
+
+def test_one_id_with_very_many_rows_is_one_of_the_sample(spark):
+    docs = spark.range(500).selectExpr("1L AS doc_id", "concat('text ', id) AS text").union(spark.sql("SELECT 2L, 'other'"))
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id BIGINT, quality INT")
+    assert rules.labelled_sample(docs, labels).count() == 2
+
+
+def test_rows_without_an_id_draw_by_their_text(spark):
+    docs = spark.range(2000).selectExpr("CAST(NULL AS bigint) AS doc_id", "concat('word ', id) AS text", "'s' AS source")
+    assert mixing.mix(docs).select("key").distinct().count() == 2000
 
 
 def test_warc(spark):

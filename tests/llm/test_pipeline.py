@@ -53,3 +53,40 @@ def test_rows_with_nulls_and_empty_tables(spark):
         for name, run in pipeline.STAGES:
             rows = stage(run(spark, rows, SF_DIR), "stage")
         assert rows.columns[0] == "doc_id"
+
+
+def test_mix_gives_each_row_its_own_times(spark):
+    words = lambda n, i: " ".join(f"w{i}" for _ in range(n))
+    rows = [(i, words(60, i), "en", "s0", 1) for i in range(60)] + [(i, words(20, i), "en", "s1", 1) for i in range(60)]
+    rows += [(None, words(7, i), None, "s2", 1) for i in range(50)] + [(None, words(7, 1), None, "s2", 1)] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    want = Counter()
+    for r in pipeline.mixing.mix(docs, with_row=True).collect():
+        want[tuple(r.row)] += r.times
+    got = Counter(map(tuple, pipeline.source_mix(spark, docs, "").collect()))
+    assert got == +want
+    targets = {r.source: r.target for r in pipeline.mixing.mix(docs).collect()}
+    for source, target in targets.items():
+        taken = sum(n * len(row[1].split()) for row, n in got.items() if row[3] == source)
+        assert abs(taken - target) <= 60
+
+
+def test_passages_go_in_whole_characters(spark):
+    passage = "é日😀" * 20
+    texts = {1: f"keep \ufffd this {passage} end", 2: f"\ufffd other {passage}\ufffd", 3: "keep \ufffd this", 4: f"{passage[1:]} tail ü"}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    want = {}
+    for i, text in texts.items():
+        data = text.encode()
+        earlier = {t.encode()[k:k + 50] for j, t in texts.items() if j < i for k in range(len(t.encode()) - 49)}
+        gone = {b for k in range(len(data) - 49) if data[k:k + 50] in earlier for b in range(k, k + 50)}
+        kept, at = "", 0
+        for c in text:
+            size = len(c.encode())
+            kept += "" if gone & set(range(at, at + size)) else c
+            at += size
+        want[i] = kept
+    got = pipeline.repeated_passages(spark, docs, "").collect()
+    assert {r.doc_id: r.text for r in got} == want and want[2] != texts[2] and want[3] == texts[3]
+    assert all(r.n_chars == len(r.text) for r in got)
