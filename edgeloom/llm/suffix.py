@@ -42,7 +42,7 @@ def _power(n: int) -> np.uint64:
 
 
 def window_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
-    """Hashes of all strings of each of ``lengths`` bytes, put together from lengths that are powers of two."""
+    """Hashes of all strings of each of ``lengths`` bytes, put together from lengths that are powers of two and not yet mixed."""
     powers = {1: _BYTES[data]}
     n = 1
     while 2 * n <= max(lengths):
@@ -57,7 +57,7 @@ def window_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray
                 part = powers[n][done:len(data) - length + done + 1]
                 total = part if total is None else total * _power(n) + part
                 done += n
-        found.append(mix64(total))
+        found.append(total)
     return found
 
 
@@ -65,7 +65,8 @@ class Runs:
     """The runs of one block of text: strings ``first..last`` (starts) share the anchor ``anchor``."""
 
     def __init__(self, data: np.ndarray, length: int, kmer: int):
-        kmers, self.strings = window_hashes(data, (kmer, length))
+        kmers, self._strings = window_hashes(data, (kmer, length))
+        kmers = mix64(kmers)
         width = length - kmer + 1
         at = np.arange(len(kmers), dtype=np.uint64)
         # the smallest hash of a window, and of equal ones the first
@@ -83,7 +84,12 @@ class Runs:
         self.anchor = anchors[self.first]
         self.key = kmers[self.anchor]
         place = (self.anchor - self.first).astype(np.uint64) << np.uint64(8) | (self.last - self.first).astype(np.uint64)
-        self.run = mix64(self.strings[self.first] * np.uint64(3) + mix64(self.strings[self.last] + place))
+        self.run = mix64(mix64(self._strings[self.first]) * np.uint64(3) + mix64(mix64(self._strings[self.last]) + place))
+
+    @property
+    def strings(self) -> np.ndarray:
+        """The hash of each string; only few of them are needed where runs are made."""
+        return mix64(self._strings)
 
 
 def blocks(text: bytes, length: int, kmer: int):
@@ -403,21 +409,28 @@ class SuffixIndex:
         self.levels.append((size, level))
 
 
-def covered(text: bytes, runs: dict[int, int], length: int, kmer: int) -> np.ndarray:
-    """Which bytes of ``text`` lie in a repeated string; ``runs`` gives the mask of each run."""
-    marks = np.zeros(len(text) + 1, np.int64)
-    names = np.array(sorted(runs), np.int64)
-    masks = np.array([runs[int(n)] for n in names], np.int64)
+def covered(text: bytes, runs: np.ndarray, masks: np.ndarray, length: int, kmer: int) -> np.ndarray:
+    """Which bytes of ``text`` lie in a repeated string; ``masks`` go with ``runs``, of which one may be there more than once."""
+    marks = np.zeros(len(text) + 1, np.int32)
+    names, place = np.unique(runs, return_inverse=True)
+    joint = np.zeros(len(names), np.int64)
+    np.bitwise_or.at(joint, place, masks)
+    back = np.arange(length - kmer + 1)
     for offset, found in blocks(text, length, kmer):
         own = _signed(found.run)
         hit = np.minimum(np.searchsorted(names, own), len(names) - 1)
-        found_masks = np.where(names[hit] == own, masks[hit], 0)
-        whole = found_masks == ALL
-        np.add.at(marks, offset + found.first[whole], 1)
-        np.add.at(marks, offset + found.last[whole] + length, -1)
-        for i in np.flatnonzero((found_masks != 0) & ~whole):
-            starts = np.arange(found.first[i], found.last[i] + 1)
-            starts = starts[(found_masks[i] >> (found.anchor[i] - starts)) & 1 == 1] + offset
+        found_masks = np.where(names[hit] == own, joint[hit], 0)
+        some = np.flatnonzero(found_masks)
+        if not len(some):
+            continue
+        first, last, mask = found.first[some], found.last[some], found_masks[some]
+        whole = mask == ALL
+        np.add.at(marks, offset + first[whole], 1)
+        np.add.at(marks, offset + last[whole] + length, -1)
+        if not whole.all():
+            starts = found.anchor[some][~whole, None] - back
+            repeated = (mask[~whole, None] >> back) & 1 == 1
+            starts = starts[repeated & (starts >= first[~whole, None]) & (starts <= last[~whole, None])] + offset
             np.add.at(marks, starts, 1)
             np.add.at(marks, starts + length, -1)
     return np.cumsum(marks[:-1]) > 0
@@ -457,16 +470,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, batc
     def cut(batches):
         for batch in batches:
             rows, kept = [], []
-            for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            # a row has a list of (runs, mask); all runs of the batch, with the mask of each, and where those of a row end
+            lists = batch.column(2)
+            entries = lists.flatten()
+            runs = entries.field("runs")
+            sizes = runs.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            masks = np.repeat(entries.field("mask").to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+            runs = runs.flatten().to_numpy()
+            per_row = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(per_row)])]
+            for text, start, end in zip(batch.column(1).to_pylist(), ends[:-1], ends[1:]):
                 text = text or b""
                 gone = np.zeros(len(text), bool)
-                if runs:
+                if end > start:
                     # a run may be repeated as a whole and in part
-                    table: dict[int, int] = {}
-                    for entry in runs:
-                        for run in entry["runs"]:
-                            table[run] = table.get(run, 0) | entry["mask"]
-                    gone = covered(text, table, length, kmer)
+                    gone = covered(text, runs[start:end], masks[start:end], length, kmer)
                     if whole_chars and gone.any():
                         # each byte belongs to the last one before it that begins a character
                         begins = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
