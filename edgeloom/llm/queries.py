@@ -103,9 +103,9 @@ def op7_quality_classifier(spark, d):
 
 @query("op5_token_counts")
 def op5_token_counts(spark, d):
-    # an earlier run has counted a third of the documents, so that this one has hits and misses
+    # an earlier run has counted a tenth of the documents, so that this one has hits and misses
     docs, cache = table(spark, d, "documents"), scratch_path(spark, "token-cache")
-    tokens.token_counts(docs.where("pmod(xxhash64(doc_id), 3) = 0"), tokenizer_path(), cache)
+    tokens.token_counts(docs.where("pmod(xxhash64(doc_id), 10) = 0"), tokenizer_path(), cache)
     counted = tokens.token_counts(docs, tokenizer_path(), cache)
     return counted.withColumn("over_limit", F.expr("n_tokens > 1024"))
 
