@@ -14,37 +14,36 @@ from edgeloom.plans import (
 )
 
 
-def path_hubs(folded: DataFrame, paths_per_part: int = PATHS_PER_PART) -> DataFrame:
-    """``(v, parts_left, parts_right, d)``: middle vertices of more than ``paths_per_part`` two-paths, as a grid.
+def path_grid(folded: DataFrame, paths_per_part: int = PATHS_PER_PART) -> DataFrame:
+    """``(v, d, parts_left, parts_right)``: every vertex with the grid that its two-paths form, 1 by 1 for up to ``paths_per_part``.
 
     Cells are of about that number of paths, and no part is longer than the square root of it, so that
     few rows on one side and very many on the other are split as well.
     """
     side = max(1, int(paths_per_part ** 0.5))
-    return degrees(folded).where(f"CAST(n_in AS double) * n_out > {paths_per_part}").selectExpr(
-        "v", f"ceil(n_in / {side}) AS parts_left", f"ceil(n_out / {side}) AS parts_right", "n_in + n_out AS d")
+    split = f"CAST(n_in AS double) * n_out > {paths_per_part}"
+    return degrees(folded).selectExpr(
+        "v", "n_in + n_out AS d", f"IF({split}, ceil(n_in / {side}), 1L) AS parts_left",
+        f"IF({split}, ceil(n_out / {side}), 1L) AS parts_right")
+
+
+def path_hubs(folded: DataFrame, paths_per_part: int = PATHS_PER_PART) -> DataFrame:
+    """``(v, parts_left, parts_right)``: the middle vertices that form more than one cell."""
+    return path_grid(folded, paths_per_part).where("parts_left * parts_right > 1").drop("d")
 
 
 def path_sides(edges: DataFrame, paths_per_part: int = PATHS_PER_PART, max_hubs: int = HUB_ROWS) -> tuple[DataFrame, DataFrame]:
     """Both sides of the join at the middle vertex ``y``, each edge with the grid of its ``y``.
 
-    The vertices that form a grid are counted. Up to ``max_hubs`` are broadcast as they are. Of more than that only the
-    largest are, bounded by ``hub_table``; each other edge gets the degrees of its middle vertex in a join by that vertex, so that
-    every middle vertex is split, however many there are.
+    The grids of the largest vertices, bounded by ``hub_table``, are broadcast. Other edges get theirs in a join by their middle
+    vertex, which none of them has often, so that every middle vertex is split, however many there are.
     """
     folded = edge_multiplicity(edges)
-    into = folded.selectExpr("src AS x", "dst AS y", "m AS m_in")
-    out = folded.selectExpr("src AS y", "dst AS z", "m AS m_out")
-    grid = path_hubs(folded, paths_per_part)
-    parts = {"parts_left": "parts_left", "parts_right": "parts_right"}
-    if fits_broadcast(grid, max_hubs):
-        few = F.broadcast(grid.selectExpr("v AS y", *parts))
-        whole = F.lit(1).cast("bigint")
-        return tuple(side.join(few, "y", "left").withColumns({c: F.coalesce(c, whole) for c in parts}) for side in (into, out))
-    at = degrees(folded).selectExpr("v", "n_in + n_out AS d").join(
-        grid.drop("d"), "v", "left").selectExpr("v", "d", *(f"coalesce({c}, 1L) AS {c}" for c in parts))
+    at = path_grid(folded, paths_per_part)
     hubs = hub_table(at, folded, 2, 0, max_hubs)
-    return with_values(into, "y", at, hubs, parts), with_values(out, "y", at, hubs, parts)
+    parts = {"parts_left": "parts_left", "parts_right": "parts_right"}
+    return tuple(with_values(folded.selectExpr(*columns), "y", at, hubs, parts) for columns in (
+        ("src AS x", "dst AS y", "m AS m_in"), ("src AS y", "dst AS z", "m AS m_out")))
 
 
 def two_paths(edges: DataFrame, strategy: str = "auto", paths_per_part: int = PATHS_PER_PART,
