@@ -15,6 +15,8 @@ cost one comparison each, and no link between components is lost.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.components import components
-from edgeloom.llm.tables import frequent_values, repeated_keys, written
+from edgeloom.llm.tables import frequent_values, repeated_keys, slices, written
+from edgeloom.llm.words import mix64, text_hashes, word_groups
 from edgeloom.plans import discard
 
 BAND_RATIO = 0.7  # smallest over largest size of a band
@@ -30,32 +33,41 @@ FREQUENT_SAMPLE = 5_000  # documents looked at for very frequent shingles; steer
 FREQUENT_AT = 10
 HOT_AT = 50  # of the sample's documents: keys whose rows are spread over tasks
 GROUP_BLOCK = 256  # members of a group whose sketches are compared in one row
+VERIFIED = 500  # partners that follow one copy of a text to its comparison, about
+SLICE = 64  # rows of a batch that are unpacked at once
+TEXT_DIGEST = "xxhash64(text)"
 SKETCH_BITS = 1  # per shingle, in the folded sketch; sets with half of their shingles in common still differ in enough bits
 
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
 
-def mix64(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers whose bits all depend on all bits."""
-    x = np.asarray(x, np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
+def _shingles(hashes: np.ndarray, words: int) -> np.ndarray:
+    """A hash for each shingle of the words of one text, or of several, whose ends the caller leaves out."""
+    total = np.full(len(hashes) - words + 1, words, np.uint64)
+    for i in range(words):
+        total = mix64(total + hashes[i:len(hashes) - words + 1 + i])
+    return total
 
 
 def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; a text with fewer words has one of all its words."""
-    found = (text or b"").lower().split()  # bytes: only A-Z are lowered
-    if not found:
-        return np.empty(0, np.uint64)
-    numbers: dict[bytes, int] = {}
-    ids = np.array([numbers.setdefault(w, len(numbers)) for w in found], np.int64)
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], np.uint64)[ids]
-    k = min(words, len(found))
-    total = np.full(len(found) - k + 1, k, np.uint64)
-    for i in range(k):
-        total = mix64(total + hashes[i:len(found) - k + 1 + i])
-    return np.unique(total)
+    found = text_hashes(text)
+    return np.unique(_shingles(found, min(words, len(found)))) if len(found) else found
+
+
+def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """``shingle_hashes`` of each row of a binary column, in order."""
+    for _, hashes, counts in word_groups(column):
+        whole = _shingles(hashes, words) if len(hashes) >= words else hashes[:0]
+        start = 0
+        for n in counts.tolist():
+            if n >= words:
+                own = np.sort(whole[start:start + n - words + 1])
+                distinct = np.empty(len(own), bool)
+                distinct[0] = True
+                np.not_equal(own[1:], own[:-1], out=distinct[1:])
+                yield own[distinct]
+            else:
+                yield _shingles(hashes[start:start + n], n) if n else hashes[:0]
+            start += n
 
 
 def jaccard_links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -155,21 +167,21 @@ def _set_digest(hashes: np.ndarray) -> int:
 
 
 def _document_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, n_shingles, node, sketch)``; ``node`` stands for the set, and is null for an empty one."""
+    """``(doc_id, digest, n_shingles, node, sketch)``; ``node`` stands for the set, and is null for an empty one."""
     def digest(batches):
         for batch in batches:
             sizes, nodes, sketches = [], [], []
-            for text in batch.column(1).to_pylist():
-                hashes = shingle_hashes(text, words)
+            for hashes in shingle_sets(batch.column(2), words):
                 sizes.append(len(hashes))
                 nodes.append(_set_digest(hashes) if len(hashes) else None)
                 sketches.append(folded_sketch(hashes).tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())],
-                ["doc_id", "n_shingles", "node", "sketch"])
+                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())],
+                ["doc_id", "digest", "n_shingles", "node", "sketch"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(digest, f"doc_id {id_type}, n_shingles bigint, node bigint, sketch binary")
+    return docs.selectExpr("doc_id", f"{TEXT_DIGEST} AS digest", "text").mapInArrow(
+        digest, f"doc_id {id_type}, digest bigint, n_shingles bigint, node bigint, sketch binary")
 
 
 def _frequent(docs: DataFrame, rows: int, words: int) -> np.ndarray:
@@ -179,7 +191,7 @@ def _frequent(docs: DataFrame, rows: int, words: int) -> np.ndarray:
     """
     def explode(batches):
         for batch in batches:
-            found = [shingle_hashes(t, words) for t in batch.column(0).to_pylist()]
+            found = list(shingle_sets(batch.column(0), words))
             yield pa.RecordBatch.from_arrays([_signed(np.concatenate(found or [np.empty(0, np.uint64)]))], ["h"])
 
     every = max(1, rows // FREQUENT_SAMPLE)
@@ -199,8 +211,7 @@ def _members(docs: DataFrame, rows_of_docs: int, words: int, percent: int, frequ
         seen: set[int] = set()
         for batch in batches:
             found, nodes = [], []
-            for text in batch.column(0).to_pylist():
-                hashes = shingle_hashes(text, words)
+            for hashes in shingle_sets(batch.column(0), words):
                 node = _set_digest(hashes) if len(hashes) else None
                 if node is None or node in seen:
                     continue  # a copy in this task
@@ -219,38 +230,51 @@ def _members(docs: DataFrame, rows_of_docs: int, words: int, percent: int, frequ
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(x, y)`` whose sizes and sketches do not rule out a link, with a document of each."""
+    """The pairs ``(x, y)`` whose sizes and sketches do not rule out a link."""
     def test(batches):
         for batch in batches:
             keep = []
-            for a, b, n, m in zip(*(batch.column(c).to_pylist() for c in ("sketch_x", "sketch_y", "n_x", "n_y"))):
-                keep.append(percent * max(n, m) <= 100 * min(n, m) and sketch_distance(
-                    np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)) <= most_apart(n, m, percent))
-            yield batch.select(["x", "y", "doc_x", "doc_y"]).filter(pa.array(keep, pa.bool_()))
+            for part in slices(batch, SLICE):
+                for a, b, n, m in zip(*(part.column(c).to_pylist() for c in ("sketch_x", "sketch_y", "n_x", "n_y"))):
+                    keep.append(percent * max(n, m) <= 100 * min(n, m) and sketch_distance(
+                        np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)) <= most_apart(n, m, percent))
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     for end in ("x", "y"):
-        side = nodes.selectExpr(f"node AS {end}", f"doc_id AS doc_{end}", f"n_shingles AS n_{end}", f"sketch AS sketch_{end}")
+        side = nodes.selectExpr(f"node AS {end}", f"n_shingles AS n_{end}", f"sketch AS sketch_{end}")
         pairs = pairs.join(side.hint("merge"), end)
-    id_type = nodes.schema["doc_id"].dataType.simpleString()
-    return pairs.mapInArrow(test, f"x bigint, y bigint, doc_x {id_type}, doc_y {id_type}")
+    return pairs.mapInArrow(test, "x bigint, y bigint")
+
+
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, text)`` for each of ``nodes(node, digest)``: one text that has the set, whatever its id."""
+    found = docs.selectExpr(f"{TEXT_DIGEST} AS digest", "text").join(nodes.hint("merge"), "digest")
+    return found.dropDuplicates(["node"]).select("node", "text")
+
 
+def _verified(close: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs of ``close(x, y)`` that link, by an exact comparison of the sets of both texts.
 
-def _verified(close: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs of ``close(x, y, doc_x, doc_y)`` that link, by an exact comparison of the sets of both texts."""
+    The text of ``y`` travels once for up to about ``VERIFIED`` of its partners, whose texts follow it in one stream.
+    """
     def compare(batches):
-        last_text, last = None, None
+        of, ours = None, None
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("text_x").to_pylist(), batch.column("text_y").to_pylist()):
-                if b != last_text:
-                    last_text, last = b, shingle_hashes(b, words)
-                keep.append(jaccard_links(shingle_hashes(a, words), last, percent))
-            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
-
-    # an id may have several rows, of which one is the text of the set: others fail the comparison
-    for end in ("x", "y"):
-        close = close.join(docs.selectExpr(f"doc_id AS doc_{end}", f"text AS text_{end}"), f"doc_{end}")
-    return close.select("x", "y", "text_x", "text_y").mapInArrow(compare, "x bigint, y bigint")
+            for part in slices(batch, SLICE):
+                keep, shard, x = [], part.column("part").to_pylist(), part.column("x").to_pylist()
+                for i, (y, hashes) in enumerate(zip(part.column("y").to_pylist(), shingle_sets(part.column("text"), words))):
+                    if x[i] is None:
+                        of, ours = (y, shard[i]), hashes
+                    keep.append(x[i] is not None and of == (y, shard[i]) and jaccard_links(hashes, ours, percent))
+                yield part.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    partners = close.groupBy("y").agg(F.expr(f"ceil(count(*) / {VERIFIED})").alias("parts"))
+    pairs = close.join(partners.hint("merge"), "y").selectExpr("y", "x", "pmod(xxhash64(x), parts) AS part")
+    heads = pairs.select("y", "part").distinct().join(texts.withColumnRenamed("node", "y").hint("merge"), "y").selectExpr(
+        "y", "part", "CAST(NULL AS bigint) AS x", "text")
+    others = pairs.join(texts.withColumnRenamed("node", "x").hint("merge"), "x").select("y", "part", "x", "text")
+    return heads.unionByName(others).repartition("y", "part").sortWithinPartitions("y", "part", "x").mapInArrow(
+        compare, "x bigint, y bigint")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -260,18 +284,34 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.where("coalesce(of_x, x) != coalesce(of_y, y)").select("x", "y")
 
 
-def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """``(x, y, doc_x, doc_y)``: pairs of different components in a group that their sketches do not rule out.
-
-    ``open_groups(key, node, n)`` has ``n`` members to a key. A group is laid out in blocks of at most about
-    ``GROUP_BLOCK`` members; each two of its blocks meet in one row, where their sketches are compared. Only
-    pairs that pass leave the task. Keys with the same few members are one group.
-    """
+def _within(groups: DataFrame, percent: int) -> DataFrame:
+    """``(x, y)``, each once: members of one of ``groups(members)``, of at most ``GROUP_BLOCK`` members, that are in
+    different components and near enough in size. Only numbers are compared here."""
+    def pairs(batches):
+        for batch in batches:
+            for part in slices(batch, SLICE):
+                lists = part.column(0)
+                ends = lists.offsets.to_numpy().astype(np.int64)
+                node, label, size = (lists.values.field(c).to_numpy() for c in ("node", "label", "n_shingles"))
+                found = [np.empty((0, 2), np.int64)]
+                for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                    of, n = label[start:end], size[start:end]
+                    near = percent * np.maximum(n[:, None], n) <= 100 * np.minimum(n[:, None], n)
+                    i, j = np.nonzero(np.triu(near & (of[:, None] != of), 1))
+                    found.append(np.sort(np.column_stack([node[start + i], node[start + j]]), axis=1))
+                x, y = np.unique(np.concatenate(found), axis=0).T
+                yield pa.RecordBatch.from_arrays([pa.array(x.copy()), pa.array(y.copy())], ["x", "y"])
+
+    return groups.select("members").mapInArrow(pairs, "x bigint, y bigint").distinct()
+
+
+def _between(blocks: DataFrame, percent: int) -> DataFrame:
+    """``(x, y)``, each once: members of larger groups, laid out in ``blocks(key, blocks, block, members)``, that are in
+    different components and whose sketches do not rule out a link. Each two blocks of a group meet in one row."""
     def columns(block: dict) -> tuple[np.ndarray, ...]:
         members = block["members"]
-        sketches = [np.frombuffer(m["sketch"], np.uint8) for m in members]
         return (*(np.array([m[c] for m in members], np.int64) for c in ("node", "label", "n_shingles")),
-                np.array([m["doc_id"] for m in members], object), sketches)
+                [np.frombuffer(m["sketch"], np.uint8) for m in members])
 
     def folded(sketches: list[np.ndarray], size: int) -> np.ndarray:
         out = []
@@ -283,41 +323,54 @@ def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent
 
     def compare(batches):
         for batch in batches:
-            found = []
-            for row in batch.to_pylist():
+            for part in slices(batch, 1):
+                found = set()
+                row = part.to_pylist()[0]
                 a, b = columns(row["left"]), columns(row["right"])
-                size = min(map(len, a[4] + b[4]))
-                ours, theirs = folded(a[4], size), folded(b[4], size)
+                size = min(map(len, a[3] + b[3]))
+                ours, theirs = folded(a[3], size), folded(b[3], size)
                 for i in range(len(ours)):
                     apart = np.bitwise_count(theirs ^ ours[i]).sum(1, dtype=np.int64)
                     smaller, larger = np.minimum(b[2], a[2][i]), np.maximum(b[2], a[2][i])
                     close = ((b[1] != a[1][i]) & (percent * larger <= 100 * smaller)
                              & (apart <= (100 - percent) * (smaller + larger) // (100 + percent)))
-                    found += [(int(a[0][i]), int(b[0][j]), a[3][i], b[3][j]) if a[0][i] < b[0][j]
-                              else (int(b[0][j]), int(a[0][i]), b[3][j], a[3][i]) for j in np.flatnonzero(close)]
-            kinds = batch.schema.field("left").type.field("members").type.value_type.field("doc_id").type
-            x, y, doc_x, doc_y = zip(*set(found)) if found else [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(doc_x, kinds), pa.array(doc_y, kinds)],
-                ["x", "y", "doc_x", "doc_y"])
-
-    lists = open_groups.withColumn("blocks", F.expr(f"CAST(ceil(n / {GROUP_BLOCK}) AS int)")).withColumn(
-        "block", F.expr("CAST(pmod(xxhash64(node), blocks) AS int)")).groupBy("key", "blocks", "block").agg(
-        F.expr("sort_array(collect_list(node)) AS ids")).withColumn(
-        "key", F.expr("IF(blocks = 1, xxhash64(ids), key)")).dropDuplicates(["key", "blocks", "block"])
-    known = nodes.join(labels.hint("merge"), "node", "left").withColumn("label", F.expr("coalesce(component, node)"))
-    blocks = written(lists.select("key", "blocks", "block", F.explode("ids").alias("node")).join(
-        known.hint("merge"), "node").groupBy("key", "blocks", "block").agg(
-        F.collect_list(F.struct("node", "label", "n_shingles", "doc_id", "sketch")).alias("members")), "blocks")
-    # the table of blocks is read by the result and stays
-    alone = blocks.where("blocks = 1").selectExpr("struct(members) AS left", "struct(members) AS right")
-    several = blocks.where("blocks > 1")
-    left = several.selectExpr("key", "blocks", "struct(members) AS left", "block AS low",
+                    x = int(a[0][i])
+                    found.update((min(x, y), max(x, y)) for y in b[0][close].tolist())
+                x, y = zip(*found) if found else [[]] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
+
+    left = blocks.selectExpr("key", "blocks", "struct(members) AS left", "block AS low",
                              "explode(sequence(block, blocks - 1)) AS high")
-    right = several.selectExpr("key", "blocks", "struct(members) AS right", "block AS high", "explode(sequence(0, block)) AS low")
-    id_type = nodes.schema["doc_id"].dataType.simpleString()
-    return left.join(right.hint("merge"), ["key", "blocks", "low", "high"]).select("left", "right").unionByName(alone).mapInArrow(
-        compare, f"x bigint, y bigint, doc_x {id_type}, doc_y {id_type}").distinct()
+    right = blocks.selectExpr("key", "blocks", "struct(members) AS right", "block AS high", "explode(sequence(0, block)) AS low")
+    return left.join(right.hint("merge"), ["key", "blocks", "low", "high"]).select("left", "right").mapInArrow(
+        compare, "x bigint, y bigint").distinct()
+
+
+def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The written pairs ``(x, y)`` of different components in a group that their sketches do not rule out.
+
+    ``open_groups(key, node, n)`` has ``n`` members to a key. Groups of up to ``GROUP_BLOCK`` members give their
+    pairs as numbers, and each pair meets its sketches once, in however many groups it is. Larger groups are laid
+    out in blocks with sketches, and only pairs that pass leave the task. Keys with the same few members are one group.
+    """
+    sized = nodes.join(labels.hint("merge"), "node", "left").selectExpr(
+        "node", "coalesce(component, node) AS label", "n_shingles")
+    member = F.struct("node", "label", "n_shingles")
+    small = open_groups.where(f"n <= {GROUP_BLOCK}").join(sized.hint("merge"), "node").groupBy("key").agg(
+        F.sort_array(F.collect_list(member)).alias("members")).dropDuplicates(["members"])
+    narrow = written(_within(small, percent), "pairs")
+    close = written(_close(narrow, nodes, percent), "close")
+    discard(narrow)
+    large = open_groups.where(f"n > {GROUP_BLOCK}").withColumn(
+        "blocks", F.expr(f"CAST(ceil(n / {GROUP_BLOCK}) AS int)")).withColumn(
+        "block", F.expr("CAST(pmod(xxhash64(node), blocks) AS int)"))
+    blocks = written(large.join(sized.hint("merge"), "node").join(
+        nodes.select("node", "sketch").hint("merge"), "node").groupBy("key", "blocks", "block").agg(
+        F.collect_list(F.struct("node", "label", "n_shingles", "sketch")).alias("members")), "blocks")
+    both = written(close.union(_between(blocks, percent)).distinct(), "close")
+    discard(blocks)
+    discard(close)
+    return both
 
 
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -326,12 +379,14 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     Two documents link when ``100 * intersection >= percent * union`` of their sets of word shingles;
     ``component_id`` is the smallest id that can be reached. Null, empty and blank texts have an empty set and
     link with nothing. Equal sets are one node from the start, so copies and repeated rows cost nothing
-    further. A null id is in the component of its text.
+    further. A null id links like any other, is never the smallest, and is in the component of its text; an id
+    with several texts links by each of them, in a row each.
     """
     docs = docs.selectExpr("doc_id", "CAST(text AS binary) AS text")
     sets = written(_document_sets(docs, words), "sets")
     nodes = written(sets.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes")
+        F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.max("n_shingles").alias("n_shingles"),
+        F.max("sketch").alias("sketch")), "nodes")
     rows = sets.count()
     members = _members(docs, rows, words, percent, _frequent(docs, rows, words))
 
@@ -343,12 +398,13 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
         "key", "best.node AS y", "best.weight AS weight"), "centers")
     first = written(members.withColumnRenamed("node", "x").join(centers.hint("merge"), "key").where(
         "x != y").groupBy("x", "y").agg(F.max("weight").alias("weight")), "first")
-    discard(weighed)
     discard(centers)
+    texts = written(_texts(docs, nodes.select("node", "digest").join(weighed.select("node").hint("merge"), "node")), "texts")
+    discard(weighed)
 
     def linked(pairs: DataFrame) -> DataFrame:
         close = written(_close(pairs, nodes, percent), "close")
-        out = written(_verified(close, docs, words, percent), "links")
+        out = written(_verified(close, texts, words, percent), "links")
         discard(close)
         return out
 
@@ -367,10 +423,11 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
         "low < high").select("key", "n")
     open_groups = written(labelled.select("key", "node").join(mixed.hint("merge"), "key"), "open")
     discard(members)
-    across = written(_across(open_groups, nodes, labels, percent), "close")
+    across = _across(open_groups, nodes, labels, percent)
     discard(open_groups)
-    more = written(_verified(across, docs, words, percent), "links")
+    more = written(_verified(across, texts, words, percent), "links")
     discard(across)
+    discard(texts)
 
     found = components(links.unionByName(more).toDF("a", "b")).join(nodes.select("node", "doc_id"), "node")
     smallest = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,6 +63,12 @@ def joined(first: pa.RecordBatch, second: pa.RecordBatch) -> pa.RecordBatch:
     return pa.Table.from_batches([first, second]).combine_chunks().to_batches()[0]
 
 
+def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of at most ``rows`` rows."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def frequent_values(rows: DataFrame, least: int) -> list[int]:
     """Values of the one column of ``rows`` that occur ``least`` times or more; for rows of a bounded sample."""
     name = rows.columns[0]

@@ -8,10 +8,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from edgeloom.llm import jaccard, lm, mixing, packing, qda, rules, suffix, textstats, tokens, topk, warc
+from edgeloom.llm import jaccard, lm, mixing, packing, qda, rules, suffix, textstats, tokens, topk, warc, words
 from edgeloom.llm.components import components
 from edgeloom.llm.queries import tokenizer_path
 from edgeloom.plans import scratch_path
@@ -215,6 +216,38 @@ def test_similar_documents(docs, nothing, monkeypatch, words, percent, block):
     assert jaccard.similar_documents(nothing).count() == 0
 
 
+def test_rows_without_id_and_ids_of_several_texts_link(spark):
+    words = sentence(random.Random(8), 200).split()
+    near = [" ".join(["new"] * k + words[k:]) for k in (0, 12, 24)]
+    other = sentence(random.Random(9), 150)
+    rows = [(4, near[0]), (None, near[1]), (7, near[2]), (9, other), (9, f"{other} more"), (8, other.replace(" ", "  ")),
+            (None, "alone and without an id"), (3, "short"), (5, "Short")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(2)
+    got = collected(jaccard.similar_documents(docs).select("doc_id", "component_id"))
+    assert got == Counter([(4, 4), (None, 4), (7, 4), (9, 8), (9, 8), (8, 8), (None, None), (3, 3), (5, 3)])
+
+
+def test_hashes_of_words():
+    rng = random.Random(3)
+    found = [" A\tb\x0bcc\x00 \u3000é ".encode(), None, b"", b"B a", b"x" * 70_000 + b" a", sentence(rng, 300).encode(), b" \n"]
+    split = [(t or b"").lower().split() for t in found]
+    assert [len(words.text_hashes(t)) for t in found] == list(map(len, split))
+    number = {}
+    for t, own in zip(found, split):
+        for w, h in zip(own, words.text_hashes(t).tolist()):
+            assert number.setdefault(w, h) == h
+    assert len(set(number.values())) == len(number)
+    for size in (1, 50, 1 << 20):
+        words.GROUP_BYTES, before = size, words.GROUP_BYTES
+        try:
+            column = pa.array([b"cut", *found], pa.binary()).slice(1)
+            flat = [h for _, hashes, _ in words.word_groups(column) for h in hashes.tolist()]
+            counts = [n for _, _, own in words.word_groups(column) for n in own.tolist()]
+        finally:
+            words.GROUP_BYTES = before
+        assert counts == list(map(len, split)) and flat == [number[w] for own in split for w in own]
+
+
 def test_chunks_of_linked_sets_meet():
     rng = np.random.default_rng(5)
     for percent in (80, 85, 95):
