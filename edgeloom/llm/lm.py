@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.tables import written
+from edgeloom.llm.words import text_hashes
 from edgeloom.plans import discard
 
 DEPTH = 2
@@ -41,10 +42,7 @@ END = xxhash.xxh3_64_intdigest(b" ") - (1 << 63)  # no word is blank
 
 def word_hashes(text: bytes | None) -> np.ndarray:
     """A 64-bit hash for each word, and the end."""
-    words = (text or b"").lower().split()  # bytes: only A-Z are lowered
-    numbers: dict[bytes, int] = {}
-    ids = [numbers.setdefault(w, len(numbers)) for w in words] + [len(numbers)]
-    return np.array([xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in numbers] + [END], np.int64)[ids]
+    return np.append(text_hashes(text).view(np.int64), END)
 
 
 def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
