@@ -33,6 +33,7 @@ FREQUENT_SAMPLE = 5_000  # documents looked at for very frequent shingles; steer
 FREQUENT_AT = 10
 HOT_AT = 50  # of the sample's documents: keys whose rows are spread over tasks
 GROUP_BLOCK = 256  # members of a group whose sketches are compared in one row
+FOLD_BYTES = 128  # of a sketch that go along with the members of a small group, at most
 VERIFIED = 500  # partners that follow one copy of a text to its comparison, about
 SLICE = 64  # rows of a batch that are unpacked at once
 TEXT_DIGEST = "xxhash64(text)"
@@ -149,13 +150,23 @@ def folded_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8))
 
 
+def folded_to(sketch: np.ndarray, size: int) -> np.ndarray:
+    """A sketch of at most ``size`` bytes, with no more bits that differ."""
+    while len(sketch) > size:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
+
+
+def alike(sketches: list[np.ndarray]) -> np.ndarray:
+    """The sketches at the size of the smallest, a row of 64-bit numbers each."""
+    size = min(map(len, sketches))
+    return np.array([folded_to(sketch, size) for sketch in sketches]).view(np.uint64)
+
+
 def sketch_distance(a: np.ndarray, b: np.ndarray) -> int:
     """Differing bits of two folded sketches; the larger is folded to the size of the smaller."""
-    if len(a) < len(b):
-        a, b = b, a
-    while len(a) > len(b):
-        a = a[:len(a) // 2] ^ a[len(a) // 2:]
-    return int(np.bitwise_count(a ^ b).sum())
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(folded_to(a, size) ^ folded_to(b, size)).sum())
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -167,21 +178,25 @@ def _set_digest(hashes: np.ndarray) -> int:
 
 
 def _document_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, digest, n_shingles, node, sketch)``; ``node`` stands for the set, and is null for an empty one."""
+    """``(doc_id, digest, n_shingles, node, sketch, fold)``; ``node`` stands for the set, and is null for an empty one.
+    ``fold`` is the sketch in at most ``FOLD_BYTES``."""
     def digest(batches):
         for batch in batches:
-            sizes, nodes, sketches = [], [], []
+            sizes, nodes, sketches, folds = [], [], [], []
             for hashes in shingle_sets(batch.column(2), words):
                 sizes.append(len(hashes))
                 nodes.append(_set_digest(hashes) if len(hashes) else None)
-                sketches.append(folded_sketch(hashes).tobytes() if len(hashes) else None)
+                sketch = folded_sketch(hashes) if len(hashes) else None
+                sketches.append(None if sketch is None else sketch.tobytes())
+                folds.append(None if sketch is None else folded_to(sketch, FOLD_BYTES).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())],
-                ["doc_id", "digest", "n_shingles", "node", "sketch"])
+                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()),
+                 pa.array(folds, pa.binary())],
+                ["doc_id", "digest", "n_shingles", "node", "sketch", "fold"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.selectExpr("doc_id", f"{TEXT_DIGEST} AS digest", "text").mapInArrow(
-        digest, f"doc_id {id_type}, digest bigint, n_shingles bigint, node bigint, sketch binary")
+        digest, f"doc_id {id_type}, digest bigint, n_shingles bigint, node bigint, sketch binary, fold binary")
 
 
 def _frequent(docs: DataFrame, rows: int, words: int) -> np.ndarray:
@@ -286,18 +301,22 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _within(groups: DataFrame, percent: int) -> DataFrame:
     """``(x, y)``, each once: members of one of ``groups(members)``, of at most ``GROUP_BLOCK`` members, that are in
-    different components and near enough in size. Only numbers are compared here."""
+    different components and that neither sizes nor folds rule out."""
     def pairs(batches):
         for batch in batches:
             for part in slices(batch, SLICE):
                 lists = part.column(0)
                 ends = lists.offsets.to_numpy().astype(np.int64)
                 node, label, size = (lists.values.field(c).to_numpy() for c in ("node", "label", "n_shingles"))
+                folds = [np.frombuffer(f, np.uint8) for f in lists.values.field("fold").to_pylist()]
                 found = [np.empty((0, 2), np.int64)]
                 for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                    of, n = label[start:end], size[start:end]
-                    near = percent * np.maximum(n[:, None], n) <= 100 * np.minimum(n[:, None], n)
-                    i, j = np.nonzero(np.triu(near & (of[:, None] != of), 1))
+                    of, n, bits = label[start:end], size[start:end], alike(folds[start:end])
+                    smaller, larger = np.minimum(n[:, None], n), np.maximum(n[:, None], n)
+                    apart = np.bitwise_count(bits[:, None] ^ bits).sum(2, dtype=np.int64)
+                    near = ((of[:, None] != of) & (percent * larger <= 100 * smaller)
+                            & (apart <= (100 - percent) * (smaller + larger) // (100 + percent)))
+                    i, j = np.nonzero(np.triu(near, 1))
                     found.append(np.sort(np.column_stack([node[start + i], node[start + j]]), axis=1))
                 x, y = np.unique(np.concatenate(found), axis=0).T
                 yield pa.RecordBatch.from_arrays([pa.array(x.copy()), pa.array(y.copy())], ["x", "y"])
@@ -313,22 +332,14 @@ def _between(blocks: DataFrame, percent: int) -> DataFrame:
         return (*(np.array([m[c] for m in members], np.int64) for c in ("node", "label", "n_shingles")),
                 [np.frombuffer(m["sketch"], np.uint8) for m in members])
 
-    def folded(sketches: list[np.ndarray], size: int) -> np.ndarray:
-        out = []
-        for sketch in sketches:
-            while len(sketch) > size:
-                sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
-            out.append(sketch)
-        return np.array(out).view(np.uint64)
-
     def compare(batches):
         for batch in batches:
             for part in slices(batch, 1):
                 found = set()
                 row = part.to_pylist()[0]
                 a, b = columns(row["left"]), columns(row["right"])
-                size = min(map(len, a[3] + b[3]))
-                ours, theirs = folded(a[3], size), folded(b[3], size)
+                both = alike(a[3] + b[3])
+                ours, theirs = both[:len(a[3])], both[len(a[3]):]
                 for i in range(len(ours)):
                     apart = np.bitwise_count(theirs ^ ours[i]).sum(1, dtype=np.int64)
                     smaller, larger = np.minimum(b[2], a[2][i]), np.maximum(b[2], a[2][i])
@@ -349,22 +360,23 @@ def _between(blocks: DataFrame, percent: int) -> DataFrame:
 def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """The written pairs ``(x, y)`` of different components in a group that their sketches do not rule out.
 
-    ``open_groups(key, node, n)`` has ``n`` members to a key. Groups of up to ``GROUP_BLOCK`` members give their
-    pairs as numbers, and each pair meets its sketches once, in however many groups it is. Larger groups are laid
+    ``open_groups(key, node, n)`` has ``n`` members to a key. Groups of up to ``GROUP_BLOCK`` members compare their
+    folds, and a pair that these leave meets its sketches once, in however many groups it is. Larger groups are laid
     out in blocks with sketches, and only pairs that pass leave the task. Keys with the same few members are one group.
     """
     sized = nodes.join(labels.hint("merge"), "node", "left").selectExpr(
-        "node", "coalesce(component, node) AS label", "n_shingles")
-    member = F.struct("node", "label", "n_shingles")
+        "node", "coalesce(component, node) AS label", "n_shingles", "fold")
+    member = F.struct("node", "label", "n_shingles", "fold")
     small = open_groups.where(f"n <= {GROUP_BLOCK}").join(sized.hint("merge"), "node").groupBy("key").agg(
-        F.sort_array(F.collect_list(member)).alias("members")).dropDuplicates(["members"])
+        F.sort_array(F.collect_list(member)).alias("members")).withColumn(
+        "same", F.xxhash64("members.node")).dropDuplicates(["same"])
     narrow = written(_within(small, percent), "pairs")
     close = written(_close(narrow, nodes, percent), "close")
     discard(narrow)
     large = open_groups.where(f"n > {GROUP_BLOCK}").withColumn(
         "blocks", F.expr(f"CAST(ceil(n / {GROUP_BLOCK}) AS int)")).withColumn(
         "block", F.expr("CAST(pmod(xxhash64(node), blocks) AS int)"))
-    blocks = written(large.join(sized.hint("merge"), "node").join(
+    blocks = written(large.join(sized.drop("fold").hint("merge"), "node").join(
         nodes.select("node", "sketch").hint("merge"), "node").groupBy("key", "blocks", "block").agg(
         F.collect_list(F.struct("node", "label", "n_shingles", "sketch")).alias("members")), "blocks")
     both = written(close.union(_between(blocks, percent)).distinct(), "close")
@@ -386,7 +398,7 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     sets = written(_document_sets(docs, words), "sets")
     nodes = written(sets.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.max("n_shingles").alias("n_shingles"),
-        F.max("sketch").alias("sketch")), "nodes")
+        F.max("sketch").alias("sketch"), F.max("fold").alias("fold")), "nodes")
     rows = sets.count()
     members = _members(docs, rows, words, percent, _frequent(docs, rows, words))
 
