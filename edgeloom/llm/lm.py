@@ -6,8 +6,11 @@ word. A state gives part of its probability to the symbols it has seen, and the
 the root, which knows every word. A symbol is scored from the longest state that ends before it.
 
 An n-gram counts if it occurs ``LEAST`` times, whatever the size of the corpus. N-grams, states and their values
-are Spark tables; the most frequent ones are also sent to the tasks, which saves rows in joins and changes no
-result. Bit filters do the same: what they let through in error finds nothing in its join.
+are Spark tables; the most frequent ones are also sent to the tasks, which saves lookups and changes no
+result. Bit filters do the same: what they let through in error is dropped by its count, or finds no value.
+
+Keys of n-grams travel in packs: a task folds those of many texts and has one row for each of ``PARTS`` ranges of
+their hash, so that shuffles move few and long rows.
 
 A text's score is a sum over its n-grams. To the root's part for each word, a state adds what it leaves to its suffix for
 each of its occurrences, and an n-gram after a state adds the probability it has there over the one it
@@ -16,6 +19,7 @@ would have had.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,16 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.tables import written
-from edgeloom.llm.words import text_hashes
+from edgeloom.llm.words import text_hashes, word_groups
 from edgeloom.plans import discard
 
-DEPTH = 2
+DEPTH = 4
 SHARE = 1e-6  # of all tokens: n-grams that are sent to the tasks, at most 1 / SHARE of a length
 LEAST = 5  # occurrences of an n-gram in the tree at least
 DISCOUNT = 0.5
 ADD = 0.1
 PENALTY = 0.5
 FLUSH = 2_000_000  # n-grams that a task folds at once
+PARTS = 256  # ranges of hashed keys, a pack for each
 MAX_BITS = 1 << 29  # of a filter; a larger tree lets more through
 
 END = xxhash.xxh3_64_intdigest(b" ") - (1 << 63)  # no word is blank
@@ -68,38 +73,118 @@ def all_keys(hashes: np.ndarray, depth: int) -> list[np.ndarray]:
     return keys
 
 
+def token_groups(batches) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
+    """``(batch, first, hashes, text)`` for groups of consecutive texts, the last column of ``batches``: the number of the
+    first one in its batch, the hashes of their tokens, ends included, and the number of each token's text in the group."""
+    for batch in batches:
+        for first, hashes, sizes in word_groups(batch.column(batch.num_columns - 1)):
+            yield (batch, first, np.insert(hashes.view(np.int64), np.cumsum(sizes), END),
+                   np.repeat(np.arange(len(sizes)), sizes + 1))
+
+
+def _ranges(part: np.ndarray) -> list[slice]:
+    """The slices of each of the ``PARTS`` in the sorted ``part``."""
+    ends = np.searchsorted(part, np.arange(PARTS + 1))
+    return [slice(a, b) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def _packs(part: np.ndarray, names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each part that has any: its number and the bytes of its slice of each column."""
+    own = [(k, s) for k, s in enumerate(_ranges(part)) if s.stop > s.start]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in own], pa.int32())] + [pa.array([c[s].tobytes() for _, s in own], pa.binary()) for c in columns],
+        ["part", *names.split()])
+
+
+def _by_part(packs, kinds: list[type]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The columns of each part, whose packs come one after the other."""
+    held, number = [], None
+    for batch in packs:
+        for part, *columns in zip(*(c.to_pylist() for c in batch.columns)):
+            if part != number and held:
+                yield number, [np.concatenate(c) for c in zip(*held)]
+                held = []
+            number = part
+            held.append([np.frombuffer(c, kind) for c, kind in zip(columns, kinds)])
+    if held:
+        yield number, [np.concatenate(c) for c in zip(*held)]
+
+
+def _short(keys: np.ndarray) -> np.ndarray:
+    """40 bits of each key: its part, then 32 more."""
+    return (keys & PARTS - 1) << 32 | keys >> 8 & 0xFFFFFFFF
+
+
 @dataclass
 class Filter:
-    """Two bits for each key that was put in."""
+    """Two bits for each key that was put in, in a segment of ``size`` bits for each part."""
 
+    size: int
     words: np.ndarray
 
+    @staticmethod
+    def places(short: np.ndarray, size: int) -> list[np.ndarray]:
+        return [short >> shift & size - 1 for shift in (0, 11)]
+
     def may_have(self, keys: np.ndarray) -> np.ndarray:
-        size = len(self.words) * 64
-        found = np.ones(len(keys), bool)
-        for shift in (0, 32):
-            at = keys >> shift & size - 1
-            found &= (self.words[at >> 6] >> (at & 63) & 1).astype(bool)
-        return found
+        found = np.arange(len(keys))
+        for shift in (0, 11):
+            at = (keys[found] & PARTS - 1) * self.size + (keys[found] >> 8 + shift & (1 << 32 - shift) - 1 & self.size - 1)
+            found = found[(self.words[at >> 6] >> (at & 63) & 1).astype(bool)]
+        mask = np.zeros(len(keys), bool)
+        mask[found] = True
+        return mask
+
+
+def _filter(packs: DataFrame, keys: int, least: int) -> Filter:
+    """A filter of what occurs ``least`` times in ``packs(part, short, n)``, made for about ``keys``; the driver gets its
+    bits alone."""
+    size = min(MAX_BITS, 1 << max(14, int(16 * keys).bit_length())) // PARTS
+
+    def segments(batches):
+        for part, (short, n) in _by_part(batches, [np.uint32, np.uint8]):
+            order = np.argsort(short)
+            short, n = short[order], n[order]
+            first = np.flatnonzero(np.append(True, short[1:] != short[:-1]))
+            often = short[first[np.add.reduceat(n, first, dtype=np.int64) >= least]].astype(np.int64)
+            bits = np.zeros(size, bool)
+            for at in Filter.places(often, size):
+                bits[at] = True
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()])],
+                                             ["part", "bits"])
+
+    rows = packs.repartition("part").sortWithinPartitions("part").mapInArrow(segments, "part int, bits binary").toArrow()
+    words = np.zeros((PARTS, size >> 6), np.int64)
+    for part, bits in zip(rows["part"].to_pylist(), rows["bits"].to_pylist()):
+        words[part] = np.frombuffer(bits, np.int64)
+    return Filter(size, words.ravel())
+
+
+def _short_packs(keys: np.ndarray) -> pa.RecordBatch:
+    short, n = np.unique(_short(keys), return_counts=True)
+    return _packs(short >> 32, "short n", short.astype(np.uint32), np.minimum(n, 255).astype(np.uint8))
 
 
 def filter_of(keys: DataFrame) -> Filter:
-    """A filter of the one column of ``keys``; the driver gets its bits alone."""
-    n = keys.count()
-    size = min(MAX_BITS, 1 << max(10, int(16 * n).bit_length()))
-    name = keys.columns[0]
-    at = keys.selectExpr(f"explode(array({name} & {size - 1}L, shiftright({name}, 32) & {size - 1}L)) AS at")
-    rows = at.groupBy(F.expr("shiftright(at, 6) AS word")).agg(
-        F.expr("bit_or(shiftleft(1L, CAST(at & 63 AS int))) AS bits")).toArrow()
-    words = np.zeros(size >> 6, np.int64)
-    words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return Filter(words)
+    """A filter of the one column of ``keys``."""
+    def pack(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy())
+            rows += batch.num_rows
+            if rows >= FLUSH:
+                yield _short_packs(np.concatenate(held))
+                held, rows = [], 0
+        if rows:
+            yield _short_packs(np.concatenate(held))
+
+    return _filter(keys.mapInArrow(pack, "part int, short binary, n binary"), keys.count(), 1)
 
 
 @dataclass
 class Tree:
     """The frequent part of the tree: sorted keys of words with ``log_root``, and of n-grams with what they add
-    (``gain``) and what they add where a word follows (``rest``)."""
+    (``gain``) and what they add where a word follows (``rest``). ``all_grams`` has those that are not frequent too."""
 
     total: int = 0
     distinct: int = 0
@@ -109,89 +194,131 @@ class Tree:
     grams: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     gain: np.ndarray = field(default_factory=lambda: np.empty(0))
     rest: np.ndarray = field(default_factory=lambda: np.empty(0))
-    others: Filter = field(default_factory=lambda: Filter(np.zeros(16, np.int64)))
+    all_grams: Filter = field(default_factory=lambda: Filter(64, np.zeros(PARTS, np.int64)))
 
     @property
     def log_scale(self) -> float:
         return float(np.log10(self.total + ADD * (self.distinct + 1)))
 
-    @property
-    def log_rest(self) -> list[np.ndarray]:
-        return [self.rest]
+    def parts(self, hashes: np.ndarray, text: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(frequent words, base, score)`` of each of some texts, and ``(keys, their texts)`` that the tables may add to.
 
-    def _score(self, hashes: np.ndarray) -> tuple[int, float, float, np.ndarray, list[np.ndarray]]:
+        ``text`` numbers the text of each token. Words that are not frequent are scored as if they were new, and are
+        among the keys.
+        """
         word = find(self.words, hashes)
         known = word >= 0
-        base = float(self.log_root[word[known]].sum())
-        total, open_grams = base, []
+        values = np.full(len(hashes), np.log10(ADD) - self.log_scale)
+        values[known] = self.log_root[word[known]]
+        base = np.bincount(text, values, texts)
+        total, keys_left, texts_left = base.copy(), [hashes[~known]], [text[~known]]
         for k, keys in enumerate(all_keys(hashes, self.depth)):
-            at = find(self.grams, keys)
-            total += float(self.gain[at[at >= 0]].sum() + self.rest[at[:-1][at[:-1] >= 0]].sum())
+            own = text[:len(keys)]
+            some = np.flatnonzero((own == text[k:]) & self.all_grams.may_have(keys))
+            at = find(self.grams, keys[some])
+            held, at = some[at >= 0], at[at >= 0]
+            follows = np.append(text, -1)[held + k + 1] == own[held]
+            total += np.bincount(own[held], self.gain[at] + np.where(follows, self.rest[at], 0), texts)
             if k:
-                left = keys[at < 0]
-                open_grams.append(left[self.others.may_have(left)])
-        return int(known.sum()), base, total, hashes[~known], open_grams
-
-    def score(self, hashes: np.ndarray) -> tuple[int, float, float, np.ndarray]:
-        """``(frequent words, base, score, rest)``; base and score are without the root's part for ``rest``,
-        the words that are not frequent, and without n-grams that are not."""
-        return self._score(hashes)[:4]
+                left = np.setdiff1d(some, held, assume_unique=True)
+                keys_left.append(keys[left])
+                texts_left.append(own[left])
+        return np.bincount(text[known], minlength=texts), base, total, np.concatenate(keys_left), np.concatenate(texts_left)
 
-    def parts(self, hashes: np.ndarray) -> tuple[int, float, float, np.ndarray]:
-        """The same, with ``rest`` scored as if they were new, and followed by keys that may be in the tables."""
-        known, base, total, rest, open_grams = self._score(hashes)
-        new = len(rest) * (float(np.log10(ADD)) - self.log_scale)
-        return known, base + new, total + new, np.concatenate([rest, *open_grams])
+    def score(self, hashes: np.ndarray) -> float:
+        """The score of one text as far as the frequent part knows it."""
+        return float(self.parts(hashes, np.zeros(len(hashes), np.int64), 1)[2][0])
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
-    """``(gram, c)``, summed within batches before the shuffle."""
+    """``(gram, c)``, summed within tasks before the shuffle."""
+    def folded(held):
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
+
     def count(batches):
-        for batch in batches:
-            found = [word_hashes(t) for t in batch.column(0).to_pylist()]
-            keys, counts = np.unique(np.concatenate(found or [np.empty(0, np.int64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
+        held, rows = [], 0
+        for _, _, hashes, _ in token_groups(batches):
+            held.append(hashes)
+            rows += len(hashes)
+            if rows >= FLUSH:
+                yield folded(held)
+                held, rows = [], 0
+        if held:
+            yield folded(held)
 
     return texts.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("c"))
 
 
-def _gram_counts(texts: DataFrame, k: int, parts: Filter) -> DataFrame:
-    """``(gram, context, suffix, c)`` for the n-grams of ``k + 1`` words that occur ``LEAST`` times: the keys of an
-    n-gram, of all its words but the last, and of all but the first. Both of these are as frequent and so in ``parts``."""
+def _often(texts: DataFrame, k: int, parts: Filter, tokens: int) -> Filter:
+    """A filter of the n-grams of ``k + 1`` words that occur ``LEAST`` times. Their first and their last ``k`` words
+    do as well, and are in ``parts``."""
     shared = texts.sparkSession.sparkContext.broadcast(parts)
 
-    def folded(contexts, suffixes):
-        context, suffix = np.concatenate(contexts), np.concatenate(suffixes)
-        _, first, n = np.unique(mixed(context, suffix), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(context[first]), pa.array(suffix[first]), pa.array(n)], ["context", "suffix", "n"])
+    def pack(batches):
+        held, rows = [], 0
+        for _, _, hashes, text in token_groups(batches):
+            context, suffix = _candidates(hashes, text, k, shared.value)
+            held.append(mixed(context, suffix))
+            rows += len(context)
+            if rows >= FLUSH:
+                yield _short_packs(np.concatenate(held))
+                held, rows = [], 0
+        if rows:
+            yield _short_packs(np.concatenate(held))
 
-    def count(batches):
-        contexts, suffixes, held = [], [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                hashes = word_hashes(text)
-                if len(hashes) <= k:
-                    continue
-                keys = all_keys(hashes, k - 1)[-1]
-                own = shared.value.may_have(keys)
-                some = np.flatnonzero(own[1:] & own[:-1])
-                contexts.append(keys[some])
-                suffixes.append(keys[some + 1])
-                held += len(some)
-                if held >= FLUSH:
-                    yield folded(contexts, suffixes)
-                    contexts, suffixes, held = [], [], 0
-        if held:
-            yield folded(contexts, suffixes)
+    return _filter(texts.mapInArrow(pack, "part int, short binary, n binary"), tokens // (4 * LEAST), LEAST)
 
-    def with_key(batches):
-        for batch in batches:
-            gram = mixed(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(gram), *batch.columns], ["gram", "context", "suffix", "c"])
 
-    return (texts.mapInArrow(count, "context bigint, suffix bigint, n bigint")
-            .groupBy("context", "suffix").agg(F.sum("n").alias("c")).where(f"c >= {LEAST}")
-            .mapInArrow(with_key, "gram bigint, context bigint, suffix bigint, c bigint"))
+def _candidates(hashes: np.ndarray, text: np.ndarray, k: int, parts: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the first and of the last ``k`` words of all ``k + 1`` words of a text where both may be in ``parts``."""
+    if len(hashes) <= k:
+        return hashes[:0], hashes[:0]
+    keys = all_keys(hashes, k - 1)[-1]
+    own = parts.may_have(keys)
+    some = np.flatnonzero(own[1:] & own[:-1] & (text[k:] == text[:-k]))
+    return keys[some], keys[some + 1]
+
+
+def _gram_counts(texts: DataFrame, k: int, parts: Filter, often: Filter) -> DataFrame:
+    """``(gram, context, suffix, c)`` for the n-grams of ``k + 1`` words that occur ``LEAST`` times: the keys of an
+    n-gram, of all its words but the last, and of all but the first. N-grams that are not in ``often`` stay in their task."""
+    shared = texts.sparkSession.sparkContext.broadcast((parts, often))
+
+    def folded(held):
+        context, suffix = map(np.concatenate, zip(*held))
+        gram = mixed(context, suffix)
+        _, first, n = np.unique(gram, return_index=True, return_counts=True)
+        order = np.argsort(gram[first] & PARTS - 1, kind="stable")
+        first = first[order]
+        return _packs(gram[first] & PARTS - 1, "context suffix n", context[first], suffix[first], n[order].astype(np.uint32))
+
+    def count(batches):
+        held, rows = [], 0
+        for _, _, hashes, text in token_groups(batches):
+            context, suffix = _candidates(hashes, text, k, shared.value[0])
+            some = shared.value[1].may_have(mixed(context, suffix))
+            held.append((context[some], suffix[some]))
+            rows += int(some.sum())
+            if rows >= FLUSH:
+                yield folded(held)
+                held, rows = [], 0
+        if rows:
+            yield folded(held)
+
+    def summed(batches):
+        for _, (context, suffix, n) in _by_part(batches, [np.int64, np.int64, np.uint32]):
+            gram = mixed(context, suffix)
+            order = np.argsort(gram)
+            gram, n = gram[order], n[order]
+            first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+            c = np.add.reduceat(n, first, dtype=np.int64)
+            first, c = first[c >= LEAST], c[c >= LEAST]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram[first], context[order[first]], suffix[order[first]], c)],
+                                             ["gram", "context", "suffix", "c"])
+
+    return (texts.mapInArrow(count, "part int, context binary, suffix binary, n binary").repartition("part").sortWithinPartitions("part")
+            .mapInArrow(summed, "gram bigint, context bigint, suffix bigint, c bigint"))
 
 
 def _states(grams: DataFrame, lower: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
@@ -235,8 +362,10 @@ def fit_tables(train: DataFrame, depth: int = DEPTH) -> tuple[int, int, DataFram
     scale = total + ADD * (distinct + 1)
     level = words.where(f"c >= {LEAST}").selectExpr("gram", "c", f"(c + {ADD}D) / {scale!r}D AS given")
     parts = train.sparkSession.createDataFrame([], "gram bigint, c bigint, gain double, rest double")
+    often = filter_of(level.select("gram"))
     for k in range(1, depth + 1):
-        grams = written(_gram_counts(texts, k, filter_of(level.select("gram"))), "grams")
+        shorter, often = often, _often(texts, k, often, total)
+        grams = written(_gram_counts(texts, k, shorter, often), "grams")
         level, states = _states(grams, level, total)
         parts = parts.union(level.where("gain != 0").selectExpr("gram", "c", "gain", "0D AS rest")).union(
             states.selectExpr("gram", "c", "0D AS gain", "rest"))
@@ -245,7 +374,7 @@ def fit_tables(train: DataFrame, depth: int = DEPTH) -> tuple[int, int, DataFram
 
 
 def frequent_part(total: int, distinct: int, words: DataFrame, model: DataFrame, depth: int, share: float) -> Tree:
-    """What is sent to the tasks: n-grams that make up at least ``share`` of all tokens, and a filter of the others."""
+    """What is sent to the tasks: n-grams that make up at least ``share`` of all tokens, and a filter of all."""
     tree = Tree(total, distinct, depth)
     often = f"c >= {max(LEAST, int(np.ceil(share * total)))}"
     rows = words.where(often).orderBy("gram").toArrow()
@@ -253,7 +382,7 @@ def frequent_part(total: int, distinct: int, words: DataFrame, model: DataFrame,
     tree.log_root = np.log10(rows["c"].to_numpy() + ADD) - tree.log_scale
     rows = model.where(often).orderBy("gram").toArrow()
     tree.grams, tree.gain, tree.rest = (rows[c].to_numpy().copy() for c in ("gram", "gain", "rest"))
-    tree.others = filter_of(model.where(f"NOT {often}").select("gram"))
+    tree.all_grams = filter_of(model.select("gram"))
     return tree
 
 
@@ -266,6 +395,96 @@ def fit(train: DataFrame, depth: int = DEPTH, share: float = SHARE) -> tuple[Tre
     return frequent_part(total, distinct, words, model, depth, share), words
 
 
+def _turned(keys: np.ndarray) -> np.ndarray:
+    """Keys with their part as the highest bits."""
+    keys = keys.view(np.uint64)
+    return keys << np.uint64(56) | keys >> np.uint64(8)
+
+
+def _asked(keys: list[np.ndarray], rows: list[np.ndarray]) -> tuple[pa.RecordBatch, int]:
+    """Packs of the keys that some rows ask for: each key once with the number of its rows, then these rows, counted from
+    the first, and how often each has the key. And the first row."""
+    key, row = _turned(np.concatenate(keys)), np.concatenate(rows)
+    first_row = int(row.min())
+    order = np.lexsort((row, key))
+    key, row = key[order], row[order]
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])))
+    times = np.diff(np.append(first, len(key)))
+    key, row = key[first], row[first]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    counts, part = np.diff(np.append(first, len(key))), (key >> np.uint64(56)).astype(np.int64)
+    once = _packs(part[first], "a b", key[first], counts.astype(np.uint32))
+    every = _packs(part, "c d", (row - first_row).astype(np.uint32), times.astype(np.uint32))
+    return pa.RecordBatch.from_arrays([*once.columns, *every.columns[1:]], ["part", "a", "b", "c", "d"]), first_row
+
+
+def _answers(asked: DataFrame, values: DataFrame) -> DataFrame:
+    """``(row, root, more, known)``: sums of ``values(gram, root, more, known)`` over what each row asks for; several
+    rows for one number. Tasks hold the values of their parts, and packs of one task at a time."""
+    def pack(batches):
+        def packed(held):
+            gram, *columns = (np.concatenate(c) for c in zip(*held))
+            key = _turned(gram)
+            order = np.argsort(key)
+            key = key[order]
+            return _packs((key >> np.uint64(56)).astype(np.int64), "a b c d", key, *(c[order] for c in columns))
+
+        held, rows = [], 0
+        for batch in batches:
+            held.append([c.to_numpy() for c in batch.columns])
+            rows += batch.num_rows
+            if rows >= FLUSH:
+                yield packed(held)
+                held, rows = [], 0
+        if rows:
+            yield packed(held)
+
+    def summed(held, first):
+        rows, *sums = (np.concatenate(c) for c in zip(*held))
+        rows, at = np.unique(rows, return_inverse=True)
+        root, more, known = (np.bincount(at, x) for x in sums)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows.astype(np.int64) + first), pa.array(root), pa.array(more), pa.array(known.astype(np.int64))],
+            ["row", "root", "more", "known"])
+
+    def answer(batches):
+        table, held, number = [], [], None
+        for batch in batches:
+            for kind, first, a, b, c, d in zip(*(x.to_pylist() for x in batch.columns[1:])):
+                if kind == 0:
+                    table.append((np.frombuffer(a, np.uint64), *(np.frombuffer(x, float) for x in (b, c, d))))
+                    continue
+                if isinstance(table, list):
+                    table = _sums_by_key(table)
+                if first != number and held:
+                    yield summed(held, number)
+                    held = []
+                number = first
+                at = find(table[0], np.frombuffer(a, np.uint64))
+                at = np.repeat(at, np.frombuffer(b, np.uint32))
+                some = at >= 0
+                at, times = at[some], np.frombuffer(d, np.uint32)[some]
+                held.append((np.frombuffer(c, np.uint32)[some], *(x[at] * times for x in table[1:])))
+        if held:
+            yield summed(held, number)
+
+    packs = values.mapInArrow(pack, "part int, a binary, b binary, c binary, d binary").selectExpr(
+        "part", "0 AS kind", "0L AS first", "a", "b", "c", "d")
+    return packs.union(asked.selectExpr("part", "1 AS kind", "row AS first", "a", "b", "c", "d")).repartition(
+        "part").sortWithinPartitions("kind", "first").mapInArrow(answer, "row bigint, root double, more double, known bigint")
+
+
+def _sums_by_key(table: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Sorted keys, and the sums of the other columns for each of them."""
+    if not table:
+        return np.empty(0, np.uint64), *[np.empty(0)] * 3
+    key, *columns = (np.concatenate(c) for c in zip(*table))
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[first], *(np.add.reduceat(c[order], first) for c in columns)
+
+
 def score_texts(docs: DataFrame, train: str = "true", depth: int = DEPTH, share: float = SHARE) -> DataFrame:
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score)``, a row for each row of ``docs(doc_id, text)``.
 
@@ -273,40 +492,43 @@ def score_texts(docs: DataFrame, train: str = "true", depth: int = DEPTH, share:
     an end alone. Repeated rows are learnt and scored each. Scores are log10 probabilities; without
     training rows every token has probability 1.
     """
-    spark = docs.sparkSession
     total, distinct, words, model = fit_tables(docs.where(train), depth)
-    tree = frequent_part(total, distinct, words, model, depth, share)
-    shared = spark.sparkContext.broadcast(tree)
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_part(total, distinct, words, model, depth, share))
+    schema = (f"row bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, n_known bigint, base double, "
+              "score double, part int, a binary, b binary, c binary, d binary")
 
     def score(batches):
-        for batch in batches:
-            rows, rare, times = [], [], []
-            for text in batch.column(2).to_pylist():
-                hashes = word_hashes(text)
-                *values, rest = shared.value.parts(hashes)
-                rows.append((len(hashes), *values))
-                rest, n = np.unique(rest, return_counts=True)
-                rare.append(rest)
-                times.append(n)
-            n, known, base, total = zip(*rows) if rows else [[]] * 4
+        keys, rows, held = [], [], 0
+
+        def packs():
+            asked, first = _asked(keys, rows)
+            none = [pa.nulls(asked.num_rows, t) for t in (id_type, pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+            return pa.RecordBatch.from_arrays([pa.array([first] * asked.num_rows, pa.int64()), *none, *asked.columns], names)
+
+        names = ["row", "doc_id", "n_tokens", "n_known", "base", "score", "part", *"abcd"]
+        for batch, first, hashes, text in token_groups(batches):
+            texts = int(text[-1]) + 1
+            known, base, scores, asked, of = shared.value.parts(hashes, text, texts)
+            own, id_type = batch.slice(first, texts), batch.column(1).type
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(total, pa.float64()), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-                ["row", "doc_id", "n_tokens", "known", "base", "total", "rare", "times"])
+                [own.column(0), own.column(1), pa.array(np.bincount(text, minlength=texts)), pa.array(known), pa.array(base),
+                 pa.array(scores), pa.nulls(texts, pa.int32()), *[pa.nulls(texts, pa.binary())] * 4], names)
+            keys.append(asked)
+            rows.append(own.column(0).to_numpy()[of])
+            held += len(asked)
+            if held >= FLUSH:
+                yield packs()
+                keys, rows, held = [], [], 0
+        if held:
+            yield packs()
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     # once written, the row numbers do not change
     scored = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("binary").alias("text"))
-                     .mapInArrow(score, f"row bigint, doc_id {id_type}, n_tokens bigint, known bigint, base double, "
-                                        "total double, rare array<bigint>, times array<bigint>"), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).selectExpr(
-        "row", "w.rare AS gram", "w.times AS times")
-    values = words.selectExpr("gram", f"log10(c + {ADD}D) - log10({ADD}D) AS root", "0D AS more", "1L AS known").union(
-        model.selectExpr("gram", "0D", "gain + rest", "0L"))
-    rest = written(rare.join(values.hint("merge"), "gram").groupBy("row").agg(
-        F.expr("sum(times * root) AS rest"), F.expr("sum(times * more) AS more"),
-        F.expr("sum(times * known) AS rest_known")), "rare")
-    return scored.select("row", "doc_id", "n_tokens", "known", "base", "total").join(
-        rest.hint("merge"), "row", "left").selectExpr(
-        "doc_id", "n_tokens", "known + coalesce(rest_known, 0L) AS n_known", f"{tree.total}L AS train_tokens",
-        "base + coalesce(rest, 0D) AS base_score", "total + coalesce(rest + more, 0D) AS score")
+                     .mapInArrow(score, schema), "scored")
+    values = words.selectExpr("gram", f"log10(c + {ADD}D) - log10({ADD}D) AS root", "0D AS more", "1D AS known").union(
+        model.selectExpr("gram", "0D", "gain + rest", "0D"))
+    rest = written(_answers(scored.where("part IS NOT NULL"), values).groupBy("row").agg(
+        *(F.sum(x).alias(f"rest_{x}") for x in ("root", "more", "known"))), "rest")
+    return scored.where("part IS NULL").join(rest.hint("merge"), "row", "left").selectExpr(
+        "doc_id", "n_tokens", "n_known + coalesce(rest_known, 0L) AS n_known", f"{total}L AS train_tokens",
+        "base + coalesce(rest_root, 0D) AS base_score", "score + coalesce(rest_root + rest_more, 0D) AS score")

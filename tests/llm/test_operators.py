@@ -326,26 +326,26 @@ def test_language_model(docs, nothing):
 
 def test_states_give_probabilities(docs):
     tree, words = lm.fit(docs)
-    assert any((rest < 0).any() for rest in tree.log_rest)
-    grams = [r.gram for r in words.collect()]
+    assert (tree.rest < 0).any()
+    rows = words.collect()
     context = lm.word_hashes(b" ".join(ROWS[7][1].encode().split()[:9]))[:-1]
-    whole = lambda hashes: tree.score(np.array(hashes, np.int64))
-    before = whole(context)[2]
-    rare = {r.gram: math.log10(r.c + lm.ADD) - tree.log_scale for r in words.collect()}
-    total = 10 ** (math.log10(lm.ADD) - tree.log_scale + tree.score(np.array([*context, 12345]))[2] - before)
-    for gram in grams:
-        *_, score, rest = whole([*context, gram])
-        total += 10 ** (score - before + (rare[gram] if gram in rest[len(whole(context)[3]):] else 0))
+    held, before = set(tree.words.tolist()), tree.score(context)
+    new = math.log10(lm.ADD) - tree.log_scale
+    total = 10 ** (tree.score(np.array([*context, 12345])) - before)
+    for row in rows:
+        score = tree.score(np.array([*context, row.gram]))
+        rare = 0 if row.gram in held else math.log10(row.c + lm.ADD) - tree.log_scale - new
+        total += 10 ** (score - before + rare)
     assert total == pytest.approx(1.0, abs=1e-6)
 
 
 def suffix_tree_scores(train, texts):
     """Scores of lists of words, with every n-gram of the tree in a dictionary."""
-    counts = Counter(tuple(own[i:i + k]) for own in train for k in (1, 2, 3) for i in range(len(own) - k + 1))
+    counts = Counter(tuple(own[i:i + k]) for own in train for k in range(1, lm.DEPTH + 2) for i in range(len(own) - k + 1))
     total, vocabulary = sum(map(len, train)), {g for g in counts if len(g) == 1}
     given = {g: (counts[g] + lm.ADD) / (total + lm.ADD * (len(vocabulary) + 1)) for g in vocabulary}
     new, rest = lm.ADD / (total + lm.ADD * (len(vocabulary) + 1)), {}
-    for k in (2, 3):
+    for k in range(2, lm.DEPTH + 2):
         symbols = defaultdict(list)
         for g, c in counts.items():
             if len(g) == k and c >= lm.LEAST:
@@ -366,7 +366,7 @@ def suffix_tree_scores(train, texts):
             return given[gram]
         return rest.get(context, 1) * probability(context[1:], word) if context else new
 
-    return [sum(math.log10(probability(tuple(own[max(0, i - 2):i]), w)) for i, w in enumerate(own)) for own in texts]
+    return [sum(math.log10(probability(tuple(own[max(0, i - lm.DEPTH):i]), w)) for i, w in enumerate(own)) for own in texts]
 
 
 @pytest.mark.parametrize("share", [1e-6, 2e-3, 2.0])
