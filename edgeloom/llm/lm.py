@@ -39,6 +39,7 @@ DISCOUNT = 0.5
 ADD = 0.1
 PENALTY = 0.5
 FLUSH = 2_000_000  # n-grams that a task folds at once
+ASK = 1 << 18  # keys that a task looks up at once; sorting them takes some 100 bytes a key
 PARTS = 256  # ranges of hashed keys, a pack for each
 MAX_BITS = 1 << 29  # of a filter; a larger tree lets more through
 
@@ -516,7 +517,7 @@ def score_texts(docs: DataFrame, train: str = "true", depth: int = DEPTH, share:
             keys.append(asked)
             rows.append(own.column(0).to_numpy()[of])
             held += len(asked)
-            if held >= FLUSH:
+            if held >= ASK:
                 yield packs()
                 keys, rows, held = [], [], 0
         if held:
