@@ -33,7 +33,7 @@ from edgeloom.llm.words import text_hashes, word_groups
 from edgeloom.plans import discard
 
 DEPTH = 4
-SHARE = 1e-6  # of all tokens: n-grams that are sent to the tasks, at most 1 / SHARE of a length
+SHARE = 2e-6  # at most 1 / SHARE words, and as many n-grams, are sent to the tasks
 LEAST = 5  # occurrences of an n-gram in the tree at least
 DISCOUNT = 0.5
 ADD = 0.1
@@ -374,10 +374,25 @@ def fit_tables(train: DataFrame, depth: int = DEPTH) -> tuple[int, int, DataFram
     return total, distinct, words, written(model, "model")
 
 
+def _least_sent(counts: DataFrame, limit: float) -> int:
+    """A count that at most ``limit`` rows of ``counts(c)`` reach, to an eighth of a power of two."""
+    steps = counts.groupBy(F.expr("CAST(8 * log2(c) AS int) AS step")).agg(
+        F.count("*").alias("rows"), F.min("c").alias("least"), F.max("c").alias("most")).collect()
+    steps.sort(key=lambda s: -s.step)
+    least, held = steps[0].most + 1 if steps else 1, 0
+    for step in steps:
+        held += step.rows
+        if held > limit:
+            break
+        least = step.least
+    return least
+
+
 def frequent_part(total: int, distinct: int, words: DataFrame, model: DataFrame, depth: int, share: float) -> Tree:
-    """What is sent to the tasks: n-grams that make up at least ``share`` of all tokens, and a filter of all."""
+    """What is sent to the tasks: the most frequent words and n-grams, at most ``1 / share`` of each, and a filter of all.
+    Both are cut at one count, so that a word and its state are sent together."""
     tree = Tree(total, distinct, depth)
-    often = f"c >= {max(LEAST, int(np.ceil(share * total)))}"
+    often = f"c >= {max(_least_sent(words, 1 / share), _least_sent(model, 1 / share))}"
     rows = words.where(often).orderBy("gram").toArrow()
     tree.words = rows["gram"].to_numpy().copy()
     tree.log_root = np.log10(rows["c"].to_numpy() + ADD) - tree.log_scale
