@@ -9,18 +9,21 @@ of a middle vertex that has many of them are laid out as a grid of tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from edgeloom.functions import closed_paths, part_of, safe_sum, total_or_error
-from edgeloom.operators.lists import BLOCK_ENTRIES, closed_by_lists
+from edgeloom.operators.lists import BLOCK_ENTRIES, WHOLE, closed_by_lists, cycles_by_lists, dealt_lists
 from edgeloom.plans import (
-    BROADCAST_ROWS, HUB_ROWS, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, shuffle_partitions, with_degree,
+    BROADCAST_ROWS, HUB_ROWS, ROWS_PER_PART, STRATEGIES, fits_broadcast, hub_table, shuffle_partitions, stage, with_degree,
 )
 
 # Neighbours of a middle vertex in one part: a cell of the grid makes about the square of it in paths.
 MIDDLE_ROWS = 3_000
 
+# Neighbours of a vertex, on average, from which on `triangles` probes lists: it has far more two-paths than pairs.
+DENSE_DEGREE = 100
+
 MULTIPLICITIES = ("distinct", "all", "closing_exists")
 
 
@@ -153,9 +156,11 @@ def _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_ro
     if multiplicity not in MULTIPLICITIES:
         raise ValueError(f"multiplicity must be one of {MULTIPLICITIES}, not {multiplicity!r}")
     folded = _folded_pairs(edges, multiplicity == "distinct", count_type)
+    if strategy == "lists":
+        folded, entries = _staged(folded)
     pairs = folded if multiplicity == "distinct" else folded.where("m_ba IS NOT NULL")
     if strategy == "lists":
-        sums = closed_by_lists(_ranked(pairs, max_hubs), multiplicity, count_type, block_entries)
+        sums = closed_by_lists(dealt_lists(_ranked(pairs, max_hubs), entries, block_entries), multiplicity, count_type)
     else:
         sums = _cycle_sums(pairs, multiplicity, _Joins(pairs, strategy, broadcast_rows, middle_rows, max_hubs))
     if multiplicity == "distinct":
@@ -164,6 +169,23 @@ def _closed(edges, multiplicity, strategy, count_type, broadcast_rows, middle_ro
     return sums.unionByName(_loop_sums(loops, pairs, multiplicity))
 
 
+def _staged(folded: DataFrame) -> tuple[DataFrame, int]:
+    """``folded`` pairs, written once, and how many of them are no loops."""
+    seen = Observation()
+    folded = stage(folded.observe(seen, F.count("m_ba").alias("entries")), "pairs")
+    return folded, seen.get["entries"] or 0
+
+
+def _is_dense(edges: DataFrame) -> bool:
+    """Whether vertices have ``DENSE_DEGREE`` neighbours on average, about; one scan, no shuffle of edges."""
+    if any(edges.schema[c].dataType.simpleString() not in WHOLE for c in ("src", "dst")):
+        return False
+    seen = edges.where("src != dst").selectExpr(
+        "approx_count_distinct(struct(least(src, dst), greatest(src, dst))) AS pairs",
+        "greatest(approx_count_distinct(src), approx_count_distinct(dst)) AS vertices").first()
+    return 2 * seen.pairs > DENSE_DEGREE * seen.vertices
+
+
 def closed_two_path_count(edges: DataFrame, multiplicity: str = "distinct", strategy: str = "auto",
                           count_type: str = "bigint", broadcast_rows: int = BROADCAST_ROWS,
                           middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS,
@@ -203,14 +225,23 @@ def triangle_count(edges: DataFrame, multiplicity: str = "distinct", strategy: s
 
 
 def triangles(edges: DataFrame, strategy: str = "auto", broadcast_rows: int = BROADCAST_ROWS,
-              rows_per_part: int = ROWS_PER_PART, middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS) -> DataFrame:
+              rows_per_part: int = ROWS_PER_PART, middle_rows: int = MIDDLE_ROWS, max_hubs: int = HUB_ROWS,
+              block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """``(x, y, z)``: each directed 3-cycle once, beginning at its smallest id.
 
+    ``auto`` probes neighbour lists, as ``lists`` does, where vertices have very many neighbours (``DENSE_DEGREE`` on average)
+    and ids are whole numbers: joins would shuffle every two-path.
+
     Two hubs may be the ends of very many two-paths, though never of more than the
     smaller of their degrees. The paths of such a pair are spread over parts by their
     middle vertex, and the pair is repeated for each part.
     """
     pairs = _folded_pairs(edges, True, "bigint")
+    if strategy == "lists" or strategy == "auto" and _is_dense(edges):
+        staged, entries = _staged(pairs)
+        found = cycles_by_lists(dealt_lists(_ranked(staged, max_hubs), entries, block_entries))
+        id_type = pairs.schema["a"].dataType.simpleString()
+        return _from_smallest(found).selectExpr(*(f"CAST({c} AS {id_type}) AS {c}" for c in "xyz"))
     joins = _Joins(pairs, strategy, broadcast_rows, middle_rows, max_hubs)
     ranked = _ranked(pairs, max_hubs)
     paths = joins.low_middle_paths(ranked).withColumn("parts", _parts("d_x", "d_z", rows_per_part)).selectExpr(
@@ -218,6 +249,10 @@ def triangles(edges: DataFrame, strategy: str = "auto", broadcast_rows: int = BR
     closing = ranked.withColumn("parts", _parts("d_a", "d_b", rows_per_part)).selectExpr(
         "a", "b", "m_ab", "m_ba", "explode(sequence(0L, parts - 1)) AS part")
     cycles = paths.join(joins.side(closing), ["a", "b", "part"]).where("IF(z < x, m_ab, m_ba) > 0")
+    return _from_smallest(cycles)
+
+
+def _from_smallest(cycles: DataFrame) -> DataFrame:
     return cycles.withColumn("first", F.expr("least(x, y, z)")).selectExpr(
         "first AS x",
         "CASE first WHEN x THEN y WHEN y THEN z ELSE x END AS y",

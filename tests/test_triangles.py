@@ -150,3 +150,40 @@ def test_unknown_choices(edges):
         triangle_count(edges([]), "some")
     with pytest.raises(ValueError):
         triangle_count(edges([]), strategy="magic")
+
+
+def test_lists_travel_by_the_root_of_the_blocks():
+    lists = importlib.import_module("edgeloom.operators.lists")
+    for entries, block_entries in ((36_000_000, 2_000_000), (900_000, 1_000), (1_000_000_000, 2_000_000)):
+        colours, shares = lists.layout(entries, block_entries, 200)
+        assert colours * colours >= entries / block_entries
+        # was one time per block, and one per task
+        assert 2 * colours + shares <= 3 * (entries / block_entries) ** 0.5 + 25
+    rng = random.Random(1)
+    pairs = sorted({(rng.randrange(100), rng.randrange(100, 200)) for _ in range(2000)})
+    entries = lists.np.array([[v, w, 1, 0] for v, w in pairs]).T
+    held, passed = 0, 0
+    for _, kind, body in lists.deal(entries, 5, 2):
+        arrays = lists.unpack(body)
+        held += len(arrays[0]) if kind == 0 else 0
+        passed += sum(len(a) for a in arrays[2::4]) if kind else 0
+    assert held == 2 * len(pairs) and passed <= 2 * 5 * len(pairs)
+
+
+def test_dense_triangles_without_rows_for_paths(edges, monkeypatch):
+    monkeypatch.setattr(module, "DENSE_DEGREE", 10)
+    rng = random.Random(2)
+    pairs = [(rng.randrange(-20, 20), rng.randrange(-20, 20)) for _ in range(900)]
+    found = triangles(edges(pairs))
+    assert sorted(map(tuple, found.collect())) == brute.triangles(pairs)
+    assert "MapInArrow" in found._jdf.queryExecution().toString()
+    few = edges(pairs[:300])
+    for block_entries in (1, 50, 2_000_000):
+        got = triangles(few, "lists", block_entries=block_entries).collect()
+        assert sorted(map(tuple, got)) == brute.triangles(pairs[:300])
+
+
+def test_packed_numbers_of_any_range():
+    lists = importlib.import_module("edgeloom.operators.lists")
+    arrays = [lists.np.array(a, lists.np.int64) for a in ([], [5], [0, 255], [-1, 255], [-2**63, 2**63 - 1, 0], [7, 70_000])]
+    assert [list(a) for a in lists.unpack(lists.pack(*arrays))] == [list(a) for a in arrays]
