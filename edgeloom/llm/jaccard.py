@@ -33,6 +33,7 @@ FREQUENT_SAMPLE = 5_000  # documents looked at for very frequent shingles; steer
 FREQUENT_AT = 10
 HOT_AT = 50  # of the sample's documents: keys whose rows are spread over tasks
 GROUP_BLOCK = 256  # members of a group whose sketches are compared in one row
+PAIRS_AT_ONCE = 1 << 14  # whose sketches are compared in one go
 FOLD_BYTES = 128  # of a sketch that go along with the members of a small group, at most
 VERIFIED = 500  # partners that follow one copy of a text to its comparison, about
 SLICE = 64  # rows of a batch that are unpacked at once
@@ -299,6 +300,33 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.where("coalesce(of_x, x) != coalesce(of_y, y)").select("x", "y")
 
 
+def _pairs_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of each two members of one group, of which each begins at one of ``starts`` and ends before the next."""
+    first = np.arange(starts[0], starts[-1])
+    partners = np.repeat(starts[1:], np.diff(starts)) - 1 - first
+    i = np.repeat(first, partners)
+    return i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(partners) - partners, partners)
+
+
+def _folds_apart(folds: pa.Array, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Differing bits of the sketches at ``i`` and ``j``, each pair at the size of the smaller."""
+    used, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+    found = [np.frombuffer(f, np.uint8) for f in folds.take(pa.array(used)).to_pylist()]
+    sizes = np.array([len(f) for f in found], np.int64)
+    a, b = place[:len(i)], place[len(i):]
+    least = np.minimum(sizes[a], sizes[b])
+    apart = np.zeros(len(i), np.int64)
+    for size in np.unique(least).tolist():
+        some = np.flatnonzero(least == size)
+        members, at = np.unique(np.concatenate([a[some], b[some]]), return_inverse=True)
+        bits = np.array([folded_to(found[m], size) for m in members.tolist()]).view(np.uint64)
+        for first in range(0, len(some), PAIRS_AT_ONCE):
+            last = min(first + PAIRS_AT_ONCE, len(some))
+            apart[some[first:last]] = np.bitwise_count(
+                bits[at[first:last]] ^ bits[at[len(some) + first:len(some) + last]]).sum(1, dtype=np.int64)
+    return apart
+
+
 def _within(groups: DataFrame, percent: int) -> DataFrame:
     """``(x, y)``, each once: members of one of ``groups(members)``, of at most ``GROUP_BLOCK`` members, that are in
     different components and that neither sizes nor folds rule out."""
@@ -306,20 +334,20 @@ def _within(groups: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, SLICE):
                 lists = part.column(0)
-                ends = lists.offsets.to_numpy().astype(np.int64)
+                starts = lists.offsets.to_numpy().astype(np.int64)
                 node, label, size = (lists.values.field(c).to_numpy() for c in ("node", "label", "n_shingles"))
-                folds = [np.frombuffer(f, np.uint8) for f in lists.values.field("fold").to_pylist()]
-                found = [np.empty((0, 2), np.int64)]
-                for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                    of, n, bits = label[start:end], size[start:end], alike(folds[start:end])
-                    smaller, larger = np.minimum(n[:, None], n), np.maximum(n[:, None], n)
-                    apart = np.bitwise_count(bits[:, None] ^ bits).sum(2, dtype=np.int64)
-                    near = ((of[:, None] != of) & (percent * larger <= 100 * smaller)
-                            & (apart <= (100 - percent) * (smaller + larger) // (100 + percent)))
-                    i, j = np.nonzero(np.triu(near, 1))
-                    found.append(np.sort(np.column_stack([node[start + i], node[start + j]]), axis=1))
-                x, y = np.unique(np.concatenate(found), axis=0).T
-                yield pa.RecordBatch.from_arrays([pa.array(x.copy()), pa.array(y.copy())], ["x", "y"])
+                i, j = _pairs_of(starts)
+                i, j = (x[label[i] != label[j]] for x in (i, j))
+                smaller, larger = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+                i, j = (x[percent * larger <= 100 * smaller] for x in (i, j))
+                # sets that meet in many groups are compared once
+                x, y = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                order = np.lexsort((y, x))
+                once = order[np.concatenate([[True], (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0)])[:len(order)]]
+                i, j, x, y = (a[once] for a in (i, j, x, y))
+                near = _folds_apart(lists.values.field("fold"), i, j) <= (100 - percent) * (size[i] + size[j]) // (100 + percent)
+                x, y = x[near], y[near]
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
     return groups.select("members").mapInArrow(pairs, "x bigint, y bigint").distinct()
 
