@@ -38,7 +38,8 @@ LEAST = 5  # occurrences of an n-gram in the tree at least
 DISCOUNT = 0.5
 ADD = 0.1
 PENALTY = 0.5
-FLUSH = 2_000_000  # n-grams that a task folds at once
+FLUSH = 1_000_000  # n-grams that a task folds at once; some 80 bytes each
+HELD = 1 << 18  # values that a task packs at once; nothing is folded there
 ASK = 1 << 18  # keys that a task looks up at once; sorting them takes some 100 bytes a key
 PARTS = 256  # ranges of hashed keys, a pack for each
 MAX_BITS = 1 << 29  # of a filter; a larger tree lets more through
@@ -449,7 +450,7 @@ def _answers(asked: DataFrame, values: DataFrame) -> DataFrame:
         for batch in batches:
             held.append([c.to_numpy() for c in batch.columns])
             rows += batch.num_rows
-            if rows >= FLUSH:
+            if rows >= HELD:
                 yield packed(held)
                 held, rows = [], 0
         if rows:
