@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edgeloom.llm.tables import slices
+
 COUNTS = (
     "n_bytes", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
     "n_distinct_words", "n_top_word", "n_upper", "n_lower", "n_digits", "n_marks", "n_wide",
@@ -31,6 +33,8 @@ SHARES = {
     "top_word_share": "n_top_word / greatest(n_words, 1)",
 }
 
+SLICE = 500  # rows that are counted at once
+
 _SYMBOLS = list(b"#*$%&|<>")
 _MARKS = [c for c in range(33, 127) if not chr(c).isalnum()]
 
@@ -80,14 +84,17 @@ def text_counts(docs: DataFrame, with_row: bool = False) -> DataFrame:
     extra = ["row"] * with_row
 
     def count(batches):
-        for batch in batches:
-            rows = [count_text(t or b"") for t in batch.column(1).to_pylist()]
-            table = np.array(rows, np.int64).reshape(len(rows), len(COUNTS))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(table[:, i]) for i in range(len(COUNTS))), *batch.columns[2:]],
-                ["doc_id", *COUNTS, *extra])
-
-    chosen = docs.select("doc_id", F.col("text").cast("binary").alias("text"), *(F.struct("*").alias(c) for c in extra))
+        for whole in batches:
+            for batch in slices(whole, SLICE):  # few rows at once, and each text but once, so that a task stays small
+                texts = (batch.column(1).field("text") if with_row else batch.column(1)).cast(pa.binary())
+                rows = [count_text(t.as_py() or b"") for t in texts]
+                table = np.array(rows, np.int64).reshape(len(rows), len(COUNTS))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(table[:, i]) for i in range(len(COUNTS))), *batch.columns[1:] * with_row],
+                    ["doc_id", *COUNTS, *extra])
+
+    chosen = docs.select("doc_id", *(F.struct("*").alias(c) for c in extra)) if with_row else docs.select(
+        "doc_id", F.col("text").cast("binary").alias("text"))
     kinds = {f.name: f.dataType.simpleString() for f in chosen.schema}
     return chosen.mapInArrow(count, ", ".join(
         [f"doc_id {kinds['doc_id']}", *(f"{c} bigint" for c in COUNTS), *(f"row {kinds[c]}" for c in extra)]))
