@@ -26,6 +26,7 @@ LENGTH = 50
 KMER = 20
 BATCHES = 2
 BLOCK = 1 << 22  # bytes of a text that are hashed at once
+GROUP_BYTES = 1 << 16  # of shorter texts that are hashed at once, one after the other
 HOT_SAMPLE = 2_000  # documents looked at for keys that very many have
 HOT_AT = 20
 FEW_RUNS = 10_000
@@ -62,9 +63,10 @@ def window_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray
 
 
 class Runs:
-    """The runs of one block of text: strings ``first..last`` (starts) share the anchor ``anchor``."""
+    """The runs of one block of text, or of several texts that stop at ``ends``: strings ``first..last`` (starts) share the
+    anchor ``anchor``. ``text`` numbers the text of each run."""
 
-    def __init__(self, data: np.ndarray, length: int, kmer: int):
+    def __init__(self, data: np.ndarray, length: int, kmer: int, ends: np.ndarray | None = None):
         kmers, self._strings = window_hashes(data, (kmer, length))
         kmers = mix64(kmers)
         width = length - kmer + 1
@@ -78,9 +80,20 @@ class Runs:
         if n < width:
             packed = np.minimum(packed[:n - width], packed[width - n:])
         anchors = (packed & np.uint64((1 << 24) - 1)).astype(np.int64)
-        new = np.flatnonzero(anchors[1:] != anchors[:-1]) + 1
-        self.first = np.concatenate([[0], new])
-        self.last = np.concatenate([new - 1, [len(anchors) - 1]])
+        first = np.concatenate([[0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1])
+        last = np.append(first[1:] - 1, len(anchors) - 1)
+        self.text = np.zeros(len(first), np.int64)
+        if ends is not None:
+            # strings over the end of a text are none: runs stop before them and begin after them
+            inner = ends[:-1]
+            begins = np.concatenate([[0], inner])
+            first = np.union1d(first, begins[begins < len(anchors)])
+            last = np.append(first[1:] - 1, len(anchors) - 1)
+            self.text = np.searchsorted(ends, first, "right")
+            last = np.minimum(last, ends[self.text] - length)
+            some = first <= last
+            first, last, self.text = first[some], last[some], self.text[some]
+        self.first, self.last = first, last
         self.anchor = anchors[self.first]
         self.key = kmers[self.anchor]
         place = (self.anchor - self.first).astype(np.uint64) << np.uint64(8) | (self.last - self.first).astype(np.uint64)
@@ -98,10 +111,40 @@ def blocks(text: bytes, length: int, kmer: int):
         yield start, Runs(np.frombuffer(text, np.uint8)[start:start + BLOCK + length - 1], length, kmer)
 
 
+def groups(texts: list[bytes | None], length: int, kmer: int):
+    """``(first, ends, start, Runs)`` of all ``texts``: consecutive short ones together, of which the first has the number ``first`` and
+    which end at ``ends``; a long one in its ``blocks``, with the place of the block in ``start``."""
+    sizes = np.array([len(t or b"") for t in texts], np.int64)
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(upto, upto[first] + GROUP_BYTES, "right")) - 1)
+        if last == first + 1:
+            for start, found in blocks(texts[first] or b"", length, kmer):
+                yield first, sizes[first:last], start, found
+        elif upto[last] - upto[first] >= length:
+            data = np.frombuffer(b"".join(t or b"" for t in texts[first:last]), np.uint8)
+            ends = upto[first + 1:last + 1] - upto[first]
+            yield first, ends, 0, Runs(data, length, kmer, ends)
+        first = last
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _once(found: Runs) -> np.ndarray:
+    """The first of equal runs of each text, by text and run."""
+    order = np.lexsort((found.run, found.text))
+    run, text = found.run[order], found.text[order]
+    return order[np.concatenate([[True], (run[1:] != run[:-1]) | (text[1:] != text[:-1])])[:len(order)]]
+
+
+def _of_text(runs: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """A name for each run of each text."""
+    return mix64(runs.view(np.uint64) + text.astype(np.uint64) * np.uint64(_BASE))
+
+
 def _suffixes(docs: DataFrame, length: int, kmer: int, hot: list[int]) -> DataFrame:
     """``(key, run, doc_id, packed)``: a suffix per run, once for each document and content.
 
@@ -114,20 +157,22 @@ def _suffixes(docs: DataFrame, length: int, kmer: int, hot: list[int]) -> DataFr
     def suffixes(batches):
         for batch in batches:
             keys, runs, at, packed = [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                for _, found in blocks(text or b"", length, kmer):
-                    run, first = np.unique(found.run, return_index=True)
-                    key, run = _signed(found.key[first]), _signed(run)
-                    together = np.isin(key, often)
-                    pairs = np.stack([key[together], run[together]], 1).ravel()
-                    key, run = key[~together], run[~together]
-                    packed += [None] * len(key)
-                    if len(pairs):
-                        key, run = np.append(key, often[0]), np.append(run, 0)
-                        packed.append(pairs.astype(">i8").tobytes())
-                    keys.append(key)
-                    runs.append(run)
-                    at.append(np.full(len(run), i))
+            for i, _, _, found in groups(batch.column(1).to_pylist(), length, kmer):
+                once = _once(found)
+                key, run, text = _signed(found.key[once]), _signed(found.run[once]), found.text[once] + i
+                together = np.flatnonzero(np.isin(key, often))
+                if len(together):
+                    begins = np.flatnonzero(np.diff(text[together], prepend=-1))
+                    for part in np.split(together, begins[1:]):
+                        packed.append(np.stack([key[part], run[part]], 1).astype(">i8").tobytes())
+                    keys.append(np.full(len(begins), often[0]))
+                    runs.append(np.zeros(len(begins), np.int64))
+                    at.append(text[together[begins]])
+                    key, run, text = (np.delete(x, together) for x in (key, run, text))
+                packed += [None] * len(key)
+                keys.append(key)
+                runs.append(run)
+                at.append(text)
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(np.concatenate(runs)),
@@ -146,18 +191,20 @@ def _run_strings(docs: DataFrame, wanted: DataFrame, length: int, kmer: int) ->
     def strings(batches):
         for batch in batches:
             columns: list[list] = [[] for _ in range(5)]
-            for i, (text, runs) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                runs = np.sort(np.array(runs, np.int64))
-                for _, found in blocks(text or b"", length, kmer):
-                    own = _signed(found.run)
-                    hit = np.minimum(np.searchsorted(runs, own), len(runs) - 1)
-                    some = np.flatnonzero(runs[hit] == own)
-                    some = some[np.unique(own[some], return_index=True)[1]]
-                    hashes = _signed(found.strings)
-                    for column, values in zip(columns, (
-                            _signed(found.key[some]), np.full(len(some), i), own[some], found.anchor[some] - found.first[some],
-                            [hashes[a:b + 1].tobytes() for a, b in zip(found.first[some], found.last[some])])):
-                        column.append(values)
+            texts, wanted = batch.column(1).to_pylist(), batch.column(2)
+            ends = wanted.offsets.to_numpy()
+            names = wanted.values.to_numpy()
+            for i, sizes, _, found in groups(texts, length, kmer):
+                own = ends[i:i + len(sizes) + 1]
+                known = np.sort(_of_text(names[own[0]:own[-1]], np.repeat(np.arange(len(sizes)), np.diff(own))))
+                once = _once(found)
+                name = _of_text(_signed(found.run[once]), found.text[once])
+                some = once[known[np.minimum(np.searchsorted(known, name), len(known) - 1)] == name]
+                hashes = _signed(found.strings)
+                for column, values in zip(columns, (
+                        _signed(found.key[some]), found.text[some] + i, _signed(found.run[some]), found.anchor[some] - found.first[some],
+                        [hashes[a:b + 1].tobytes() for a, b in zip(found.first[some], found.last[some])])):
+                    column.append(values)
             if columns[0]:
                 key, at, run, place = (np.concatenate(c) for c in columns[:4])
                 yield pa.RecordBatch.from_arrays(
@@ -409,31 +456,52 @@ class SuffixIndex:
         self.levels.append((size, level))
 
 
-def covered(text: bytes, runs: np.ndarray, masks: np.ndarray, length: int, kmer: int) -> np.ndarray:
-    """Which bytes of ``text`` lie in a repeated string; ``masks`` go with ``runs``, of which one may be there more than once."""
-    marks = np.zeros(len(text) + 1, np.int32)
-    names, place = np.unique(runs, return_inverse=True)
-    joint = np.zeros(len(names), np.int64)
-    np.bitwise_or.at(joint, place, masks)
-    back = np.arange(length - kmer + 1)
-    for offset, found in blocks(text, length, kmer):
-        own = _signed(found.run)
-        hit = np.minimum(np.searchsorted(names, own), len(names) - 1)
-        found_masks = np.where(names[hit] == own, joint[hit], 0)
-        some = np.flatnonzero(found_masks)
-        if not len(some):
+def _marks(found: Runs, size: int, names: np.ndarray, joint: np.ndarray, length: int, kmer: int) -> np.ndarray:
+    """How many more repeated strings cover a byte than the byte before, for ``joint`` masks of the sorted ``names`` of runs."""
+    marks = np.zeros(size + 1, np.int32)
+    own = _of_text(_signed(found.run), found.text)
+    hit = np.minimum(np.searchsorted(names, own), len(names) - 1)
+    found_masks = np.where(names[hit] == own, joint[hit], 0)
+    some = np.flatnonzero(found_masks)
+    first, last, mask = found.first[some], found.last[some], found_masks[some]
+    whole = mask == ALL
+    np.add.at(marks, first[whole], 1)
+    np.add.at(marks, last[whole] + length, -1)
+    if not whole.all():
+        back = np.arange(length - kmer + 1)
+        starts = found.anchor[some][~whole, None] - back
+        repeated = (mask[~whole, None] >> back) & 1 == 1
+        starts = starts[repeated & (starts >= first[~whole, None]) & (starts <= last[~whole, None])]
+        np.add.at(marks, starts, 1)
+        np.add.at(marks, starts + length, -1)
+    return marks
+
+
+def covered(texts: list[bytes], runs: np.ndarray, masks: np.ndarray, of: np.ndarray, length: int, kmer: int) -> list[np.ndarray | None]:
+    """Which bytes of each of ``texts`` lie in a repeated string, or None without any; ``masks`` go with ``runs``, of which one may be
+    there more than once, and ``of`` numbers their texts, in rising order."""
+    gone: list[np.ndarray | None] = [None] * len(texts)
+    marks: dict[int, np.ndarray] = {}
+    for i, ends, start, found in groups(texts, length, kmer):
+        low, high = np.searchsorted(of, (i, i + len(ends)))
+        if low == high or not len(found.first):
+            continue
+        names, place = np.unique(_of_text(runs[low:high], of[low:high] - i), return_inverse=True)
+        joint = np.zeros(len(names), np.int64)
+        np.bitwise_or.at(joint, place, masks[low:high])
+        if len(ends) == 1:  # blocks of one text
+            whole = marks.setdefault(i, np.zeros(len(texts[i]) + 1, np.int32))
+            some = _marks(found, int(found.last[-1]) + length, names, joint, length, kmer)
+            whole[start:start + len(some)] += some
             continue
-        first, last, mask = found.first[some], found.last[some], found_masks[some]
-        whole = mask == ALL
-        np.add.at(marks, offset + first[whole], 1)
-        np.add.at(marks, offset + last[whole] + length, -1)
-        if not whole.all():
-            starts = found.anchor[some][~whole, None] - back
-            repeated = (mask[~whole, None] >> back) & 1 == 1
-            starts = starts[repeated & (starts >= first[~whole, None]) & (starts <= last[~whole, None])] + offset
-            np.add.at(marks, starts, 1)
-            np.add.at(marks, starts + length, -1)
-    return np.cumsum(marks[:-1]) > 0
+        cover = np.cumsum(_marks(found, int(ends[-1]), names, joint, length, kmer)[:-1]) > 0
+        for k, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+            if cover[a:b].any():
+                gone[i + k] = cover[a:b]
+    for i, whole in marks.items():
+        cover = np.cumsum(whole[:-1]) > 0
+        gone[i] = cover if cover.any() else None
+    return gone
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, batches: int = BATCHES,
@@ -479,19 +547,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, batc
             runs = runs.flatten().to_numpy()
             per_row = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(per_row)])]
-            for text, start, end in zip(batch.column(1).to_pylist(), ends[:-1], ends[1:]):
-                text = text or b""
-                gone = np.zeros(len(text), bool)
-                if end > start:
+            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            of = np.repeat(np.arange(len(texts)), np.diff(ends))
+            for text, gone in zip(texts, covered(texts, runs, masks, of, length, kmer)):
+                left, spans = text, 0
+                if gone is not None:
                     # a run may be repeated as a whole and in part
-                    gone = covered(text, runs[start:end], masks[start:end], length, kmer)
-                    if whole_chars and gone.any():
+                    if whole_chars:
                         # each byte belongs to the last one before it that begins a character
                         begins = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
                         number = np.cumsum(begins)
                         gone = (np.bincount(number, gone) > 0)[number]
-                left = np.frombuffer(text, np.uint8)[~gone].tobytes() if gone.any() else text
-                spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+                    left = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                    spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 rows.append((len(text), len(text) - len(left), spans, hashlib.sha256(left).hexdigest()))
                 kept.append(left)
             n, removed, spans, digest = zip(*rows) if rows else [[]] * 4

@@ -462,3 +462,29 @@ def test_seek_table_is_a_skippable_frame():
     data = b"".join(frames) + warc.seek_table([(len(f), n) for f, n in zip(frames, (10, 2000))])
     plain = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read()
     assert plain == b"a" * 2010
+
+
+def test_texts_are_hashed_together_as_alone(spark):
+    rng = np.random.default_rng(5)
+    line = rng.integers(97, 101, 400, np.uint8).tobytes()
+    texts = [line[rng.integers(0, 200):][:int(rng.integers(0, 300))] for _ in range(60)] + [None, b"", line[:49], line[:50]]
+    alone = [[(int(k), int(r), int(b - a)) for _, f in suffix.blocks(t or b"", 50, 20) for k, r, a, b in zip(f.key, f.run, f.first, f.last)]
+             for t in texts]
+    together = [[] for _ in texts]
+    calls = 0
+    for i, _, _, found in suffix.groups(texts, 50, 20):
+        calls += 1
+        for k, r, a, b, of in zip(found.key, found.run, found.first, found.last, found.text):
+            together[i + of].append((int(k), int(r), int(b - a)))
+    assert together == alone and calls == 1  # was one for each text
+
+
+def test_members_of_many_groups_are_compared_at_once():
+    starts = np.array([2, 5, 5, 6, 8])
+    i, j = jaccard._pairs_of(starts)
+    assert list(zip(i.tolist(), j.tolist())) == [(2, 3), (2, 4), (3, 4), (6, 7)]
+    rng = np.random.default_rng(1)
+    found = [rng.integers(0, 256, size, np.uint8) for size in (16, 32, 32, 64)]
+    i, j = np.triu_indices(4, 1)
+    apart = jaccard._folds_apart(pa.array([f.tobytes() for f in found], pa.binary()), i, j)
+    assert apart.tolist() == [jaccard.sketch_distance(found[a], found[b]) for a, b in zip(i, j)]
