@@ -34,7 +34,8 @@ FREQUENT_AT = 10
 HOT_AT = 50  # of the sample's documents: keys whose rows are spread over tasks
 GROUP_BLOCK = 256  # members of a group whose sketches are compared in one row
 PAIRS_AT_ONCE = 1 << 14  # whose sketches are compared in one go
-FOLD_BYTES = 128  # of a sketch that go along with the members of a small group, at most
+FOLD_BYTES = 128  # of a sketch that go along with the members of a small group; of longer ones half goes,
+LONGEST_FOLD = 1024  # up to this: a fold with fewer bits than half of the shingles is full and rules nothing out
 VERIFIED = 500  # partners that follow one copy of a text to its comparison, about
 SLICE = 64  # rows of a batch that are unpacked at once
 TEXT_DIGEST = "xxhash64(text)"
@@ -158,6 +159,11 @@ def folded_to(sketch: np.ndarray, size: int) -> np.ndarray:
     return sketch
 
 
+def fold_of(sketch: np.ndarray) -> np.ndarray:
+    """What goes along with a member of a small group."""
+    return folded_to(sketch, min(LONGEST_FOLD, max(FOLD_BYTES, len(sketch) // 2)))
+
+
 def alike(sketches: list[np.ndarray]) -> np.ndarray:
     """The sketches at the size of the smallest, a row of 64-bit numbers each."""
     size = min(map(len, sketches))
@@ -180,7 +186,7 @@ def _set_digest(hashes: np.ndarray) -> int:
 
 def _document_sets(docs: DataFrame, words: int) -> DataFrame:
     """``(doc_id, digest, n_shingles, node, sketch, fold)``; ``node`` stands for the set, and is null for an empty one.
-    ``fold`` is the sketch in at most ``FOLD_BYTES``."""
+    ``fold`` is ``fold_of`` the sketch."""
     def digest(batches):
         for batch in batches:
             sizes, nodes, sketches, folds = [], [], [], []
@@ -189,7 +195,7 @@ def _document_sets(docs: DataFrame, words: int) -> DataFrame:
                 nodes.append(_set_digest(hashes) if len(hashes) else None)
                 sketch = folded_sketch(hashes) if len(hashes) else None
                 sketches.append(None if sketch is None else sketch.tobytes())
-                folds.append(None if sketch is None else folded_to(sketch, FOLD_BYTES).tobytes())
+                folds.append(None if sketch is None else fold_of(sketch).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()),
                  pa.array(folds, pa.binary())],
@@ -390,15 +396,19 @@ def _across(open_groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent
 
     ``open_groups(key, node, n)`` has ``n`` members to a key. Groups of up to ``GROUP_BLOCK`` members compare their
     folds, and a pair that these leave meets its sketches once, in however many groups it is. Larger groups are laid
-    out in blocks with sketches, and only pairs that pass leave the task. Keys with the same few members are one group.
+    out in blocks with sketches, and only pairs that pass leave the task. Keys with the same few members are one group
+    before the folds join them.
     """
     sized = nodes.join(labels.hint("merge"), "node", "left").selectExpr(
         "node", "coalesce(component, node) AS label", "n_shingles", "fold")
     member = F.struct("node", "label", "n_shingles", "fold")
-    small = open_groups.where(f"n <= {GROUP_BLOCK}").join(sized.hint("merge"), "node").groupBy("key").agg(
-        F.sort_array(F.collect_list(member)).alias("members")).withColumn(
-        "same", F.xxhash64("members.node")).dropDuplicates(["same"])
+    groups = written(open_groups.where(f"n <= {GROUP_BLOCK}").groupBy("key").agg(
+        F.sort_array(F.collect_set("node")).alias("nodes")).select(
+        F.xxhash64("nodes").alias("group"), "nodes").dropDuplicates(["group"]).select(
+        "group", F.explode("nodes").alias("node")), "groups")
+    small = groups.join(sized.hint("merge"), "node").groupBy("group").agg(F.collect_list(member).alias("members"))
     narrow = written(_within(small, percent), "pairs")
+    discard(groups)
     close = written(_close(narrow, nodes, percent), "close")
     discard(narrow)
     large = open_groups.where(f"n > {GROUP_BLOCK}").withColumn(

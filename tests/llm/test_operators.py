@@ -488,3 +488,13 @@ def test_members_of_many_groups_are_compared_at_once():
     i, j = np.triu_indices(4, 1)
     apart = jaccard._folds_apart(pa.array([f.tobytes() for f in found], pa.binary()), i, j)
     assert apart.tolist() == [jaccard.sketch_distance(found[a], found[b]) for a, b in zip(i, j)]
+
+
+def test_large_sets_in_one_group_are_told_apart_by_their_folds(spark):
+    rng = np.random.default_rng(2)
+    sets = [np.sort(rng.integers(0, 1 << 63, n, np.int64).astype(np.uint64)) for n in (3000, 3100, 4096, 4100, 7000, 7500)]
+    sets.append(sets[-1][100:])
+    folds = [jaccard.fold_of(jaccard.folded_sketch(s)).tobytes() for s in sets]
+    rows = [(0, [(i, i, len(s), f) for i, (s, f) in enumerate(zip(sets, folds))])]
+    groups = spark.createDataFrame(rows, "key INT, members ARRAY<STRUCT<node: BIGINT, label: BIGINT, n_shingles: BIGINT, fold: BINARY>>")
+    assert [tuple(r) for r in jaccard._within(groups, 80).collect()] == [(5, 6)]
