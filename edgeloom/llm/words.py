@@ -56,10 +56,10 @@ def _hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return mix64(sums + sizes.astype(np.uint64)), np.diff(upto, prepend=0)
 
 
-def _long(data: np.ndarray) -> np.ndarray:
+def _long(data: np.ndarray, at_once: int = GROUP_BYTES) -> np.ndarray:
     found, start = [], 0
     while start < len(data):
-        size = GROUP_BYTES
+        size = at_once
         while (end := start + size) < len(data):
             blanks = np.flatnonzero(_BLANK[data[start:end]])
             if len(blanks):
@@ -77,8 +77,8 @@ def text_hashes(text: bytes | None) -> np.ndarray:
     return _long(np.frombuffer(text or b"", np.uint8))
 
 
-def word_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(first, hashes, counts)`` for groups of consecutive rows of a binary column, of about ``GROUP_BYTES`` each:
+def word_groups(column: pa.Array, at_once: int = GROUP_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(first, hashes, counts)`` for groups of consecutive rows of a binary column, of about ``at_once`` bytes each:
     the number of the first row, the hashes of all words, and the number of words in each row. Null is empty."""
     rows = len(column)
     if not rows:
@@ -89,10 +89,10 @@ def word_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     data = np.frombuffer(held, np.uint8) if held is not None else np.empty(0, np.uint8)
     first = 0
     while first < rows:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + GROUP_BYTES, side="right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + at_once, side="right")) - 1)
         part = data[offsets[first]:offsets[last]]
-        if len(part) > GROUP_BYTES:  # one long text
-            hashes = _long(part)
+        if len(part) > at_once:  # one long text
+            hashes = _long(part, at_once)
             yield first, hashes, np.array([len(hashes)])
         else:
             yield first, *_hashes(part, offsets[first + 1:last + 1] - offsets[first])
