@@ -38,8 +38,7 @@ LEAST = 5  # occurrences of an n-gram in the tree at least
 DISCOUNT = 0.5
 ADD = 0.1
 PENALTY = 0.5
-FLUSH = 1 << 19  # n-grams that a task folds at once; some 80 bytes each
-GROUP_BYTES = 1 << 18  # of texts whose words are hashed at once; some 40 times that
+FLUSH = 1_000_000  # n-grams that a task folds at once; some 80 bytes each
 HELD = 1 << 18  # values that a task packs at once; nothing is folded there
 ASK = 1 << 18  # keys that a task looks up at once; sorting them takes some 100 bytes a key
 PARTS = 256  # ranges of hashed keys, a pack for each
@@ -80,7 +79,7 @@ def token_groups(batches) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.
     """``(batch, first, hashes, text)`` for groups of consecutive texts, the last column of ``batches``: the number of the
     first one in its batch, the hashes of their tokens, ends included, and the number of each token's text in the group."""
     for batch in batches:
-        for first, hashes, sizes in word_groups(batch.column(batch.num_columns - 1), GROUP_BYTES):
+        for first, hashes, sizes in word_groups(batch.column(batch.num_columns - 1)):
             yield (batch, first, np.insert(hashes.view(np.int64), np.cumsum(sizes), END),
                    np.repeat(np.arange(len(sizes)), sizes + 1))
 
@@ -163,43 +162,23 @@ def _filter(packs: DataFrame, keys: int, least: int) -> Filter:
     return Filter(size, words.ravel())
 
 
-def _folds(found: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
-    """``(key, n, ...)`` with sorted distinct keys, how often each occurs in ``found(key, ...)``, and the other columns of one
-    of its rows. ``FLUSH`` rows are folded at once; they stay, and more come, until half as many are left, so a key
-    may be given several times."""
-    def fold():
-        key, n, *others = (np.concatenate(c) for c in zip(*held))
-        held.clear()
-        order = np.argsort(key)
-        key = key[order]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        return key[first], np.add.reduceat(n[order], first, dtype=np.uint32), *(c[order[first]] for c in others)
-
-    held, rows, taken = [], 0, 0
-    for key, *others in found:
-        for start in range(0, len(key), FLUSH):
-            part = slice(start, start + FLUSH)
-            held.append((key[part], np.ones(len(key[part]), np.uint32), *(c[part] for c in others)))
-            rows, taken = rows + len(key[part]), taken + len(key[part])
-            if rows >= FLUSH:
-                held.append(fold())
-                rows = len(held[0][0])
-                if rows > FLUSH // 2 or taken >= 1 << 31:  # beyond which counts could wrap
-                    yield held.pop()
-                    rows, taken = 0, 0
-    if rows:
-        yield fold()
-
-
-def _short_packs(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    for short, n in _folds((_short(keys),) for keys in found):
-        yield _packs(short >> 32, "short n", short.astype(np.uint32), np.minimum(n, 255).astype(np.uint8))
+def _short_packs(keys: np.ndarray) -> pa.RecordBatch:
+    short, n = np.unique(_short(keys), return_counts=True)
+    return _packs(short >> 32, "short n", short.astype(np.uint32), np.minimum(n, 255).astype(np.uint8))
 
 
 def filter_of(keys: DataFrame) -> Filter:
     """A filter of the one column of ``keys``."""
     def pack(batches):
-        yield from _short_packs(batch.column(0).to_numpy() for batch in batches)
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy())
+            rows += batch.num_rows
+            if rows >= FLUSH:
+                yield _short_packs(np.concatenate(held))
+                held, rows = [], 0
+        if rows:
+            yield _short_packs(np.concatenate(held))
 
     return _filter(keys.mapInArrow(pack, "part int, short binary, n binary"), keys.count(), 1)
 
@@ -255,9 +234,20 @@ class Tree:
 
 def _word_counts(texts: DataFrame) -> DataFrame:
     """``(gram, c)``, summed within tasks before the shuffle."""
+    def folded(held):
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
+
     def count(batches):
-        for keys, n in _folds((hashes,) for _, _, hashes, _ in token_groups(batches)):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["gram", "n"])
+        held, rows = [], 0
+        for _, _, hashes, _ in token_groups(batches):
+            held.append(hashes)
+            rows += len(hashes)
+            if rows >= FLUSH:
+                yield folded(held)
+                held, rows = [], 0
+        if held:
+            yield folded(held)
 
     return texts.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("c"))
 
@@ -268,7 +258,16 @@ def _often(texts: DataFrame, k: int, parts: Filter, tokens: int) -> Filter:
     shared = texts.sparkSession.sparkContext.broadcast(parts)
 
     def pack(batches):
-        yield from _short_packs(mixed(*_candidates(hashes, text, k, shared.value)) for _, _, hashes, text in token_groups(batches))
+        held, rows = [], 0
+        for _, _, hashes, text in token_groups(batches):
+            context, suffix = _candidates(hashes, text, k, shared.value)
+            held.append(mixed(context, suffix))
+            rows += len(context)
+            if rows >= FLUSH:
+                yield _short_packs(np.concatenate(held))
+                held, rows = [], 0
+        if rows:
+            yield _short_packs(np.concatenate(held))
 
     return _filter(texts.mapInArrow(pack, "part int, short binary, n binary"), tokens // (4 * LEAST), LEAST)
 
@@ -288,17 +287,26 @@ def _gram_counts(texts: DataFrame, k: int, parts: Filter, often: Filter) -> Data
     n-gram, of all its words but the last, and of all but the first. N-grams that are not in ``often`` stay in their task."""
     shared = texts.sparkSession.sparkContext.broadcast((parts, often))
 
-    def frequent(batches):
-        for _, _, hashes, text in token_groups(batches):
-            context, suffix = _candidates(hashes, text, k, shared.value[0])
-            gram = mixed(context, suffix)
-            some = shared.value[1].may_have(gram)
-            yield gram[some], context[some], suffix[some]
+    def folded(held):
+        context, suffix = map(np.concatenate, zip(*held))
+        gram = mixed(context, suffix)
+        _, first, n = np.unique(gram, return_index=True, return_counts=True)
+        order = np.argsort(gram[first] & PARTS - 1, kind="stable")
+        first = first[order]
+        return _packs(gram[first] & PARTS - 1, "context suffix n", context[first], suffix[first], n[order].astype(np.uint32))
 
     def count(batches):
-        for gram, n, context, suffix in _folds(frequent(batches)):
-            order = np.argsort(gram & PARTS - 1, kind="stable")
-            yield _packs(gram[order] & PARTS - 1, "context suffix n", context[order], suffix[order], n[order])
+        held, rows = [], 0
+        for _, _, hashes, text in token_groups(batches):
+            context, suffix = _candidates(hashes, text, k, shared.value[0])
+            some = shared.value[1].may_have(mixed(context, suffix))
+            held.append((context[some], suffix[some]))
+            rows += int(some.sum())
+            if rows >= FLUSH:
+                yield folded(held)
+                held, rows = [], 0
+        if rows:
+            yield folded(held)
 
     def summed(batches):
         for _, (context, suffix, n) in _by_part(batches, [np.int64, np.int64, np.uint32]):
