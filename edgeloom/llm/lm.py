@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.llm.tables import written
+from edgeloom.llm.tables import small_batches, written
 from edgeloom.llm.words import text_hashes, word_groups
 from edgeloom.plans import discard
 
@@ -60,6 +61,37 @@ def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+class Slots:
+    """Finds hashed keys by their leading bits, at a place of their own in a table of twice as many or the next free one.
+    Binary search in this many keys takes some five times as long."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.bits = keys, (2 * len(keys) + 1).bit_length()
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        left, at = np.arange(len(keys)), self._places(keys)
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            lost = self.slots[at] != left
+            left, at = left[lost], at[lost] + 1 & len(self.slots) - 1
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Where each of ``keys`` is among those of the table, -1 if it is not."""
+        at = self._places(keys)
+        found = self.slots[at].astype(np.int64)
+        if not len(self.keys):
+            return found
+        wrong = np.flatnonzero((found >= 0) & (self.keys[found] != keys))
+        while len(wrong):
+            at[wrong] = at[wrong] + 1 & len(self.slots) - 1
+            found[wrong] = held = self.slots[at[wrong]]
+            wrong = wrong[(held >= 0) & (self.keys[held] != keys[wrong])]
+        return found
+
+
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Keys of n-grams from those of their first words and of their last words."""
     z = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
@@ -198,6 +230,14 @@ class Tree:
     rest: np.ndarray = field(default_factory=lambda: np.empty(0))
     all_grams: Filter = field(default_factory=lambda: Filter(64, np.zeros(PARTS, np.int64)))
 
+    @cached_property
+    def word_slots(self) -> Slots:
+        return Slots(self.words)
+
+    @cached_property
+    def gram_slots(self) -> Slots:
+        return Slots(self.grams)
+
     @property
     def log_scale(self) -> float:
         return float(np.log10(self.total + ADD * (self.distinct + 1)))
@@ -208,7 +248,7 @@ class Tree:
         ``text`` numbers the text of each token. Words that are not frequent are scored as if they were new, and are
         among the keys.
         """
-        word = find(self.words, hashes)
+        word = self.word_slots.find(hashes)
         known = word >= 0
         values = np.full(len(hashes), np.log10(ADD) - self.log_scale)
         values[known] = self.log_root[word[known]]
@@ -217,7 +257,7 @@ class Tree:
         for k, keys in enumerate(all_keys(hashes, self.depth)):
             own = text[:len(keys)]
             some = np.flatnonzero((own == text[k:]) & self.all_grams.may_have(keys))
-            at = find(self.grams, keys[some])
+            at = self.gram_slots.find(keys[some])
             held, at = some[at >= 0], at[at >= 0]
             follows = np.append(text, -1)[held + k + 1] == own[held]
             total += np.bincount(own[held], self.gain[at] + np.where(follows, self.rest[at], 0), texts)
@@ -509,6 +549,11 @@ def score_texts(docs: DataFrame, train: str = "true", depth: int = DEPTH, share:
     an end alone. Repeated rows are learnt and scored each. Scores are log10 probabilities; without
     training rows every token has probability 1.
     """
+    with small_batches(docs.sparkSession):
+        return _score_texts(docs, train, depth, share)
+
+
+def _score_texts(docs: DataFrame, train: str, depth: int, share: float) -> DataFrame:
     total, distinct, words, model = fit_tables(docs.where(train), depth)
     shared = docs.sparkSession.sparkContext.broadcast(frequent_part(total, distinct, words, model, depth, share))
     schema = (f"row bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, n_known bigint, base double, "

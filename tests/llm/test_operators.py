@@ -498,3 +498,31 @@ def test_large_sets_in_one_group_are_told_apart_by_their_folds(spark):
     rows = [(0, [(i, i, len(s), f) for i, (s, f) in enumerate(zip(sets, folds))])]
     groups = spark.createDataFrame(rows, "key INT, members ARRAY<STRUCT<node: BIGINT, label: BIGINT, n_shingles: BIGINT, fold: BINARY>>")
     assert [tuple(r) for r in jaccard._within(groups, 80).collect()] == [(5, 6)]
+
+
+def test_slots_find_what_binary_search_finds():
+    rng = np.random.default_rng(5)
+    keys = np.unique(np.concatenate([rng.integers(-2**63, 2**63 - 1, 5000), np.arange(300), -np.arange(300)]))  # and many with equal leading bits
+    asked = np.concatenate([keys, keys + 7, rng.integers(-2**63, 2**63 - 1, 5000)])
+    for some in (keys, keys[:1], keys[:0]):
+        assert (lm.Slots(some).find(asked) == lm.find(some, asked)).all()
+
+
+def test_language_model_sends_small_batches(spark, docs, monkeypatch):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, written, seen, largest = spark.conf.get(name), lm.written, set(), []
+
+    def noting(df, table):
+        if not largest:
+            rows = spark.range(0, 400, 1, 1).selectExpr("CAST(repeat('x', 100000) AS binary) AS b").mapInArrow(sizes, "n bigint")
+            largest.append(max(r.n for r in rows.collect()))
+        seen.add(spark.conf.get(name))
+        return written(df, table)
+
+    monkeypatch.setattr(lm, "written", noting)
+    lm.score_texts(docs)
+    assert seen == {"4m"} and largest[0] < 8_000_000 and spark.conf.get(name) == before
